@@ -124,11 +124,17 @@ RARE_CONDITION_GROUPS = ["Rare Disease", "Orphan Disease"]
 
 
 def by_keyword(c: Column, table: dict[str, list[str]], missing: str, other: str = "Other") -> Column:
-    """Label of the first table row with a keyword inside the text."""
-    label = F.when(c.isNull(), missing)
-    for name, words in table.items():
+    """Label of the first table row with a keyword inside the text.
+
+    NULL is dealt with after the branches: with the lower-cased text in every branch, Spark
+    computes it once per row and not once per keyword.
+    """
+    rows = iter(table.items())
+    name, words = next(rows)
+    label = F.when(contains_any(c, words), name)
+    for name, words in rows:
         label = label.when(contains_any(c, words), name)
-    return label.otherwise(other)
+    return F.coalesce(label, F.when(c.isNull(), missing).otherwise(other))
 
 
 def by_value(c: Column, table: dict[str, list[str]], other: str) -> Column:

@@ -7,25 +7,34 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from trialmart.functions.text import clean_string
+from trialmart.functions.text import WHITESPACE
 
-# Accepted date forms, tried in this order. The pattern in front says which
-# texts can match at all, so a parser is only called on text of its own shape and does not
-# fail row by row on the others.
-DATE_FORMS = [
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d H:m:s"),
-    (r"^\d{1,2}/\d{1,2}/\d{4} \d{1,2}:\d{1,2}:\d{1,2}$", "M/d/yyyy H:m:s"),
-]
+# The accepted date forms are year-month-day, month/day/year and day/month/year;
+# the first two may carry a time of day. They are tried in this order. Fields may have one
+# digit, and any whitespace may surround the text and stand before the time.
+_TIME = rf"{WHITESPACE}+(?:2[0-3]|[01]?[0-9]):[0-5]?[0-9]:[0-5]?[0-9]"
+_DASHED = r"((?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2})"
+_SLASHED = r"([0-9]{1,2}/[0-9]{1,2}/(?!0000)[0-9]{4})"
+YEAR_FIRST = rf"(?U)^{WHITESPACE}*{_DASHED}(?:{_TIME})?{WHITESPACE}*$"
+MONTH_FIRST = rf"(?U)^{WHITESPACE}*{_SLASHED}(?:{_TIME})?{WHITESPACE}*$"
+DAY_FIRST = rf"(?U)^{WHITESPACE}*{_SLASHED}{WHITESPACE}*$"
 
 
 def parse_date(c: Column) -> Column:
-    """First accepted form that yields a real calendar date, else NULL."""
-    text = clean_string(c)
+    """First accepted form that yields a real calendar date, else NULL.
+
+    A pattern picks the date part out of text of its own shape, and a cast that gives NULL
+    for impossible days reads it. No date parser runs, and fails, on text of another shape.
+    """
+
+    def slashed(form: str, order: str) -> Column:
+        day = F.regexp_extract(c, form, 1)
+        return F.regexp_replace(day, r"^([0-9]+)/([0-9]+)/([0-9]+)$", order).try_cast("date")
+
     return F.coalesce(
-        *[F.when(text.rlike(shape), F.try_to_date(text, form)) for shape, form in DATE_FORMS]
+        F.regexp_extract(c, YEAR_FIRST, 1).try_cast("date"),
+        slashed(MONTH_FIRST, "$3-$1-$2"),
+        slashed(DAY_FIRST, "$3-$2-$1"),
     )
 
 

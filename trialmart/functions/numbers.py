@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from trialmart.functions.text import strip_text
+from trialmart.functions.text import WHITESPACE, strip_text
 
 
 def parse_count(text: Column) -> Column:
@@ -27,7 +27,7 @@ def variant_count(v: Column) -> Column:
 
 def phase_number(c: Column) -> Column:
     """First number that follows the word 'phase'."""
-    found = F.regexp_extract(c, r"(?iU)phase\s*(\d+)", 1)
+    found = F.regexp_extract(c, rf"(?iU)phase{WHITESPACE}*([0-9]+)", 1)
     return F.nullif(found, F.lit("")).try_cast("int")
 
 

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# (?U) covers no-break and other Unicode spaces; \x1c-\x1f are separators Java leaves out.
-_WS = r"[\s\x1c-\x1f]"
-_WS_RUN = rf"(?U){_WS}+"
+# What counts as whitespace, for patterns that begin with (?U): with that flag \s covers
+# no-break and other Unicode spaces, and \x1c-\x1f are separators it leaves out.
+WHITESPACE = r"[\s\x1c-\x1f]"
+_WS_RUN = rf"(?U){WHITESPACE}+"
 # The look-behind lets a trailing run match only from its first character, which keeps
 # the scan linear on texts with long inner runs.
-_WS_ENDS = rf"(?U)^{_WS}+|(?<!{_WS}){_WS}+$"
+_WS_ENDS = rf"(?U)^{WHITESPACE}+|(?<!{WHITESPACE}){WHITESPACE}+$"
+_WORD = r"[\p{L}\p{N}_]"
 
 # Sponsor name spellings, replaced in this order.
 SPONSOR_SPELLINGS = {
@@ -62,10 +64,14 @@ def split_location(c: Column) -> Column:
 
 
 def normalize_sponsor_name(c: Column) -> Column:
-    """Clean the name, then apply the spelling table as whole-word replacements."""
+    """Clean the name, then apply the spelling table as whole-word replacements.
+
+    The word comes before the checks of its neighbours in the pattern, so the scan moves on
+    at the first letter that differs.
+    """
     name = clean_string(c)
     for old, new in SPONSOR_SPELLINGS.items():
-        name = F.regexp_replace(name, rf"(?iU)\b{old}\b", new)
+        name = F.regexp_replace(name, rf"(?iu){old}(?<!{_WORD}{old})(?!{_WORD})", new)
     return name
 
 

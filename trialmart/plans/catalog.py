@@ -74,84 +74,118 @@ def flat_studies(spark: SparkSession, folder: str) -> DataFrame:
 # ---- Single-row functions over the raw table ------------------------------------------------
 
 
-def _per_trial(**columns: Column) -> Callable[[DataFrame], DataFrame]:
-    return lambda raw: raw.select("NCTId", *[c.alias(name) for name, c in columns.items()])
+def _per_trial(raw: DataFrame, **columns: Column) -> DataFrame:
+    return raw.select("NCTId", *[c.alias(name) for name, c in columns.items()])
 
 
-def _scalar_queries() -> dict[str, Callable[[DataFrame], DataFrame]]:
-    col = F.col
-    start, end = dates.parse_date(col("StudyStartDate")), dates.parse_date(col("StudyCompletionDate"))
+def _parsed_dates(raw: DataFrame) -> DataFrame:
+    start, end = F.col("start_date"), F.col("end_date")
+    parsed = raw.select(
+        "NCTId",
+        dates.parse_date(F.col("StudyStartDate")).alias("start_date"),
+        dates.parse_date(F.col("StudyCompletionDate")).alias("end_date"),
+    )
+    return parsed.select(
+        "*",
+        dates.duration_days(start, end).alias("duration_days"),
+        dates.date_key(start).alias("start_date_key"),
+        dates.key_date(dates.date_key(start)).alias("key_date"),
+        dates.month_start(F.year(start), F.month(start)).alias("start_month"),
+        (F.year(start) >= dates.first_year(AS_OF, 2)).alias("in_last_years"),
+    )
+
+
+def _locations(raw: DataFrame) -> DataFrame:
     place = F.concat_ws(
-        ", ", F.nullif(col("LocationCity"), F.lit("")), col("LocationState"), col("LocationCountry")
+        ", ", F.nullif(F.col("LocationCity"), F.lit("")), F.col("LocationState"), F.col("LocationCountry")
+    )
+    return raw.select("NCTId", text.split_location(place).alias("place")).select("NCTId", "place.*")
+
+
+def _contacts(raw: DataFrame) -> DataFrame:
+    contact = F.concat(
+        F.lower(F.replace(F.col("LocationFacility"), F.lit(" "), F.lit(""))),
+        F.lit("@"),
+        F.replace(F.col("LocationCity"), F.lit(" "), F.lit("-")),
+        F.when(F.col("LocationState").isNull(), "").otherwise(".org"),
+    )
+    return quality.email_rule(raw.select(contact.alias("contact")), "contact")
+
+
+def _ratios(raw: DataFrame) -> DataFrame:
+    days = dates.duration_days(
+        dates.parse_date(F.col("StudyStartDate")), dates.parse_date(F.col("StudyCompletionDate"))
     )
-    spot = text.split_location(place)
-    contact = (
-        F.concat(
-            F.lower(F.replace(col("LocationFacility"), F.lit(" "), F.lit(""))),
-            F.lit("@"),
-            F.replace(col("LocationCity"), F.lit(" "), F.lit("-")),
-            F.when(col("LocationState").isNull(), "").otherwise(".org"),
-        )
+    return _per_trial(raw, enrollment_per_day=numbers.safe_divide(F.col("EnrollmentCount"), days))
+
+
+def _labels(raw: DataFrame) -> DataFrame:
+    count, eighth = F.col("EnrollmentCount"), F.col("EnrollmentCount") / F.lit(8.0)
+    return _per_trial(
+        raw,
+        whole_label=numbers.number_label(count, "comma", whole=True),
+        exact_label=numbers.number_label(eighth, "comma"),
+        percent_label=numbers.number_label(eighth, "percent"),
+        currency_label=numbers.number_label(eighth, "currency"),
+        plain_label=numbers.number_label(count, "plain"),
     )
-    enrollment = col("EnrollmentCount")
-    return {
-        "clean_text": _per_trial(
-            brief_title=text.clean_string(col("BriefTitle")),
-            sponsor_class=text.clean_string(col("LeadSponsorClass")),
-            condition=text.clean_string(col("Condition")),
-            purpose=text.clean_string(col("PrimaryPurpose")),
-        ),
-        "parse_dates": _per_trial(
-            start_date=start,
-            end_date=end,
-            duration_days=dates.duration_days(start, end),
-            start_date_key=dates.date_key(start),
-            key_date=dates.key_date(dates.date_key(start)),
-            start_month=dates.month_start(F.year(start), F.month(start)),
-            in_last_years=F.year(start) >= dates.first_year(AS_OF, 2),
-        ),
-        "split_location": _per_trial(city=spot["city"], state=spot["state"], country=spot["country"]),
-        "normalize_sponsor": _per_trial(sponsor_name=text.normalize_sponsor_name(col("LeadSponsorName"))),
-        "hash_keys": _per_trial(
-            location_hash=text.hash_key(col("LocationCountry"), col("LocationState"), col("LocationCity")),
-            title_hash=text.hash_key(col("BriefTitle"), col("OfficialTitle")),
-        ),
-        "phase_number": _per_trial(phase=col("Phase"), phase_number=numbers.phase_number(col("Phase"))),
-        "enrollment_band": _per_trial(
-            enrollment_count=enrollment, enrollment_category=numbers.categorize_enrollment(enrollment)
-        ),
-        "condition_keywords": _per_trial(
-            condition=col("Condition"), category=categories.categorize_condition(col("Condition"))
-        ),
-        "region_continent": _per_trial(
-            country=col("LocationCountry"),
-            region=categories.categorize_region(col("LocationCountry")),
-            continent=categories.categorize_continent(col("LocationCountry")),
-        ),
-        "sponsor_classes": _per_trial(
-            sponsor_type=categories.sponsor_type(col("LeadSponsorClass")),
-            sponsor_category=categories.sponsor_category(col("LeadSponsorName")),
-        ),
-        "intervention_class": _per_trial(
-            intervention_category=categories.intervention_category(col("InterventionType"))
-        ),
-        "status_flags": _per_trial(
-            is_completed=categories.status_has(col("Status"), "completed"),
-            is_recruiting=categories.status_has(col("Status"), "recruiting"),
-            is_terminated=categories.status_has(col("Status"), "terminated"),
-        ),
-        "email_rule": lambda raw: quality.email_rule(raw.select(contact.alias("contact")), "contact"),
-        "safe_ratio": _per_trial(
-            enrollment_per_day=numbers.safe_divide(enrollment, dates.duration_days(start, end))
-        ),
-        "number_labels": _per_trial(
-            whole_label=numbers.number_label(enrollment, "comma", whole=True),
-            exact_label=numbers.number_label(enrollment / F.lit(8.0), "comma"),
-            percent_label=numbers.number_label(enrollment / F.lit(8.0), "percent"),
-            currency_label=numbers.number_label(enrollment / F.lit(8.0), "currency"),
-            plain_label=numbers.number_label(enrollment, "plain"),
-        ),
-    }
+
+
+SCALAR_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "clean_text": lambda raw: _per_trial(
+        raw,
+        brief_title=text.clean_string(F.col("BriefTitle")),
+        sponsor_class=text.clean_string(F.col("LeadSponsorClass")),
+        condition=text.clean_string(F.col("Condition")),
+        purpose=text.clean_string(F.col("PrimaryPurpose")),
+    ),
+    "parse_dates": _parsed_dates,
+    "split_location": _locations,
+    "normalize_sponsor": lambda raw: _per_trial(
+        raw, sponsor_name=text.normalize_sponsor_name(F.col("LeadSponsorName"))
+    ),
+    "hash_keys": lambda raw: _per_trial(
+        raw,
+        location_hash=text.hash_key(F.col("LocationCountry"), F.col("LocationState"), F.col("LocationCity")),
+        title_hash=text.hash_key(F.col("BriefTitle"), F.col("OfficialTitle")),
+    ),
+    "phase_number": lambda raw: _per_trial(
+        raw, phase=F.col("Phase"), phase_number=numbers.phase_number(F.col("Phase"))
+    ),
+    "enrollment_band": lambda raw: _per_trial(
+        raw,
+        enrollment_count=F.col("EnrollmentCount"),
+        enrollment_category=numbers.categorize_enrollment(F.col("EnrollmentCount")),
+    ),
+    "condition_keywords": lambda raw: _per_trial(
+        raw,
+        condition=F.col("Condition"),
+        category=categories.categorize_condition(F.col("Condition")),
+    ),
+    "region_continent": lambda raw: _per_trial(
+        raw,
+        country=F.col("LocationCountry"),
+        region=categories.categorize_region(F.col("LocationCountry")),
+        continent=categories.categorize_continent(F.col("LocationCountry")),
+    ),
+    "sponsor_classes": lambda raw: _per_trial(
+        raw,
+        sponsor_type=categories.sponsor_type(F.col("LeadSponsorClass")),
+        sponsor_category=categories.sponsor_category(F.col("LeadSponsorName")),
+    ),
+    "intervention_class": lambda raw: _per_trial(
+        raw, intervention_category=categories.intervention_category(F.col("InterventionType"))
+    ),
+    "status_flags": lambda raw: _per_trial(
+        raw,
+        is_completed=categories.status_has(F.col("Status"), "completed"),
+        is_recruiting=categories.status_has(F.col("Status"), "recruiting"),
+        is_terminated=categories.status_has(F.col("Status"), "terminated"),
+    ),
+    "email_rule": _contacts,
+    "safe_ratio": _ratios,
+    "number_labels": _labels,
+}
 
 
 # ---- Catalogue --------------------------------------------------------------------------------
@@ -204,7 +238,7 @@ RAW_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "recent_trials": lambda raw: search.recent_trials(raw, AS_OF).select(*SHOWN),
     "trial_details": lambda raw: search.trial_details(raw, DETAIL_ID),
     "limit_trials": lambda raw: search.limit_trials(search.valid_raw(raw).filter("NCTId is not null"), 25).select(*SHOWN),
-    **_scalar_queries(),
+    **SCALAR_QUERIES,
     "clean_trials": lambda raw: clean.clean_trials(search.valid_raw(raw)),
     "row_quality": lambda raw: clean.clean_trials(search.valid_raw(raw)).select(
         "nct_id", "data_completeness_score", "data_quality_score"

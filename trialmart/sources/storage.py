@@ -48,6 +48,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def spread_small(spark: SparkSession, scan: DataFrame) -> DataFrame:
+    """A table scan with at least one partition per core.
+
+    Only a table stored in fewer splits than there are cores is shuffled for this, which
+    bounds what moves; anything larger is returned as it is.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
 def run_query(
     spark: SparkSession,
     query: str,
