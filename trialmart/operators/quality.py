@@ -142,13 +142,7 @@ def email_rule(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(valid_email(F.col(column)).alias("is_valid")).agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def run_observed(
-    spark: SparkSession,
-    job_name: str,
-    step: str,
-    df: DataFrame,
-    write: Callable[[DataFrame], None],
-) -> Row:
+def run_observed(job_name: str, step: str, df: DataFrame, write: Callable[[DataFrame], None]) -> Row:
     """Write a frame and count its rows in the same pass; returns the job record."""
     observed = Observation(f"{job_name}.{step}")
     started, clock = dt.datetime.now(), time.monotonic()

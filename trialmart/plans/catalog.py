@@ -40,8 +40,9 @@ def raw_table(spark: SparkSession, folder: str) -> DataFrame:
     """The stored raw trials of a folder."""
     root = _root(spark, folder)
     if root not in _raw:
-        storage.write_table(order_trials.raw_trials(spark, folder), f"{root}/raw_trials")
-        _raw[root] = storage.read_table(spark, f"{root}/raw_trials")
+        derived = order_trials.raw_trials(spark, folder)
+        storage.write_table(derived, f"{root}/raw_trials")
+        _raw[root] = storage.read_table(spark, f"{root}/raw_trials", derived.schema)
     return _raw[root]
 
 

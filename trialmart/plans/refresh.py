@@ -9,7 +9,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,25 +36,33 @@ STAGED_KEYS = {
 }
 STAMPS = {"created_date": ["stg_", "dim_", "fact_"], "updated_date": ["dim_", "fact_"], "etl_batch_id": ["fact_"]}
 
-STEPS: list[Step] = [
-    ("stg_sponsors", lambda t: staging.stage_sponsors(t["raw_trials"])),
-    ("stg_locations", lambda t: staging.stage_locations(t["raw_trials"])),
-    ("stg_conditions", lambda t: staging.stage_conditions(t["raw_trials"])),
-    ("stg_interventions", lambda t: staging.stage_interventions(t["raw_trials"])),
-    ("repeated_trials", lambda t: staging.repeated_trials(t["raw_trials"])),
-    ("stg_trials", lambda t: staging.stage_trials(t["raw_trials"], t["repeated_trials"])),
-    ("dim_dates", lambda t: warehouse.dim_dates(t["stg_trials"])),
-    ("dim_sponsor", lambda t: warehouse.dim_sponsor(t["stg_sponsors"])),
-    ("dim_location", lambda t: warehouse.dim_location(t["stg_locations"])),
-    ("dim_condition", lambda t: warehouse.dim_condition(t["stg_conditions"])),
-    ("dim_intervention", lambda t: warehouse.dim_intervention(t["stg_interventions"])),
-    (
-        "fact_trials",
-        lambda t: warehouse.fact_trials(
-            t["stg_trials"], t["dim_sponsor"], t["dim_location"], t["dim_condition"], t["dim_intervention"]
+# The steps of one wave do not depend on each other.
+WAVES: list[list[Step]] = [
+    [
+        ("stg_sponsors", lambda t: staging.stage_sponsors(t["raw_trials"])),
+        ("stg_locations", lambda t: staging.stage_locations(t["raw_trials"])),
+        ("stg_conditions", lambda t: staging.stage_conditions(t["raw_trials"])),
+        ("stg_interventions", lambda t: staging.stage_interventions(t["raw_trials"])),
+        ("repeated_trials", lambda t: staging.repeated_trials(t["raw_trials"])),
+    ],
+    [
+        ("stg_trials", lambda t: staging.stage_trials(t["raw_trials"], t["repeated_trials"])),
+        ("dim_sponsor", lambda t: warehouse.dim_sponsor(t["stg_sponsors"])),
+        ("dim_location", lambda t: warehouse.dim_location(t["stg_locations"])),
+        ("dim_condition", lambda t: warehouse.dim_condition(t["stg_conditions"])),
+        ("dim_intervention", lambda t: warehouse.dim_intervention(t["stg_interventions"])),
+    ],
+    [
+        ("dim_dates", lambda t: warehouse.dim_dates(t["stg_trials"])),
+        (
+            "fact_trials",
+            lambda t: warehouse.fact_trials(
+                t["stg_trials"], t["dim_sponsor"], t["dim_location"], t["dim_condition"], t["dim_intervention"]
+            ),
         ),
-    ),
+    ],
 ]
+STEP_NAMES = [name for wave in WAVES for name, _ in wave]
 
 
 def _stamped(name: str, df: DataFrame, run_ts: dt.datetime) -> DataFrame:
@@ -68,20 +78,28 @@ def _stamped(name: str, df: DataFrame, run_ts: dt.datetime) -> DataFrame:
 
 
 def run_steps(
-    spark: SparkSession, steps: list[Step], tables: Tables, folder: str, run_ts: dt.datetime
+    spark: SparkSession, waves: list[list[Step]], tables: Tables, folder: str, run_ts: dt.datetime
 ) -> tuple[Tables, list[Row]]:
-    """Run the steps in order; each gets the tables so far and its result is written as a table."""
+    """Run the waves in order; a step gets the tables of earlier waves, and its result is
+    written as a table. Steps of a wave are submitted together, so that the last tasks of
+    one do not leave the cluster idle."""
     done, records = dict(tables), []
-    for name, build in steps:
+
+    def run(step: Step) -> tuple[str, DataFrame, Row]:
+        name, build = step
         df = _stamped(name, build(done), run_ts)
         if name in STAGED_KEYS:
             df = place_in_order(df, STAGED_KEYS[name])
         partitions = (FACT_PARTITION,) if name == "fact_trials" else ()
         path = f"{folder}/{name}"
-        records.append(
-            run_observed(spark, JOB, name, df, lambda d: storage.write_table(d, path, partition_by=partitions))
-        )
-        done[name] = storage.read_table(spark, path)
+        record = run_observed(JOB, name, df, lambda d: storage.write_table(d, path, partition_by=partitions))
+        return name, storage.read_table(spark, path, df.schema), record
+
+    for wave in waves:
+        with ThreadPoolExecutor(len(wave)) as pool:
+            for name, table, record in pool.map(inheritable_thread_target(spark)(run), wave):
+                done[name] = table
+                records.append(record)
     return done, records
 
 
@@ -100,7 +118,7 @@ def refresh_warehouse(spark: SparkSession, raw: DataFrame, root: str, run_ts: dt
     """Build all tables from a raw trial table (a stored one: it is read several times) in a
     new folder below `root`, log the steps, and publish the run."""
     run = f"run-{run_ts:%Y%m%dT%H%M%S%f}"
-    tables, records = run_steps(spark, STEPS, {"raw_trials": raw}, f"{root}/{run}", run_ts)
+    tables, records = run_steps(spark, WAVES, {"raw_trials": raw}, f"{root}/{run}", run_ts)
     storage.write_table(job_metrics(spark, records), f"{root}/job_runs", if_exists="append")
     storage.publish_run(spark, root, run, run_ts)
     return tables
@@ -111,4 +129,4 @@ def open_warehouse(spark: SparkSession, root: str) -> Tables:
     run = storage.published_run(spark, root)
     if run is None:
         raise LookupError(f"no published run below {root}")
-    return {name: storage.read_table(spark, f"{root}/{run}/{name}") for name, _ in STEPS}
+    return {name: storage.read_table(spark, f"{root}/{run}/{name}") for name in STEP_NAMES}

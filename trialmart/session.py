@@ -8,6 +8,9 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Plans here are built from many small column calls; recording the call site of each costs
+    # more driver time than analysing the plan.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # The JVM does not compile methods above 8000 bytes of bytecode, and whole-stage code for
     # the wide cleaning projections is larger. Beyond this limit Spark generates split code
     # per operator instead, which is compiled.

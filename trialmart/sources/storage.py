@@ -9,6 +9,7 @@ import uuid
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from trialmart.schemas import FLAT
 from trialmart.sources.study_pages import validation_summary
@@ -44,8 +45,10 @@ def write_table(
     df.write.mode(LOAD_MODES[if_exists]).partitionBy(*partition_by).parquet(path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Read a parquet table; a known schema saves the job that reads file footers."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def spread_small(spark: SparkSession, scan: DataFrame) -> DataFrame:
