@@ -14,6 +14,7 @@ from trialmart.functions.text import valid_email
 from trialmart.operators.clean import dates_in_order, enrollment_plausible, phase_known
 from trialmart.operators.keys import repeated_keys
 from trialmart.operators.warehouse import Star
+from trialmart.sources.storage import materialize
 
 JOB_RUN_SCHEMA = (
     "job_name string, step string, start_time timestamp, duration_seconds double, "
@@ -39,54 +40,46 @@ def missing_values(df: DataFrame) -> DataFrame:
     return listed.select("column_name", "missing_count", round_even(share, 2).alias("missing_percentage"))
 
 
-def duplicate_rows(df: DataFrame) -> DataFrame:
-    """One row: how many rows repeat an earlier row in all columns.
-
-    Rows are first told apart by a 64-bit hash, so only the hash is shuffled for rows that
-    have no equal. Rows that share a hash are then compared in full, which keeps it exact.
-    """
-    names = [f"c{i}" for i in range(len(df.columns))]
-    hashed = df.toDF(*names).withColumn("row_hash", F.xxhash64(*names))
-    shared = repeated_keys(hashed.select("row_hash"), "row_hash").select("row_hash")
-    groups = hashed.join(shared, "row_hash", "left_semi").groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
-
-
 def quality_report(df: DataFrame, required: list[str]) -> DataFrame:
     """One row of table metrics. Required columns the table lacks are left out; with none
-    present the table counts as complete. An empty table scores 0 throughout."""
+    present the table counts as complete. An empty table scores 0 throughout.
+
+    Duplicates are rows equal to an earlier row in all columns. A first pass counts rows by
+    a 64-bit hash, which is all it shuffles, and takes the other counts along as observed
+    metrics. Only rows that share a hash are then compared in full, which keeps the result
+    exact; without such rows there is no second pass.
+    """
     present = [c for c in required if c in df.columns]
-    filled = sum((F.count(c) for c in present), F.lit(0))
-    nothing = F.lit(None).cast("bigint")
-    rows = df.agg(F.count(F.lit(1)).alias("total_rows"), filled.cast("bigint").alias("filled"))
-    # Two one-row aggregates are brought together by a union and a sum.
-    both = rows.withColumn("duplicate_rows", nothing).unionByName(
-        duplicate_rows(df).select(
-            nothing.alias("total_rows"), nothing.alias("filled"), F.col("duplicate_rows").cast("bigint")
-        )
-    )
-    sums = both.agg(*[F.sum(c).alias(c) for c in both.columns])
-    total = F.col("total_rows").cast("double")
-    duplicate_pct = F.try_divide(F.col("duplicate_rows") * F.lit(100.0), total)
-    if present:
-        completeness = F.try_divide(F.col("filled") * F.lit(100.0), total * F.lit(float(len(present))))
+    names = [f"c{i}" for i in range(len(df.columns))]
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("rows")]
+    counts += [F.count(names[df.columns.index(c)]).alias(f"filled{i}") for i, c in enumerate(present)]
+    hashed = df.toDF(*names).observe(seen, *counts).withColumn("row_hash", F.xxhash64(*names))
+    shared = materialize(repeated_keys(hashed.select("row_hash"), "row_hash").select("row_hash"), "row-hashes")
+    total = seen.get["rows"]
+    filled = sum(seen.get[f"filled{i}"] for i in range(len(present)))
+
+    if shared.isEmpty():
+        repeats = df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("duplicate_rows"))
     else:
-        completeness = F.when(total > 0, 100.0)
-    parts = sums.withColumns({"duplicate_pct": duplicate_pct, "complete_pct": completeness})
-    score = F.greatest(
-        F.lit(0.0),
-        F.lit(100.0) - F.col("duplicate_pct") * F.lit(2.0) - (F.lit(100.0) - F.col("complete_pct")),
-    )
-
-    def shown(c: Column) -> Column:
-        return F.when(F.col("total_rows") == 0, 0.0).otherwise(round_even(c, 2))
-
-    return parts.select(
-        "total_rows",
+        named = df.toDF(*names).withColumn("row_hash", F.xxhash64(*names))
+        groups = named.join(shared, "row_hash", "left_semi").groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
+        repeats = groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
+
+    if total == 0:
+        complete = 0.0
+    elif present:
+        complete = filled * 100.0 / (total * len(present))
+    else:
+        complete = 100.0
+    duplicate_pct = F.coalesce(F.try_divide(F.col("duplicate_rows") * F.lit(100.0), F.lit(float(total))), F.lit(0.0))
+    score = F.lit(100.0) - duplicate_pct * F.lit(2.0) - (F.lit(100.0) - F.lit(complete))
+    return repeats.select(
+        F.lit(total).cast("bigint").alias("total_rows"),
         "duplicate_rows",
-        shown(F.col("duplicate_pct")).alias("duplicate_percentage"),
-        shown(F.col("complete_pct")).alias("completeness"),
-        shown(score).alias("quality_score"),
+        round_even(duplicate_pct, 2).alias("duplicate_percentage"),
+        round_even(F.lit(complete), 2).alias("completeness"),
+        round_even(F.greatest(F.lit(0.0), score), 2).alias("quality_score"),
     )
 
 

@@ -124,6 +124,11 @@ def repeated_trials(raw: DataFrame) -> DataFrame:
     return repeated_keys(staged_ids(raw).select(F.col("NCTId").alias("nct_id")), "nct_id")
 
 
+def trial_ids(raw: DataFrame) -> DataFrame:
+    """Every trial id once."""
+    return staged_ids(raw).select(F.col("NCTId").alias("nct_id")).distinct()
+
+
 def stage_trials(raw: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """One row per trial id with dimension ids, date keys, defaults and scores.
 

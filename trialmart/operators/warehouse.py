@@ -1,8 +1,9 @@
 """Warehouse tables: date, sponsor, location, condition and intervention dimensions, and the
 trial fact table.
 
-The dimension and fact functions take *written* staging tables that carry the noted row
-places (keys.place_in_order), and turn those into dense surrogate keys.
+The dimension functions take *written* staging tables that carry the noted row places
+(keys.place_in_order), and turn those into dense surrogate keys; the fact function takes
+such a table of trial ids.
 """
 
 from __future__ import annotations
@@ -185,18 +186,20 @@ def dim_dates(staged_trials: DataFrame) -> DataFrame:
 
 def fact_trials(
     staged: DataFrame,
+    ids: DataFrame,
     sponsor: DataFrame,
     location: DataFrame,
     condition: DataFrame,
     intervention: DataFrame,
 ) -> DataFrame:
-    """Trials with their dimension keys; an id without a member gives a NULL key.
+    """Trials with their own and their dimension keys; an id without a member gives a NULL key.
 
-    Dimensions are unique by id, so no row fans out. Each join reads an id and a key column
+    `ids` holds the trial ids in key order, so that only ids are sampled and sorted to number
+    the trials. Dimensions are unique by id, so no row fans out. Each join reads an id and a key column
     only. Spark broadcasts a dimension whose measured size allows it; a larger one is
     shuffled, and adaptive execution splits the partition of an id that many trials share.
     """
-    joined = number_rows(staged, "trial_key")
+    joined = staged.join(number_rows(ids, "trial_key"), "nct_id")
     for dim, name in [
         (sponsor, "sponsor"),
         (location, "location"),

@@ -277,7 +277,12 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "dim_condition": lambda t: warehouse.dim_condition(t["stg_conditions"]),
     "dim_intervention": lambda t: warehouse.dim_intervention(t["stg_interventions"]),
     "fact_trials": lambda t: warehouse.fact_trials(
-        t["stg_trials"], t["dim_sponsor"], t["dim_location"], t["dim_condition"], t["dim_intervention"]
+        t["stg_trials"],
+        t["trial_ids"],
+        t["dim_sponsor"],
+        t["dim_location"],
+        t["dim_condition"],
+        t["dim_intervention"],
     ).select(*warehouse.FACT_COLUMNS),
     "referential_integrity": lambda t: quality.referential_integrity(star_of(t)),
 }

@@ -26,13 +26,13 @@ JOB = "warehouse_refresh"
 Tables = dict[str, DataFrame]
 Step = tuple[str, Callable[[Tables], DataFrame]]
 
-# Staging table -> its key; these are written in key order with the place of every row.
+# Table -> its key; these are written in key order with the place of every row.
 STAGED_KEYS = {
     "stg_sponsors": "sponsor_id",
     "stg_locations": "location_id",
     "stg_conditions": "condition_id",
     "stg_interventions": "intervention_id",
-    "stg_trials": "nct_id",
+    "trial_ids": "nct_id",
 }
 STAMPS = {"created_date": ["stg_", "dim_", "fact_"], "updated_date": ["dim_", "fact_"], "etl_batch_id": ["fact_"]}
 
@@ -43,6 +43,7 @@ WAVES: list[list[Step]] = [
         ("stg_locations", lambda t: staging.stage_locations(t["raw_trials"])),
         ("stg_conditions", lambda t: staging.stage_conditions(t["raw_trials"])),
         ("stg_interventions", lambda t: staging.stage_interventions(t["raw_trials"])),
+        ("trial_ids", lambda t: staging.trial_ids(t["raw_trials"])),
         ("repeated_trials", lambda t: staging.repeated_trials(t["raw_trials"])),
     ],
     [
@@ -57,7 +58,12 @@ WAVES: list[list[Step]] = [
         (
             "fact_trials",
             lambda t: warehouse.fact_trials(
-                t["stg_trials"], t["dim_sponsor"], t["dim_location"], t["dim_condition"], t["dim_intervention"]
+                t["stg_trials"],
+                t["trial_ids"],
+                t["dim_sponsor"],
+                t["dim_location"],
+                t["dim_condition"],
+                t["dim_intervention"],
             ),
         ),
     ],

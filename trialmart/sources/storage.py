@@ -51,6 +51,14 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return reader.parquet(path)
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the shared folder: computed once, safe against lost executors,
+    and of a size the planner can see."""
+    path = new_run_folder(df.sparkSession, label)
+    write_table(df, path)
+    return read_table(df.sparkSession, path, df.schema)
+
+
 def spread_small(spark: SparkSession, scan: DataFrame) -> DataFrame:
     """A table scan with at least one partition per core.
 
