@@ -49,6 +49,15 @@ def quality_report(df: DataFrame, required: list[str]) -> DataFrame:
     metrics. Only rows that share a hash are then compared in full, which keeps the result
     exact; without such rows there is no second pass.
     """
+    if df.isEmpty():
+        zero = F.lit(0.0)
+        return df.sparkSession.range(1).select(
+            F.lit(0).cast("bigint").alias("total_rows"),
+            F.lit(0).cast("bigint").alias("duplicate_rows"),
+            zero.alias("duplicate_percentage"),
+            zero.alias("completeness"),
+            zero.alias("quality_score"),
+        )
     present = [c for c in required if c in df.columns]
     names = [f"c{i}" for i in range(len(df.columns))]
     seen = Observation()
@@ -66,13 +75,8 @@ def quality_report(df: DataFrame, required: list[str]) -> DataFrame:
         groups = named.join(shared, "row_hash", "left_semi").groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
         repeats = groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
 
-    if total == 0:
-        complete = 0.0
-    elif present:
-        complete = filled * 100.0 / (total * len(present))
-    else:
-        complete = 100.0
-    duplicate_pct = F.coalesce(F.try_divide(F.col("duplicate_rows") * F.lit(100.0), F.lit(float(total))), F.lit(0.0))
+    complete = filled * 100.0 / (total * len(present)) if present else 100.0
+    duplicate_pct = F.col("duplicate_rows") * F.lit(100.0) / F.lit(float(total))
     score = F.lit(100.0) - duplicate_pct * F.lit(2.0) - (F.lit(100.0) - F.lit(complete))
     return repeats.select(
         F.lit(total).cast("bigint").alias("total_rows"),

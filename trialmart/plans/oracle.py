@@ -89,15 +89,15 @@ def flag(c: str, word: str) -> str:
 
 
 def or_unknown(c: str) -> str:
-    return f"CASE WHEN {c} IS NULL OR {c} = '' THEN 'Unknown' ELSE trim({c}) END"
+    return f"coalesce(trim(nullif({c}, '')), 'Unknown')"
 
 
 def or_null(c: str) -> str:
-    return f"CASE WHEN {c} IS NULL OR {c} = '' THEN NULL ELSE trim({c}) END"
+    return f"trim(nullif({c}, ''))"
 
 
-def number(c: str, kind: str = "DOUBLE") -> str:
-    return f"CAST({c} AS {kind})"
+def bit(test: str) -> str:
+    return f"CAST(coalesce({test}, false) AS INTEGER)"
 
 
 # ---- Common table expressions -----------------------------------------------------------------
@@ -127,26 +127,20 @@ def _with(needs: list[str], query: str) -> str:
 _cte("raw_trials", [], ORDER_TRIALS_SQL.format(**{name: name for name in INPUTS}))
 _cte("valid_raw", ["raw_trials"], "SELECT * FROM raw_trials WHERE validation_status = 'valid'")
 
-SPONSOR_ID = (
-    "CASE WHEN LeadSponsorName IS NOT NULL THEN 'SPONSOR_' || lower(replace(LeadSponsorName, ' ', '_')) "
-    "ELSE 'SPONSOR_UNKNOWN' END"
-)
+SPONSOR_ID = "coalesce('SPONSOR_' || lower(replace(LeadSponsorName, ' ', '_')), 'SPONSOR_UNKNOWN')"
+_PLACE = ["LocationCountry", "LocationState", "LocationCity"]
 LOCATION_ID = (
-    "CASE WHEN LocationCountry IS NOT NULL OR LocationState IS NOT NULL OR LocationCity IS NOT NULL THEN "
-    "'LOC_' || lower(replace(coalesce(LocationCountry, '') || '_' || coalesce(LocationState, '') || '_' "
-    "|| coalesce(LocationCity, ''), ' ', '_')) ELSE 'LOC_UNKNOWN' END"
+    f"CASE WHEN coalesce({', '.join(_PLACE)}) IS NULL THEN 'LOC_UNKNOWN' ELSE 'LOC_' || "
+    f"lower(replace(concat_ws('_', {', '.join(f"coalesce({c}, '')" for c in _PLACE)}), ' ', '_')) END"
 )
 
 
 def _slug_id(c: str, prefix: str) -> str:
-    return f"CASE WHEN {c} IS NOT NULL THEN '{prefix}' || lower(replace({c}, ' ', '')) ELSE '{prefix}UNKNOWN' END"
+    return f"coalesce('{prefix}' || lower(replace({c}, ' ', '')), '{prefix}UNKNOWN')"
 
 
 def _member_id(c: str, prefix: str) -> str:
-    return (
-        f"CASE WHEN {c} IS NOT NULL AND trim({c}) <> '' THEN '{prefix}' || lower(replace({c}, ' ', '')) "
-        f"ELSE '{prefix}UNKNOWN_1' END"
-    )
+    return f"coalesce('{prefix}' || nullif(lower(replace({c}, ' ', '')), ''), '{prefix}UNKNOWN_1')"
 
 
 def _first(key: str, columns: list[str], source: str) -> str:
@@ -168,7 +162,7 @@ _cte(
             {or_unknown('LeadSponsorClass')} AS sponsor_class,
             {by_keyword('LeadSponsorClass', cat.SPONSOR_TYPES, 'Other')} AS sponsor_type,
             {by_keyword('LeadSponsorName', cat.SPONSOR_COUNTRIES, 'Unknown', 'Unknown')} AS country
-            FROM valid_raw WHERE LeadSponsorName IS NOT NULL AND LeadSponsorName <> ''""",
+            FROM valid_raw WHERE length(LeadSponsorName) > 0""",
     )
     + ")",
 )
@@ -181,9 +175,7 @@ _cte(
         f"""SELECT DISTINCT {LOCATION_ID} AS location_id,
             coalesce(trim(LocationCountry), 'Unknown') AS country, {or_null('LocationState')} AS state,
             {or_null('LocationCity')} AS city, {or_null('LocationFacility')} AS facility_name
-            FROM valid_raw WHERE (LocationCountry IS NOT NULL AND LocationCountry <> '')
-              OR (LocationState IS NOT NULL AND LocationState <> '')
-              OR (LocationCity IS NOT NULL AND LocationCity <> '')""",
+            FROM valid_raw WHERE length(concat({', '.join(_PLACE)})) > 0""",
     ),
 )
 _cte(
@@ -216,14 +208,13 @@ _cte(
         {date_key('start_date')} AS start_date_key, {date_key('end_date')} AS completion_date_key,
         {or_null('BriefTitle')} AS brief_title, {or_null('OfficialTitle')} AS official_title,
         {or_unknown('Phase')} AS phase,
-        CASE WHEN EnrollmentCount IS NULL OR EnrollmentCount <= 0 THEN NULL ELSE EnrollmentCount END AS enrollment_count,
+        CASE WHEN EnrollmentCount > 0 THEN EnrollmentCount END AS enrollment_count,
         {or_unknown('Status')} AS status, {or_unknown('StudyType')} AS study_type,
         {or_unknown('Allocation')} AS allocation, {or_unknown('InterventionModel')} AS intervention_model,
         {or_unknown('PrimaryPurpose')} AS primary_purpose, {or_unknown('MaskingInfo')} AS masking_info,
         {days('start_date', 'end_date')} AS duration_days,
-        CASE WHEN BriefTitle IS NOT NULL AND LeadSponsorName IS NOT NULL AND Condition IS NOT NULL THEN 100.0::DOUBLE
-             WHEN BriefTitle IS NOT NULL OR LeadSponsorName IS NOT NULL OR Condition IS NOT NULL THEN 50.0::DOUBLE
-             ELSE 0.0::DOUBLE END AS data_completeness_score,
+        CAST(CASE (BriefTitle IS NOT NULL)::INT + (LeadSponsorName IS NOT NULL)::INT + (Condition IS NOT NULL)::INT
+             WHEN 3 THEN 100 WHEN 0 THEN 0 ELSE 50 END AS DOUBLE) AS data_completeness_score,
         85.0::DOUBLE AS data_quality_score
         FROM (SELECT *, {date('StudyStartDate')} AS start_date, {date('StudyCompletionDate')} AS end_date
               FROM valid_raw WHERE NCTId IS NOT NULL)""",
@@ -231,12 +222,9 @@ _cte(
 _cte(
     "dim_sponsor",
     ["stg_sponsors"],
-    """SELECT row_number() OVER (ORDER BY sponsor_id) AS sponsor_key, sponsor_id, sponsor_name, sponsor_class,
-        sponsor_type, CAST(NULL AS VARCHAR) AS sponsor_category,
-        CASE WHEN sponsor_type = 'Industry' THEN 1 ELSE 0 END AS is_industry,
-        CASE WHEN sponsor_type = 'Academic' THEN 1 ELSE 0 END AS is_academic,
-        CASE WHEN sponsor_type = 'Government' THEN 1 ELSE 0 END AS is_government,
-        country, state, city, 1 AS is_active FROM stg_sponsors""",
+    f"""SELECT row_number() OVER (ORDER BY sponsor_id) AS sponsor_key, *, CAST(NULL AS VARCHAR) AS sponsor_category,
+        {bit("sponsor_type = 'Industry'")} AS is_industry, {bit("sponsor_type = 'Academic'")} AS is_academic,
+        {bit("sponsor_type = 'Government'")} AS is_government, 1 AS is_active FROM stg_sponsors""",
 )
 _cte(
     "dim_location",
@@ -253,23 +241,20 @@ _cte(
     f"""SELECT row_number() OVER (ORDER BY condition_id) AS condition_key, condition_id, condition_name,
         condition_category, {by_value('condition_category', cat.CONDITION_TYPES, 'Other')} AS condition_type,
         CAST(NULL AS VARCHAR) AS icd_code, condition_name AS mesh_term,
-        CASE WHEN condition_category IN ('Rare Disease', 'Orphan Disease') THEN 1 ELSE 0 END AS is_rare,
+        {bit(f"condition_category IN ({', '.join(map(q, cat.RARE_CONDITION_GROUPS))})")} AS is_rare,
         {by_value('condition_category', cat.CONDITION_PREVALENCE, 'Low')} AS prevalence_category,
         1 AS is_active FROM stg_conditions""",
 )
+_KINDS = {"drug": "Drug", "device": "Device", "procedure": "Procedure"}
 _cte(
     "dim_intervention",
     ["stg_interventions"],
-    """SELECT row_number() OVER (ORDER BY intervention_id) AS intervention_key, intervention_id,
-        intervention_name, intervention_type, intervention_type AS intervention_category,
-        CASE WHEN intervention_type = 'Drug' THEN intervention_name END AS drug_name,
-        CASE WHEN intervention_type = 'Device' THEN intervention_name END AS device_name,
-        CASE WHEN intervention_type = 'Procedure' THEN intervention_name END AS procedure_name,
-        CASE WHEN intervention_type = 'Drug' THEN 1 ELSE 0 END AS is_drug,
-        CASE WHEN intervention_type = 'Device' THEN 1 ELSE 0 END AS is_device,
-        CASE WHEN intervention_type = 'Procedure' THEN 1 ELSE 0 END AS is_procedure,
-        CASE WHEN intervention_type = 'Behavioral' THEN 1 ELSE 0 END AS is_behavioral,
-        1 AS is_active FROM stg_interventions""",
+    "SELECT row_number() OVER (ORDER BY intervention_id) AS intervention_key, *, "
+    + "intervention_type AS intervention_category, "
+    + ", ".join(f"if(intervention_type = '{v}', intervention_name, NULL) AS {k}_name" for k, v in _KINDS.items())
+    + ", "
+    + ", ".join(f"{bit(f"intervention_type = '{v}'")} AS is_{k}" for k, v in _KINDS.items())
+    + f", {bit("intervention_type = 'Behavioral'")} AS is_behavioral, 1 AS is_active FROM stg_interventions",
 )
 _cte(
     "dim_dates",
@@ -290,20 +275,24 @@ _cte(
 _cte(
     "fact_trials",
     ["stg_trials", "dim_sponsor", "dim_location", "dim_condition", "dim_intervention"],
-    """SELECT row_number() OVER (ORDER BY st.nct_id) AS trial_key, st.nct_id, ds.sponsor_key, dl.location_key,
-        dc.condition_key, di.intervention_key, st.start_date_key, st.completion_date_key, st.brief_title,
-        st.official_title, st.phase, st.enrollment_count, st.enrollment_count AS actual_enrollment, st.status,
-        st.study_type, st.allocation, st.intervention_model, st.primary_purpose, st.masking_info,
-        st.duration_days, CASE WHEN st.enrollment_count > 0 THEN 1 ELSE 0 END AS enrollment_target_met,
-        CASE WHEN lower(st.status) LIKE '%completed%' THEN 1 ELSE 0 END AS is_completed,
-        CASE WHEN lower(st.status) LIKE '%terminated%' THEN 1 ELSE 0 END AS is_terminated,
-        CASE WHEN lower(st.status) LIKE '%recruiting%' THEN 1 ELSE 0 END AS is_recruiting,
-        st.data_completeness_score, st.data_quality_score, 'ClinicalTrials.gov' AS source_system
-        FROM stg_trials st
-        LEFT JOIN dim_sponsor ds ON st.sponsor_id = ds.sponsor_id
-        LEFT JOIN dim_location dl ON st.location_id = dl.location_id
-        LEFT JOIN dim_condition dc ON st.condition_id = dc.condition_id
-        LEFT JOIN dim_intervention di ON st.intervention_id = di.intervention_id""",
+    f"""SELECT *, row_number() OVER (ORDER BY nct_id) AS trial_key, enrollment_count AS actual_enrollment,
+        {bit('enrollment_count > 0')} AS enrollment_target_met, {bit("status ILIKE '%completed%'")} AS is_completed,
+        {bit("status ILIKE '%terminated%'")} AS is_terminated, {bit("status ILIKE '%recruiting%'")} AS is_recruiting,
+        'ClinicalTrials.gov' AS source_system FROM stg_trials """
+    + " ".join(
+        f"LEFT JOIN (SELECT {d}_id, {d}_key FROM dim_{d}) USING ({d}_id)"
+        for d in ("sponsor", "location", "condition", "intervention")
+    ),
+)
+_cte(
+    "wide",
+    ["fact_trials", "dim_dates"],
+    """SELECT * FROM fact_trials
+        LEFT JOIN (SELECT sponsor_key, sponsor_name, sponsor_type FROM dim_sponsor) USING (sponsor_key)
+        LEFT JOIN (SELECT location_key, country, state FROM dim_location) USING (location_key)
+        LEFT JOIN (SELECT condition_key, condition_name, condition_category FROM dim_condition) USING (condition_key)
+        LEFT JOIN (SELECT intervention_key, intervention_type FROM dim_intervention) USING (intervention_key)
+        LEFT JOIN (SELECT date_key AS start_date_key, year, month_number, month_name FROM dim_dates) USING (start_date_key)""",
 )
 _cte(
     "clean_trials",
@@ -525,122 +514,140 @@ def _table_statements() -> dict[str, str]:
     found["referential_integrity"] = _with(
         ["fact_trials", "dim_dates"],
         " UNION ALL ".join(
-            f"""SELECT '{key}' AS fact_column, count(*) FILTER (WHERE f.{key} IS NULL) AS null_keys,
-            count(*) FILTER (WHERE f.{key} IS NOT NULL AND d.{dim_key} IS NULL) AS orphan_keys
-            FROM fact_trials f LEFT JOIN {dim} d ON f.{key} = d.{dim_key}"""
+            f"""SELECT '{key}' AS fact_column, count(*) FILTER ({key} IS NULL) AS null_keys,
+            count({key}) FILTER ({key} NOT IN (SELECT {dim_key} FROM {dim})) AS orphan_keys FROM fact_trials"""
             for key, dim, dim_key in checks
         ),
     )
     return found
 
 
-_AVG_E = "avg(t.enrollment_count) AS avg_enrollment"
-_SUM_E = "CAST(sum(t.enrollment_count) AS BIGINT) AS total_enrollment"
-_SPONSOR = "JOIN dim_sponsor s ON t.sponsor_key = s.sponsor_key"
-_CONDITION = "JOIN dim_condition c ON t.condition_key = c.condition_key"
-_LOCATION = "JOIN dim_location l ON t.location_key = l.location_key"
-_DATES = "JOIN dim_dates d ON t.start_date_key = d.date_key"
-
-_TOP_CONDITIONS = f"""SELECT c.condition_name, c.condition_category, count(*) AS trial_count, {_AVG_E},
-    avg(t.duration_days) AS avg_duration FROM fact_trials t {_CONDITION} GROUP BY 1, 2
-    ORDER BY trial_count DESC, condition_name, condition_category LIMIT 20"""
-_TOP_PLACES = f"""SELECT l.country, l.state, count(*) AS trial_count, {_SUM_E} FROM fact_trials t {_LOCATION}
-    WHERE l.country IS NOT NULL GROUP BY 1, 2 ORDER BY trial_count DESC, country, state NULLS FIRST LIMIT 20"""
-_BANDS = """count(*) AS total_trials,
-    count(CASE WHEN t.data_completeness_score >= 90 THEN 1 END) AS high_quality,
-    count(CASE WHEN t.data_completeness_score >= 70 AND t.data_completeness_score < 90 THEN 1 END) AS medium_quality,
-    count(CASE WHEN t.data_completeness_score < 70 THEN 1 END) AS low_quality,
-    avg(t.data_completeness_score) AS avg_completeness, avg(t.data_quality_score) AS avg_quality"""
-_METRICS = f"""SELECT count(*) AS total_trials, count(DISTINCT sponsor_key) AS unique_sponsors,
-    count(DISTINCT condition_key) AS unique_conditions, count(DISTINCT location_key) AS unique_locations,
-    {_AVG_E}, avg(duration_days) AS avg_duration FROM fact_trials t"""
+# Report columns by name; reports are groupings of one wide table of facts and attributes.
+_MEASURES = {
+    "trial_count": "count(*)",
+    "total_trials": "count(*)",
+    "avg_enrollment": "avg(enrollment_count)",
+    "total_enrollment": "CAST(sum(enrollment_count) AS BIGINT)",
+    "avg_duration": "avg(duration_days)",
+    "avg_duration_days": "avg(duration_days)",
+    "min_duration": "min(duration_days)",
+    "max_duration": "max(duration_days)",
+    "completed_trials": "count(*) FILTER (status = 'Completed')",
+    "recruiting_trials": "count(*) FILTER (status = 'Recruiting')",
+    "completion_rate": "round(100.0::DOUBLE * count(*) FILTER (status = 'Completed') / count(*), 2)",
+    "unique_sponsors": "count(DISTINCT sponsor_key)",
+    "unique_conditions": "count(DISTINCT condition_key)",
+    "unique_locations": "count(DISTINCT location_key)",
+    "high_quality": "count(*) FILTER (data_completeness_score >= 90)",
+    "medium_quality": "count(*) FILTER (data_completeness_score BETWEEN 70 AND 89.999999)",
+    "low_quality": "count(*) FILTER (data_completeness_score < 70)",
+    "avg_completeness": "avg(data_completeness_score)",
+    "avg_quality": "avg(data_quality_score)",
+    "large_trials": "count(*) FILTER (enrollment_count > 1000)",
+    "small_trials": "count(*) FILTER (enrollment_count <= 100)",
+}
 
 
-def _report_statements() -> dict[str, str]:
-    def top_sponsors(columns: str) -> str:
-        return f"""SELECT s.sponsor_name, count(*) AS trial_count, {_AVG_E}{columns}
-            FROM fact_trials t {_SPONSOR} {_DATES} WHERE d.year = 2023 GROUP BY s.sponsor_name
-            ORDER BY trial_count DESC, sponsor_name LIMIT 10"""
+def _rollup(keys: str, measures: str, having: str = "true", where: str = "true", top: int | None = None) -> str:
+    """Grouping of the wide table; `top` keeps the largest groups, ties in key order."""
+    listed = ", ".join(f"{_MEASURES[m]} AS {m}" for m in measures.split())
+    names = ", ".join(keys.split())
+    grouped = f"GROUP BY {names} HAVING {having}" if keys else ""
+    query = f"SELECT {names}{', ' if keys else ''}{listed} FROM wide WHERE {where} {grouped}"
+    if top is not None:
+        ties = ", ".join(f"{k} NULLS FIRST" for k in keys.split())
+        query += f" ORDER BY {measures.split()[0]} DESC, {ties} LIMIT {top}"
+    return query
+
+
+def _monthly(measures: str, since: str) -> str:
+    return _rollup("year month_number month_name", measures, where=f"year >= {since}")
 
-    monthly = f"""SELECT d.year, d.month_name, count(*) AS trial_count, {_AVG_E}%s
-        FROM fact_trials t {_DATES} WHERE d.year >= %s GROUP BY d.year, d.month_name, d.month_number"""
+
+def _report_statements() -> dict[str, str]:
+    with_condition, with_place = "condition_key IS NOT NULL", "location_key IS NOT NULL"
+    top_conditions = _rollup(
+        "condition_name condition_category", "trial_count avg_enrollment avg_duration", where=with_condition, top=20
+    )
+    top_places = _rollup(
+        "country state", "trial_count total_enrollment", where=f"{with_place} AND country IS NOT NULL", top=20
+    )
+    headline = _rollup(
+        "", "total_trials unique_sponsors unique_conditions unique_locations avg_enrollment avg_duration"
+    )
+    bands = "total_trials high_quality medium_quality low_quality avg_completeness avg_quality"
+    in_2023 = "sponsor_key IS NOT NULL AND year = 2023"
     found = {
-        "top_sponsors_year": top_sponsors(", avg(t.duration_days) AS avg_duration_days"),
-        "common_conditions": f"""SELECT c.condition_name, c.condition_category, count(*) AS trial_count,
-            avg(t.duration_days) AS avg_duration_days, {_AVG_E}, min(t.duration_days) AS min_duration,
-            max(t.duration_days) AS max_duration FROM fact_trials t {_CONDITION}
-            WHERE t.duration_days IS NOT NULL GROUP BY 1, 2
-            ORDER BY trial_count DESC, condition_name, condition_category LIMIT 20""",
-        "geo_distribution": f"""SELECT l.country, l.state, count(*) AS trial_count, {_SUM_E}, {_AVG_E},
-            avg(t.duration_days) AS avg_duration FROM fact_trials t {_LOCATION} WHERE l.country IS NOT NULL
-            GROUP BY 1, 2 ORDER BY trial_count DESC, country, state NULLS FIRST LIMIT 20""",
-        "status_by_phase": f"""SELECT t.phase, t.status, count(*) AS trial_count, {_AVG_E},
-            avg(t.duration_days) AS avg_duration FROM fact_trials t
-            WHERE t.phase IS NOT NULL AND t.status IS NOT NULL GROUP BY 1, 2""",
-        "monthly_activity": monthly % (f", {_SUM_E}", f"year({TODAY}) - 2"),
-        "sponsor_performance": f"""SELECT s.sponsor_name, s.sponsor_type, count(*) AS total_trials,
-            count(CASE WHEN t.status = 'Completed' THEN 1 END) AS completed_trials,
-            count(CASE WHEN t.status = 'Recruiting' THEN 1 END) AS recruiting_trials, {_AVG_E},
-            avg(t.duration_days) AS avg_duration,
-            round(count(CASE WHEN t.status = 'Completed' THEN 1 END) * 100.0::DOUBLE / count(*), 2) AS completion_rate
-            FROM fact_trials t {_SPONSOR} GROUP BY 1, 2 HAVING count(*) >= 5
-            ORDER BY total_trials DESC, sponsor_name, sponsor_type LIMIT 15""",
-        "condition_category": f"""SELECT c.condition_category, count(*) AS trial_count,
-            count(DISTINCT s.sponsor_key) AS unique_sponsors, {_AVG_E}, avg(t.duration_days) AS avg_duration, {_SUM_E}
-            FROM fact_trials t {_CONDITION} {_SPONSOR} WHERE c.condition_category IS NOT NULL GROUP BY 1""",
-        "intervention_types": f"""SELECT i.intervention_type, count(*) AS trial_count, {_AVG_E},
-            avg(t.duration_days) AS avg_duration, count(DISTINCT c.condition_key) AS unique_conditions
-            FROM fact_trials t JOIN dim_intervention i ON t.intervention_key = i.intervention_key {_CONDITION}
-            WHERE i.intervention_type IS NOT NULL GROUP BY 1""",
-        "quality_assessment": f"""SELECT 'Overall' AS metric, {_BANDS} FROM fact_trials t
-            UNION ALL SELECT 'By Sponsor Type' AS metric, {_BANDS} FROM fact_trials t {_SPONSOR}
-            WHERE s.sponsor_type = 'Industry'""",
-        "duration_by_condition": f"""SELECT c.condition_category, count(*) AS trial_count,
-            avg(t.duration_days) AS avg_duration, min(t.duration_days) AS min_duration,
-            max(t.duration_days) AS max_duration FROM fact_trials t {_CONDITION}
-            WHERE t.duration_days IS NOT NULL AND t.duration_days > 0 GROUP BY 1""",
-        "enrollment_by_year_phase": f"""SELECT d.year, t.phase, count(*) AS trial_count, {_AVG_E}, {_SUM_E},
-            count(CASE WHEN t.enrollment_count > 1000 THEN 1 END) AS large_trials,
-            count(CASE WHEN t.enrollment_count <= 100 THEN 1 END) AS small_trials
-            FROM fact_trials t {_DATES} WHERE t.enrollment_count IS NOT NULL AND t.phase IS NOT NULL
-            AND d.year >= 2020 GROUP BY 1, 2""",
-        "dash_metrics": _METRICS,
-        "metric_labels": "SELECT "
-        + ", ".join(
-            f"coalesce(format('{{:,}}', {c}), 'N/A (no valid data)') AS {c}"
-            for c in (
-                "total_trials",
-                "unique_sponsors",
-                "unique_conditions",
-                "unique_locations",
-                "avg_enrollment",
-                "avg_duration",
-            )
-        )
-        + f" FROM ({_METRICS})",
-        "dash_sponsors": f"""SELECT s.sponsor_name, count(*) AS trial_count, {_AVG_E},
-            avg(t.duration_days) AS avg_duration FROM fact_trials t {_SPONSOR} GROUP BY 1
-            ORDER BY trial_count DESC, sponsor_name LIMIT 20""",
-        "dash_conditions": _TOP_CONDITIONS,
-        "dash_locations": _TOP_PLACES,
-        "dash_temporal": monthly % ("", "2020"),
-        "readme_top_sponsors": top_sponsors(""),
-        "readme_conditions": f"""SELECT c.condition_name, count(*) AS trial_count,
-            avg(t.duration_days) AS avg_duration_days, {_AVG_E} FROM fact_trials t {_CONDITION} GROUP BY 1
-            ORDER BY trial_count DESC, condition_name LIMIT 20""",
-        "readme_geo": f"""SELECT l.country, l.state, count(*) AS trial_count, {_SUM_E}
-            FROM fact_trials t {_LOCATION} GROUP BY 1, 2""",
+        "top_sponsors_year": _rollup(
+            "sponsor_name", "trial_count avg_enrollment avg_duration_days", where=in_2023, top=10
+        ),
+        "common_conditions": _rollup(
+            "condition_name condition_category",
+            "trial_count avg_duration_days avg_enrollment min_duration max_duration",
+            where=f"{with_condition} AND duration_days IS NOT NULL",
+            top=20,
+        ),
+        "geo_distribution": _rollup(
+            "country state",
+            "trial_count total_enrollment avg_enrollment avg_duration",
+            where=f"{with_place} AND country IS NOT NULL",
+            top=20,
+        ),
+        "status_by_phase": _rollup("phase status", "trial_count avg_enrollment avg_duration"),
+        "monthly_activity": "SELECT * EXCLUDE (month_number) FROM ("
+        + _monthly("trial_count avg_enrollment total_enrollment", f"year({TODAY}) - 2")
+        + ")",
+        "sponsor_performance": _rollup(
+            "sponsor_name sponsor_type",
+            "total_trials completed_trials recruiting_trials avg_enrollment avg_duration completion_rate",
+            where="sponsor_key IS NOT NULL",
+            having="count(*) >= 5",
+            top=15,
+        ),
+        "condition_category": _rollup(
+            "condition_category",
+            "trial_count unique_sponsors avg_enrollment avg_duration total_enrollment",
+            where=f"{with_condition} AND sponsor_key IS NOT NULL",
+        ),
+        "intervention_types": _rollup(
+            "intervention_type",
+            "trial_count avg_enrollment avg_duration unique_conditions",
+            where=f"intervention_key IS NOT NULL AND {with_condition}",
+        ),
+        "quality_assessment": f"SELECT 'Overall' AS metric, * FROM ({_rollup('', bands)}) UNION ALL "
+        f"SELECT 'By Sponsor Type', * FROM ({_rollup('', bands, where="sponsor_type = 'Industry'")})",
+        "duration_by_condition": _rollup(
+            "condition_category",
+            "trial_count avg_duration min_duration max_duration",
+            where=f"{with_condition} AND duration_days > 0",
+        ),
+        "enrollment_by_year_phase": _rollup(
+            "year phase",
+            "trial_count avg_enrollment total_enrollment large_trials small_trials",
+            where="year >= 2020 AND enrollment_count IS NOT NULL",
+        ),
+        "dash_metrics": headline,
+        "metric_labels": f"SELECT coalesce(format('{{:,}}', COLUMNS(*)), 'N/A (no valid data)') FROM ({headline})",
+        "dash_sponsors": _rollup(
+            "sponsor_name", "trial_count avg_enrollment avg_duration", where="sponsor_key IS NOT NULL", top=20
+        ),
+        "dash_conditions": top_conditions,
+        "dash_locations": top_places,
+        "dash_temporal": f"SELECT * EXCLUDE (month_number) FROM ({_monthly('trial_count avg_enrollment', '2020')})",
+        "readme_top_sponsors": _rollup("sponsor_name", "trial_count avg_enrollment", where=in_2023, top=10),
+        "readme_conditions": _rollup(
+            "condition_name", "trial_count avg_duration_days avg_enrollment", where=with_condition, top=20
+        ),
+        "readme_geo": _rollup("country state", "trial_count total_enrollment", where=with_place),
         "category_rollup": f"""SELECT condition_category, CAST(sum(trial_count) AS BIGINT) AS trial_count,
-            avg(avg_enrollment) AS avg_enrollment FROM ({_TOP_CONDITIONS}) GROUP BY 1""",
+            avg(avg_enrollment) AS avg_enrollment FROM ({top_conditions}) GROUP BY condition_category""",
         "country_rollup": f"""SELECT country, CAST(sum(trial_count) AS BIGINT) AS trial_count,
-            CAST(coalesce(sum(total_enrollment), 0) AS BIGINT) AS total_enrollment FROM ({_TOP_PLACES}) GROUP BY 1
-            ORDER BY trial_count DESC, country LIMIT 15""",
-        "temporal_series": f"""SELECT year, month_name, trial_count, avg_enrollment,
-            CAST(strptime(year || ' ' || month_name || ' 1', '%Y %B %d') AS DATE) AS date
-            FROM ({monthly % ('', '2020')})""",
+            CAST(coalesce(sum(total_enrollment), 0) AS BIGINT) AS total_enrollment FROM ({top_places})
+            GROUP BY country ORDER BY trial_count DESC, country LIMIT 15""",
+        "temporal_series": f"""SELECT * EXCLUDE (month_number), make_date(year, month_number, 1) AS date
+            FROM ({_monthly('trial_count avg_enrollment', '2020')})""",
     }
-    needs = ["fact_trials", "dim_dates"]
-    return {name: _with(needs, query) for name, query in found.items()}
+    return {name: _with(["wide"], query) for name, query in found.items()}
 
 
 def statements() -> dict[str, str]:
