@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,18 +50,25 @@ def split_location(c: Column) -> Column:
 
     Text with a zero-length part, or with more than three parts, is kept whole as the city.
     """
-    place = clean_string(c)
-    parts = F.split(place, ",", -1)
-    well_formed = ~F.exists(parts, lambda p: p == "")
 
-    def part(i: int) -> Column:
-        return clean_string(F.get(parts, i))
+    def read(place: Column) -> Column:
+        return _bind(F.split(place, ",", -1), lambda parts: _place_fields(place, parts))
+
+    return _bind(clean_string(c), read)
+
 
+def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` applied to a value that is computed once, however often it is named in there."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _place_fields(place: Column, parts: Column) -> Column:
+    well_formed = ~F.exists(parts, lambda p: p == "")
     listed = well_formed & F.size(parts).isin(2, 3)
     return F.struct(
-        F.when(listed, part(0)).otherwise(place).alias("city"),
-        F.when(listed, part(1)).alias("state"),
-        F.when(well_formed & (F.size(parts) == 3), part(2)).alias("country"),
+        F.when(listed, clean_string(F.get(parts, F.lit(0)))).otherwise(place).alias("city"),
+        F.when(listed, clean_string(F.get(parts, F.lit(1)))).alias("state"),
+        F.when(well_formed & (F.size(parts) == 3), clean_string(F.get(parts, F.lit(2)))).alias("country"),
     )
 
 
