@@ -267,6 +267,9 @@ PAGE_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "validate_trials": study_pages.validate_trials,
     "invalid_trials": lambda flat: study_pages.invalid_trials(flat).select("NCTId", "OfficialTitle", "Condition"),
     "validation_summary": study_pages.validation_summary,
+    "extracted_trials": lambda flat: study_pages.add_extraction_metadata(
+        study_pages.validate_trials(flat), RUN_TS
+    ).drop("extraction_date"),
 }
 
 # Over the written staging and dimension tables.
@@ -288,9 +291,38 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+def _saved_trials(spark: SparkSession, folder: str) -> DataFrame:
+    """Valid trials written as JSON and read back."""
+    path = storage.new_run_folder(spark, "saved-trials")
+    storage.save_trials_json(study_pages.validate_trials(flat_studies(spark, folder)), path)
+    return storage.read_saved_trials(spark, path)
+
+
+def _job_metrics(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows written by each step of the warehouse refresh, as observed while writing."""
+    warehouse_tables(spark, folder)
+    return storage.read_table(spark, f"{_root(spark, folder)}/job_runs").select("job_name", "step", "row_count")
+
+
+STATUS_QUERY = """
+SELECT Status AS status, count(*) AS trial_count, max(EnrollmentCount) AS largest
+FROM raw_trials WHERE EnrollmentCount > :low AND validation_status = :kept GROUP BY Status
+"""
+STATUS_PARAMS = {"low": 500, "kept": "valid"}
+
+FOLDER_QUERIES: dict[str, Query] = {
+    "saved_trials": _saved_trials,
+    "job_metrics": _job_metrics,
+    "table_info": lambda spark, folder: storage.table_info(spark, raw_table(spark, folder)),
+    "run_query": lambda spark, folder: storage.run_query(
+        spark, STATUS_QUERY, {"raw_trials": raw_table(spark, folder)}, STATUS_PARAMS
+    ),
+}
+
+
 def catalogue() -> dict[str, Query]:
     """Every query by name."""
-    found: dict[str, Query] = {}
+    found: dict[str, Query] = dict(FOLDER_QUERIES)
     for source, group in [
         (raw_table, RAW_QUERIES),
         (flat_studies, PAGE_QUERIES),

@@ -10,7 +10,8 @@ from trialmart.functions import categories as cat
 from trialmart.functions.text import EMAIL_FORM, SPONSOR_SPELLINGS
 from trialmart.operators.clean import TEXT_COLUMNS
 from trialmart.operators.warehouse import FACT_COLUMNS
-from trialmart.plans.catalog import AS_OF, DETAIL_ID, SEARCH, SHOWN
+from trialmart.plans.catalog import AS_OF, DETAIL_ID, SEARCH, SHOWN, STATUS_PARAMS, STATUS_QUERY
+from trialmart.plans.refresh import JOB, STEP_NAMES
 from trialmart.schemas import RAW_COLUMNS, RAW_TO_CLEAN
 from trialmart.sources.order_trials import INPUTS, ORDER_TRIALS_SQL
 
@@ -219,6 +220,8 @@ _cte(
         FROM (SELECT *, {date('StudyStartDate')} AS start_date, {date('StudyCompletionDate')} AS end_date
               FROM valid_raw WHERE NCTId IS NOT NULL)""",
 )
+_cte("trial_ids", ["stg_trials"], "SELECT DISTINCT nct_id FROM stg_trials")
+_cte("repeated_trials", ["stg_trials"], "SELECT nct_id, count(*) AS n FROM stg_trials GROUP BY nct_id HAVING n > 1")
 _cte(
     "dim_sponsor",
     ["stg_sponsors"],
@@ -489,6 +492,11 @@ def _page_statements() -> dict[str, str]:
             count(*) FILTER (WHERE NOT ({kept})) AS invalid_trials,
             count(*) FILTER (WHERE {kept})::DOUBLE / count(*) * 100.0::DOUBLE AS validation_rate FROM flat_studies""",
     }
+    found["saved_trials"] = found["validate_trials"]
+    found["extracted_trials"] = (
+        "SELECT *, 'ClinicalTrials.gov API' AS data_source, 'valid' AS validation_status "
+        f"FROM ({found['validate_trials']})"
+    )
     return {name: _with(["flat_studies"], query) for name, query in found.items()}
 
 
@@ -650,8 +658,30 @@ def _report_statements() -> dict[str, str]:
     return {name: _with(["wide"], query) for name, query in found.items()}
 
 
+def _folder_statements() -> dict[str, str]:
+    columns = ", ".join(
+        f"({i}, {q(c)}, '{'int' if c == 'EnrollmentCount' else 'string'}')"
+        for i, c in enumerate([*RAW_COLUMNS, "validation_status"])
+    )
+    counts = " UNION ALL ".join(
+        f"SELECT '{JOB}' AS job_name, '{name}' AS step, count(*) AS row_count FROM {name}" for name in STEP_NAMES
+    )
+    filled = STATUS_QUERY
+    for name, value in STATUS_PARAMS.items():
+        filled = filled.replace(f":{name}", repr(value))
+    found = {
+        "table_info": f"""SELECT CAST(p AS INTEGER) AS ordinal_position, c AS column_name, t AS data_type,
+            'YES' AS is_nullable, (SELECT count(*) FROM raw_trials) AS row_count FROM (VALUES {columns}) v(p, c, t)""",
+        "job_metrics": counts,
+        "run_query": filled,
+    }
+    needs = {"job_metrics": STEP_NAMES}
+    return {name: _with(needs.get(name, ["raw_trials"]), query) for name, query in found.items()}
+
+
 def statements() -> dict[str, str]:
     return {
+        **_folder_statements(),
         **_raw_statements(),
         **_clean_statements(),
         **_page_statements(),
