@@ -4,6 +4,7 @@ import compare
 import pytest
 
 import __spark_entry__ as driver
+from trialmart.plans import catalog, oracle as statements
 
 
 @pytest.fixture(scope="module")
@@ -12,10 +13,10 @@ def oracle(folder):
 
 
 def test_every_query_has_a_statement():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(catalog.catalogue()) == set(statements.statements())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.catalogue()))
 def test_query_matches_sql(spark, folder, oracle, name):
     df = driver.queries()[name](spark, folder)
     assert compare.differences(df, oracle, driver.oracle_sql()[name]) == []
