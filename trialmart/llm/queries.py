@@ -5,15 +5,32 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from trialmart.llm import jaccard
+from trialmart.llm import jaccard, language, toxicity
 from trialmart.llm.common import table
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from those whose id is not held out (crc32 mod 3)."""
+    docs = table(spark, sf_dir, "documents")
+    found = language.predict(docs, language.learn(docs, folds=3, fold=1))
+    held = language.in_fold("doc_id", 3, 1).alias("held_out")
+    return found.select("doc_id", held, "lang_pred", "score", "n_words", "n_other")
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of documents at Jaccard similarity 0.85 on 4-word shingles."""
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels whose id is not held out (crc32 mod 4)."""
+    docs = table(spark, sf_dir, "documents")
+    scorer = toxicity.learn(docs, table(spark, sf_dir, "labels"), folds=4, fold=2)
+    held = toxicity.in_fold("doc_id", 4, 2).alias("held_out")
+    return toxicity.score(docs, scorer).select("doc_id", held, "score", "predicted")
+
+
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op5_ngram_jaccard,)}
+    return {f.__name__: f for f in (op1_language, op5_ngram_jaccard, op7_toxicity)}
