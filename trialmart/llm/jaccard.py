@@ -18,7 +18,9 @@ from trialmart.llm.components import connected_components
 FREQUENT_BOUND = 1 << 18
 #: Rounds that link texts through the leader of each shared shingle, before the remaining
 #: pairs are enumerated.
-LEADER_ROUNDS = 3
+LEADER_ROUNDS = 1
+#: Bytes of text that a task works on at once.
+SLICE = 1 << 22
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -59,11 +61,14 @@ def _repeated(width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [shingle_sets(x.column("text"), width)[0] for x in text_slices(batch, "text", 1 << 24)]
+            parts = [shingle_sets(x.column("text"), width)[0] for x in text_slices(batch, "text", SLICE)]
             if parts:
-                found, times = np.unique(np.concatenate(parts), return_counts=True)
-                more = times > 1
-                yield pa.RecordBatch.from_arrays([pa.array(found[more]), pa.array(times[more])], ["h", "n"])
+                h = np.concatenate(parts)
+                del parts
+                h.sort()
+                again = np.flatnonzero(h[1:] == h[:-1])  # one entry for each text but the first
+                found, times = np.unique(h[again], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(times + 1)], ["h", "n"])
 
     return run
 
@@ -88,7 +93,7 @@ def _prefixes(width: int, percent: int, frequent):
         by_hash = np.argsort(ranked, kind="stable")
         sorted_hashes = ranked[by_hash]
         for batch in batches:
-            for part in text_slices(batch, "text", 1 << 24):
+            for part in text_slices(batch, "text", SLICE):
                 h, sizes = shingle_sets(part.column("text"), width)
                 rank = np.zeros(len(h), np.int64)  # 0: not frequent, then the order by frequency
                 if len(ranked):
@@ -124,12 +129,8 @@ def _wanted_sets(width: int, bits):
     """(doc_id, sorted shingle hashes as bytes) of the texts whose id is marked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marks = np.frombuffer(bits.value, np.uint8)
-        for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
-            place = _place(ids, len(marks) * 8)
-            mine = batch.filter(pa.array((marks[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1))
-            for part in text_slices(mine, "text", 1 << 24):
+        for mine in _marked(bits)(batches):
+            for part in text_slices(mine, "text", SLICE):
                 h, sizes = shingle_sets(part.column("text"), width)
                 offsets = (np.concatenate([[0], np.cumsum(sizes)]) * 8).astype(np.int32)
                 blobs = pa.Array.from_buffers(
@@ -140,6 +141,18 @@ def _wanted_sets(width: int, bits):
     return run
 
 
+def _marked(bits):
+    """Keeps the rows whose doc_id is marked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = np.frombuffer(bits.value, np.uint8)
+        for batch in batches:
+            place = _place(batch.column("doc_id").to_numpy(zero_copy_only=False), len(marks) * 8)
+            yield batch.filter(pa.array((marks[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1))
+
+    return run
+
+
 #: Size of the table of marks of wanted ids, in bits; when it is full, more sets than needed move.
 _MARK_BITS = 1 << 23
 
@@ -231,21 +244,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     sets = stored(sets, "shingles")
 
     def verified(pairs: DataFrame, label: str) -> DataFrame:
-        left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
-        right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
+        ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
+        bits = spark.sparkContext.broadcast(_marks(ids))
+        few = sets.mapInArrow(_marked(bits), sets.schema)
+        left = few.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
+        right = few.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
         both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
         return stored(both.mapInArrow(_verify(percent), "a long, b long, linked boolean"), label)
 
-    checked = verified(inside, "checked")
-    links.append(checked.where("linked").select("a", "b"))
-    labels = None
+    checked = labels = None
     for k in range(LEADER_ROUNDS):
         active = posts if labels is None else _active(posts, labels)
-        pairs = stored(_leader_pairs(active, k, percent), "leaders")
+        pairs = _leader_pairs(active, k, percent)
+        pairs = stored(pairs.unionByName(inside) if checked is None else pairs, "leaders")
         fresh = verified(pairs, "checked")
         links.append(fresh.where("linked").select("a", "b"))
         labels = connected_components(_union(links))
-        checked = checked.unionByName(fresh)
+        checked = fresh if checked is None else checked.unionByName(fresh)
         if not fresh.where("linked").head(1):
             break
     links = [labels.select(F.col("id").alias("a"), F.col("component_id").alias("b"))]
