@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -48,3 +51,8 @@ def words_of(texts: pa.Array, lower_ascii: bool) -> tuple[pa.Array, np.ndarray]:
     keep = pc.not_equal(flat, "")  # blanks at either end of a text leave an empty item
     counts = np.bincount(owner[keep.to_numpy(zero_copy_only=False)], minlength=len(texts))
     return flat.filter(keep), counts
+
+
+def worker_cache() -> dict:
+    """A dictionary that lives as long as the Python worker, shared by the tasks it runs."""
+    return sys.modules.setdefault("_trialmart_worker", types.ModuleType("_trialmart_worker")).__dict__

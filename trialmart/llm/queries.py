@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialmart.llm import jaccard, language, toxicity
+from trialmart.llm import bpe, jaccard, language, mixing, toxicity
 from trialmart.llm.common import table
 
 
+#: Rank file of the byte-level vocabulary.
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from those whose id is not held out (crc32 mod 3)."""
     docs = table(spark, sf_dir, "documents")
@@ -19,6 +24,18 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held, "lang_pred", "score", "n_words", "n_other")
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, and what they decode to."""
+    path = public_tokenizers.path(RANKS)
+    return bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, with_ids=False)
+
+
+def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mix of all sources takes of every document, in order of training time."""
+    mixed = mixing.by_first_position(mixing.assign(table(spark, sf_dir, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links of documents at Jaccard similarity 0.85 on 4-word shingles."""
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=85)
@@ -33,4 +50,4 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language, op5_ngram_jaccard, op7_toxicity)}
+    return {f.__name__: f for f in (op1_language, op2_byte_bpe, op4_source_mix, op5_ngram_jaccard, op7_toxicity)}
