@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialmart.llm import bpe, jaccard, language, mixing, toxicity
+from trialmart.llm import bpe, embeddings, jaccard, knn, language, mixing, toxicity
 from trialmart.llm.common import table
 
 
@@ -30,6 +30,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, with_ids=False)
 
 
+def op3_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all vectors at cosine 0.9."""
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 def op4_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a mix of all sources takes of every document, in order of training time."""
     mixed = mixing.by_first_position(mixing.assign(table(spark, sf_dir, "documents")))
@@ -49,5 +54,10 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, scorer).select("doc_id", held, "score", "predicted")
 
 
+def op8_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector with all others."""
+    return knn.top_products(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
+
+
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language, op2_byte_bpe, op4_source_mix, op5_ngram_jaccard, op7_toxicity)}
+    return {f.__name__: f for f in (op1_language, op2_byte_bpe, op3_embedding_links, op4_source_mix, op5_ngram_jaccard, op7_toxicity, op8_top_products)}
