@@ -8,12 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialmart.llm import bpe, embeddings, jaccard, knn, language, mixing, toxicity
+from trialmart.llm import bpe, chat, embeddings, jaccard, knn, language, mixing, toxicity, unigram, warc
 from trialmart.llm.common import table
+from trialmart.sources.storage import new_run_folder
 
 
 #: Rank file of the byte-level vocabulary.
 RANKS = "byte_bpe_multi_50k.tiktoken"
+#: Model file whose pieces and scores serve as a unigram vocabulary.
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,6 +49,14 @@ def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=85)
 
 
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations formatted, and what can be read back from the output."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], turns.schema)
+    return chat.digest(chat.format_turns(turns.unionByName(more)))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from labels whose id is not held out (crc32 mod 4)."""
     docs = table(spark, sf_dir, "documents")
@@ -59,5 +70,29 @@ def op8_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.top_products(table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256)
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document under a unigram vocabulary."""
+    return unigram.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC archives and read back."""
+    path = new_run_folder(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path, least=0)
+    return warc.describe(warc.read_archives(spark, path))
+
+
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_language, op2_byte_bpe, op3_embedding_links, op4_source_mix, op5_ngram_jaccard, op7_toxicity, op8_top_products)}
+    found = (
+        op1_language,
+        op2_byte_bpe,
+        op3_embedding_links,
+        op4_source_mix,
+        op5_ngram_jaccard,
+        op6_chat_format,
+        op7_toxicity,
+        op8_top_products,
+        op9_token_counts,
+        op10_warc,
+    )
+    return {f.__name__: f for f in found}
