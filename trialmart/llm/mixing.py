@@ -111,7 +111,7 @@ def assign(docs: DataFrame, schedules: tuple[Schedule, ...] = SCHEDULES, cap: in
         rows = rows.withColumn("before", F.col("c") + F.col("ahead")).withColumn("whole", whole)
         return rows.withColumn("left", F.col("target") - F.col("whole") * F.col("source_size"))
 
-    fits = F.col("before") + F.col("size") <= F.col("left")
+    fits = (F.col("left") > 0) & (F.col("before") + F.col("size") <= F.col("left"))
     first = stored(placed(light).select("source", "size", "before", "left", fits.alias("fits")), "placed")
     gaps = first.groupBy("source").agg((F.max("left") - F.sum(F.when(F.col("fits"), F.col("size")).otherwise(0))).alias("gap"))
     gaps = gaps.select(F.col("source").alias("_source"), "gap")
