@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,3 +57,26 @@ def words_of(texts: pa.Array, lower_ascii: bool) -> tuple[pa.Array, np.ndarray]:
 def worker_cache() -> dict:
     """A dictionary that lives as long as the Python worker, shared by the tasks it runs."""
     return sys.modules.setdefault("_trialmart_worker", types.ModuleType("_trialmart_worker")).__dict__
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Consecutive rows with equal keys, across batches; the input is sorted by them."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        changed = np.zeros(batch.num_rows - 1, bool)
+        for c in columns:
+            changed |= c[1:] != c[:-1]
+        edges = [0, *(np.flatnonzero(changed) + 1).tolist(), batch.num_rows]
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            key = tuple(c[a] for c in columns)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)

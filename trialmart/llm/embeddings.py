@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialmart.llm.common import stored
+from trialmart.llm.common import sorted_groups, stored
 from trialmart.llm.components import connected_components
 
 #: Tables, projections per table and the width of a projection's cells. Unit vectors at cosine 0.9 are
@@ -82,35 +82,12 @@ def _codes(seed: int):
     return run
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
-    """Consecutive rows with equal keys, across batches; the input is sorted by them."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
-        changed = np.zeros(batch.num_rows - 1, bool)
-        for c in columns:
-            changed |= c[1:] != c[:-1]
-        edges = [0, *(np.flatnonzero(changed) + 1).tolist(), batch.num_rows]
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            key = tuple(c[a] for c in columns)
-            if held and key != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(a, b - a))
-            last = key
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 def _link_blocks(cosine: float):
     """Compares two blocks of a bucket, or one with itself, and counts each pair in the first table
     that holds it. Of the pairs only sums per vector and links to a smallest id leave."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, ["place", "code", "low", "high"]):
+        for group in sorted_groups(batches, ["place", "code", "low", "high"]):
             if group.num_rows < 2:
                 continue
             place = group.column("place")[0].as_py()

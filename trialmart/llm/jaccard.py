@@ -7,11 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialmart.llm.common import BROADCAST_ROWS, stored, text_slices, words_of
+from trialmart.llm.common import BROADCAST_ROWS, sorted_groups, stored, text_slices, words_of
 from trialmart.llm.components import connected_components
 
 #: Shingles held to be frequent, at most; they only decide the order within a set.
@@ -19,6 +20,8 @@ FREQUENT_BOUND = 1 << 18
 #: Rounds that link texts through the leader of each shared shingle, before the remaining
 #: pairs are enumerated.
 LEADER_ROUNDS = 1
+#: Groups of one cluster that are compared as one block.
+CLUSTER_BLOCK = 500
 #: Bytes of text that a task works on at once.
 SLICE = 1 << 22
 
@@ -252,12 +255,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
         return stored(both.mapInArrow(_verify(percent), "a long, b long, linked boolean"), label)
 
-    checked = labels = None
+    checked = labels = nearest = None
     for k in range(LEADER_ROUNDS):
         active = posts if labels is None else _active(posts, labels)
-        pairs = _leader_pairs(active, k, percent)
-        pairs = stored(pairs.unionByName(inside) if checked is None else pairs, "leaders")
-        fresh = verified(pairs, "checked")
+        best = stored(_best_leaders(active, k, percent), "leaders")
+        nearest = nearest or best
+        pairs = best.select(F.least("g", "leader").alias("a"), F.greatest("g", "leader").alias("b")).distinct()
+        fresh = verified(pairs.unionByName(inside) if checked is None else pairs, "checked")
         links.append(fresh.where("linked").select("a", "b"))
         labels = connected_components(_union(links))
         checked = fresh if checked is None else checked.unionByName(fresh)
@@ -265,7 +269,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             break
     links = [labels.select(F.col("id").alias("a"), F.col("component_id").alias("b"))]
     alone = groups.where("sets > 1").select("g", F.col("g").alias("g2"))
-    pairs = stored(_open_pairs(posts, labels, percent).unionByName(alone), "open")
+    opened = _open_pairs(_active(posts, labels), nearest, groups, percent)
+    pairs = stored(opened.unionByName(alone), "open")
     members = same.join(groups.select("n", "prefix_key", "g"), ["n", "prefix_key"]).select("g", "rep")
     if pairs.head(1):
         pairs = _expanded(pairs, members, labels)
@@ -300,7 +305,7 @@ def _active(posts: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(placed.join(mixed, "h"), "active")
 
 
-def _leader_pairs(posts: DataFrame, salt: int, percent: int) -> DataFrame:
+def _best_leaders(posts: DataFrame, salt: int, percent: int) -> DataFrame:
     """For each group, the leader that it shares most shingles with, in another component.
 
     The leader of a shingle is one of its groups, another one for each salt.
@@ -314,24 +319,103 @@ def _leader_pairs(posts: DataFrame, salt: int, percent: int) -> DataFrame:
         & (100 * F.least("n", "ln") >= percent * F.greatest("n", "ln"))
     )
     counted = met.groupBy("g", "lg").agg(F.count("*").alias("k"))
-    best = counted.groupBy("g").agg(F.max_by("lg", F.struct("k", -F.col("lg"))).alias("b"))
-    return best.select(F.least("g", "b").alias("a"), F.greatest("g", "b").alias("b")).distinct()
+    return counted.groupBy("g").agg(F.max_by("lg", F.struct("k", -F.col("lg"))).alias("leader"))
 
 
-def _open_pairs(posts: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _open_pairs(active: DataFrame, nearest: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs of groups in different components that share enough of their prefixes to link.
 
+    Groups with one best leader form a cluster. Clusters that meet in a shingle are paired, and the
+    prefixes of a cluster pair's groups are compared in one place, in blocks of bounded size; only
+    the pairs of groups that may still link leave it.
+    """
+    homes = nearest.select("g", "leader")
+    placed = active.select("g", "h", "n", "c").join(homes, "g", "left").withColumn("home", F.coalesce("leader", "g")).drop("leader")
+    placed = stored(placed, "homes")
+    met = stored(placed.select("h", "home").distinct(), "met")
+    other = met.select("h", F.col("home").alias("home2"))
+    pairs = met.join(other, "h").where("home < home2").select("home", "home2").distinct()
+    members = placed.select("home", "g", "c").distinct().join(groups.select("g", "n", "prefix"), "g")
+    members = stored(members, "cluster-members")
+    sizes = members.groupBy("home").agg(F.count("*").alias("m"), F.min("n").alias("low"), F.max("n").alias("high"))
+    blocks = stored(sizes.select("home", "low", "high", F.ceil(F.col("m") / CLUSTER_BLOCK).cast("int").alias("blocks"), "m"), "cluster-sizes")
+    pairs = pairs.unionByName(blocks.where("m > 1").select("home", F.col("home").alias("home2")))
+    right = blocks.select(*[F.col(c).alias(f"{c}2") for c in ("home", "low", "high", "blocks")])
+    pairs = pairs.join(blocks, "home").join(right, "home2")
+    near = (percent * F.col("low") <= 100 * F.col("high2")) & (percent * F.col("low2") <= 100 * F.col("high"))
+    pairs = pairs.where(near)
+    pairs = stored(pairs.select("home", "home2", "blocks", "blocks2"), "cluster-pairs")
+    spread = F.xxhash64("g", F.lit(1))
+    sides = []
+    for side, key, mine, theirs in ((0, "home", "blocks", "blocks2"), (1, "home2", "blocks2", "blocks")):
+        rows = members.withColumnRenamed("home", key).join(pairs, key)
+        rows = rows.where("home <> home2") if side else rows
+        rows = rows.withColumn("own", F.pmod(spread, F.col(mine)).cast("int"))
+        rows = rows.withColumn("far", F.explode(F.sequence(F.lit(0), F.col(theirs) - 1)))
+        # Within one cluster, a pair of blocks is one group: the lower block is the left side.
+        own_left = (F.col("own") if side == 0 else F.col("far")).alias("i")
+        own_right = (F.col("far") if side == 0 else F.col("own")).alias("j")
+        sides.append(rows.select("home", "home2", own_left, own_right, F.lit(side).alias("side"), "g", "c", "n", "prefix"))
+    both = sides[0].unionByName(sides[1])
+    alone = F.col("home") == F.col("home2")
+    both = both.select(
+        "home",
+        "home2",
+        F.when(alone, F.least("i", "j")).otherwise(F.col("i")).alias("i"),
+        F.when(alone, F.greatest("i", "j")).otherwise(F.col("j")).alias("j"),
+        F.when(alone, (F.col("i") > F.col("j")).cast("int")).otherwise(F.col("side")).alias("side"),
+        "g",
+        "c",
+        "n",
+        "prefix",
+    )
+    both = both.repartition("home", "home2", "i", "j").sortWithinPartitions("home", "home2", "i", "j")
+    return both.mapInArrow(_compare_clusters(percent), "g long, g2 long").distinct()
+
+
+def _compare_clusters(percent: int):
+    """Pairs of groups of two cluster blocks that can still reach the similarity.
+
     Of a pair's common shingles, those outside both prefixes are at most the rest of the set
     whose prefix ends first in the order of rarity; that rest is no more than the larger one.
     """
-    active = _active(posts, labels)
-    other = active.select("h", F.col("g").alias("g2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
-    low, high = F.least("n", "n2"), F.greatest("n", "n2")
-    met = active.join(other, "h").where((F.col("g") < F.col("g2")) & (F.col("c") != F.col("c2")) & (100 * low >= percent * high))
-    counted = met.groupBy("g", "g2").agg(F.count("*").alias("k"), F.first("n").alias("n"), F.first("n2").alias("n2"))
-    needed = F.ceil(F.lit(percent) * (F.col("n") + F.col("n2")) / F.lit(100 + percent) - 1e-6)
-    rest = F.ceil(F.lit(percent) * high / 100 - 1e-6) - 1
-    return counted.where(F.col("k") + rest >= needed).select("g", "g2")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, ["home", "home2", "i", "j"]):
+            one = group.column("home")[0] == group.column("home2")[0] and group.column("i")[0] == group.column("j")[0]
+            side = group.column("side").to_numpy()
+            left = np.flatnonzero(side == 0)
+            right = left if one else np.flatnonzero(side == 1)
+            if not len(left) or not len(right):
+                continue
+            g, c, n = (group.column(k).to_numpy() for k in ("g", "c", "n"))
+            lists = group.column("prefix").combine_chunks()
+            values = lists.flatten().to_numpy()
+            owner = pc.list_parent_indices(lists).to_numpy()
+            order = np.argsort(values, kind="stable")
+            values, owner = values[order], owner[order]
+            seat = np.full(len(g), -1)
+            seat[left] = np.arange(len(left))
+            seat2 = np.full(len(g), -1)
+            seat2[right] = np.arange(len(right))
+            shared = np.zeros((len(left), len(right)), np.int32)
+            edges = np.flatnonzero(np.append(True, values[1:] != values[:-1]))
+            ends = np.append(edges[1:], len(values))
+            for a, b in zip(edges[ends - edges > 1], ends[ends - edges > 1], strict=True):
+                rows = owner[a:b]
+                p, q = seat[rows], seat2[rows]
+                shared[np.ix_(p[p >= 0], q[q >= 0])] += 1
+            n1, n2 = n[left][:, None].astype(np.int64), n[right][None, :].astype(np.int64)
+            low, high = np.minimum(n1, n2), np.maximum(n1, n2)
+            needed = -(-percent * (n1 + n2) // (100 + percent))
+            rest = -(-percent * high // 100) - 1
+            ok = (shared > 0) & (shared + rest >= needed) & (100 * low >= percent * high)
+            ok &= c[left][:, None] != c[right][None, :]
+            p, q = np.nonzero(ok)
+            x, y = g[left[p]], g[right[q]]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["g", "g2"])
+
+    return run
 
 
 def _expanded(pairs: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from trialmart.llm.common import stored
-from trialmart.llm.embeddings import _groups, vector_rows
+from trialmart.llm.common import sorted_groups, stored
+from trialmart.llm.embeddings import vector_rows
 
 #: Cells; their pivots are this many vectors, those with the smallest hash of the id.
 PIVOTS = 16
@@ -141,7 +141,7 @@ def _solve(k: int, width: int):
     """The k best data rows of a group for each of its queries; queries come first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _groups(batches, ["cell", "block", "salt"]):
+        for group in sorted_groups(batches, ["cell", "block", "salt"]):
             is_query = group.column("query").to_numpy()
             asked = group.filter(pa.array(is_query))
             data = group.filter(pa.array(~is_query))
