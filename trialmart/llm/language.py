@@ -20,6 +20,9 @@ LANGUAGES, DOCS_PER_LANGUAGE, WINDOWS_PER_DOC, WINDOW_WORDS = 64, 200, 4, 20
 LEXICON_BOUND, SLOTS = 20_000, 1 << 17
 EPOCHS, RATE, DECAY = 40, 0.5, 1e-6
 
+#: Bytes of text that a task labels at once.
+SLICE = 1 << 22
+
 UNDETERMINED = "und"
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
@@ -265,7 +268,7 @@ def predict(docs: DataFrame, model: Field) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text", 1 << 24):
+            for part in text_slices(batch, "text", SLICE):
                 names, score, counts, odd = _decided(model.value, part.column("text"))
                 columns = [part.column("doc_id"), pa.array(names, pa.string()), pa.array(score), pa.array(counts), pa.array(odd)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score", "n_words", "n_other"])
@@ -282,7 +285,7 @@ def keep_determined(docs: DataFrame, model: Field, least: float = 0.5) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text", 1 << 24):
+            for part in text_slices(batch, "text", SLICE):
                 names, score, _, _ = _decided(model.value, part.column("text"))
                 yield part.filter(pa.array((names != UNDETERMINED) & (score >= least)))
 
