@@ -45,7 +45,7 @@ def by_id(df):
 
 def test_flatten(spark, pages):
     flat = study_pages.flatten_studies(study_pages.read_study_pages(spark, pages))
-    assert flat.columns == RAW_COLUMNS
+    assert flat.columns == [*RAW_COLUMNS, *study_pages.REJECT_COLUMNS]
     rows = by_id(flat)
     assert flat.count() == 5
     one = rows["NCT1"]
@@ -72,8 +72,8 @@ def test_validate(spark, pages):
     assert rows["NCT1"]["OfficialTitle"] is None
     assert rows["NCT1"]["Phase"] is None
     assert study_pages.invalid_trials(flat).count() == 2
-    assert study_pages.validation_summary(flat).first() == (5, 3, 2, 60.0)
-    assert study_pages.validation_summary(flat.limit(0)).first() == (0, 0, 0, 0.0)
+    assert study_pages.validation_summary(flat).first() == (5, 3, 2, 0, 60.0)
+    assert study_pages.validation_summary(flat.limit(0)).first() == (0, 0, 0, 0, 0.0)
 
 
 def test_negative_numbers_become_null(spark):
@@ -86,12 +86,12 @@ def test_extraction_is_saved(spark, pages, tmp_path):
     flat = study_pages.flatten_studies(study_pages.read_study_pages(spark, pages))
     valid = study_pages.validate_trials(flat)
     out = str(tmp_path / "out")
-    storage.write_extraction(flat, valid, out, {"phases": ["PHASE1"], "limit": None}, run_ts)
+    storage.write_extraction(flat, out, {"phases": ["PHASE1"], "limit": None}, run_ts)
     saved = storage.read_saved_trials(spark, f"{out}/trials")
     assert sorted(map(str, saved.collect())) == sorted(map(str, valid.collect()))
     envelope = spark.read.json(f"{out}/envelope").first()
     assert envelope["metadata"]["total_trials"] == 3
-    assert json.loads(envelope["metadata"]["search_criteria"]) == {"phases": ["PHASE1"], "limit": None}
+    assert envelope["metadata"]["search_criteria"]["phases"] == ["PHASE1"]
     assert envelope["validation_summary"]["invalid_trials"] == 2
     marked = study_pages.add_extraction_metadata(valid, run_ts)
     assert marked.columns[-3:] == ["extraction_date", "data_source", "validation_status"]

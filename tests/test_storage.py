@@ -1,5 +1,7 @@
 """Tables, SQL access and inspection."""
 
+import datetime as dt
+
 import pytest
 from pyspark.errors import AnalysisException
 
@@ -21,9 +23,9 @@ def test_load_modes(spark, tmp_path):
 
 def test_run_query_with_parameters(spark):
     df = spark.range(10)
-    found = storage.run_query(spark, "SELECT count(*) AS n FROM numbers WHERE id >= :low", {"numbers": df}, {"low": 7})
+    found = storage.run_query(spark, "SELECT count(*) AS n FROM {numbers} WHERE id >= :low", {"numbers": df}, {"low": 7})
     assert found.first()["n"] == 3
-    assert storage.table_exists(spark, "numbers")
+    assert not storage.table_exists(spark, "numbers"), "no view is left behind"
     assert not storage.table_exists(spark, "no_such_table")
 
 
@@ -44,14 +46,16 @@ def test_json_round_trip(spark, tmp_path):
 
 
 def test_nothing_published(spark, tmp_path):
+    assert storage.published_run(spark, str(tmp_path)) is None
     (tmp_path / "published").mkdir()
     assert storage.published_run(spark, str(tmp_path)) is None
 
 
-def test_small_scans_are_spread(spark, tmp_path):
-    storage.write_table(spark.range(100).coalesce(1), str(tmp_path / "one"))
-    scan = storage.read_table(spark, str(tmp_path / "one"))
-    cores = spark.sparkContext.defaultParallelism
-    assert storage.spread_small(spark, scan).rdd.getNumPartitions() == cores
-    wide = spark.range(0, 100, 1, cores + 1)
-    assert storage.spread_small(spark, wide) is wide
+def test_old_runs_are_removed(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    for day in (1, 2, 3):
+        storage.write_table(spark.range(1), f"{root}/run-{day}")
+        storage.publish_run(spark, root, f"run-{day}", dt.datetime(2024, 1, day))
+    assert storage.remove_old_runs(spark, root, keep=2) == ["run-1"]
+    assert storage.published_run(spark, root) == "run-3"
+    assert not (tmp_path / "run-1").exists() and (tmp_path / "run-2").exists()

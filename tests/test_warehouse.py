@@ -82,7 +82,7 @@ def test_stage_locations(built):
 def test_unknown_members_are_one_row(built):
     conditions = rows(staging.stage_conditions(built[1]), "condition_id")
     assert set(conditions) == {"COND_UNKNOWN_1", "COND_asthma", "COND_heart;lung", "COND_lung"}
-    assert conditions["COND_UNKNOWN_1"]["condition_name"] == ""
+    assert conditions["COND_UNKNOWN_1"]["condition_name"] == "Unknown Condition"
     interventions = rows(staging.stage_interventions(built[1]), "intervention_id")
     assert set(interventions) == {"INT_UNKNOWN_1", "INT_x"}
 
@@ -99,7 +99,7 @@ def test_stage_trials(built):
     assert (found["N3"]["start_date_key"], found["N3"]["duration_days"]) == (20230101, 30)
     assert (found["N7"]["start_date_key"], found["N7"]["completion_date_key"]) == (None, 20220115)
     assert found["N7"]["duration_days"] is None
-    assert staging.repeated_trials(built[1]).collect() == [("N2", 2)]
+    assert staging.repeated_trials(staging.trial_ids(built[1])).collect() == [("N2", 2)]
 
 
 def test_fact_and_dimension_invariants(built):
@@ -175,7 +175,7 @@ def test_repeats_of_one_hot_key(spark):
     both = hot.unionByName(rest)
     repeated = keys.repeated_keys(both, "k")
     assert repeated.collect() == [("hot", 3000)]
-    kept = keys.drop_repeats(both, "k", repeated.select("k"))
+    kept = keys.first_by_key(both, "k")
     assert kept.count() == 6001
     assert kept.filter("k = 'hot'").collect() == [("hot", 7)]
 

@@ -31,6 +31,7 @@ def phase_number(c: Column) -> Column:
     return F.nullif(found, F.lit("")).try_cast("int")
 
 
+# Fixed values in it: the size bands.
 def categorize_enrollment(n: Column) -> Column:
     return (
         F.when(n.isNull() | (n <= 0), "Unknown")
@@ -65,10 +66,11 @@ def number_label(c: Column, kind: str = "comma", missing: str = "N/A", whole: bo
     if kind == "comma" and whole:
         shown = F.format_number(c, 0)
     elif kind == "comma":
-        exact = F.abs(c).cast("decimal(38,18)").cast("string")
+        exact = F.abs(c).try_cast("decimal(38,18)").cast("string")
         fraction = F.regexp_replace(F.substring_index(exact, ".", -1), r"(?<=\d)0+$", "")
-        thousands = F.format_number(F.substring_index(exact, ".", 1).cast("decimal(20,0)"), 0)
-        shown = F.concat(F.when(c < 0, "-").otherwise(""), thousands, F.lit("."), fraction)
+        thousands = F.format_number(F.substring_index(exact, ".", 1).try_cast("decimal(20,0)"), 0)
+        split = F.concat(F.when(c < 0, "-").otherwise(""), thousands, F.lit("."), fraction)
+        shown = F.coalesce(split, c.cast("string"))  # beyond 20 digits a number is shown plainly
     elif kind == "percent":
         # format_string prints a NULL argument as text, hence the guard.
         shown = F.when(c.isNotNull(), F.format_string("%.1f%%", F.bround(c.cast("double"), 1)))

@@ -22,16 +22,6 @@ def first_by_key(df: DataFrame, key: str) -> DataFrame:
     return df.withColumn("_place", place).filter("_place = 1").drop("_place")
 
 
-def drop_repeats(df: DataFrame, key: str, repeated: DataFrame) -> DataFrame:
-    """first_by_key for a table whose keys are nearly all unique.
-
-    `repeated` lists the keys held by more than one row. Only their rows are shuffled and
-    sorted; all others pass through, so wide rows do not move because of a few repeats.
-    """
-    once = df.join(repeated, key, "left_anti")
-    return once.unionByName(first_by_key(df.join(repeated, key, "left_semi"), key))
-
-
 def repeated_keys(df: DataFrame, key: str) -> DataFrame:
     """Keys held by more than one row, with the number of rows."""
     return df.groupBy(key).agg(F.count(F.lit(1)).alias("row_count")).filter("row_count > 1")

@@ -14,7 +14,6 @@ from trialmart.functions.text import valid_email
 from trialmart.operators.clean import dates_in_order, enrollment_plausible, phase_known
 from trialmart.operators.keys import repeated_keys
 from trialmart.operators.warehouse import Star
-from trialmart.sources.storage import materialize
 
 JOB_RUN_SCHEMA = (
     "job_name string, step string, start_time timestamp, duration_seconds double, "
@@ -44,70 +43,62 @@ def quality_report(df: DataFrame, required: list[str]) -> DataFrame:
     """One row of table metrics. Required columns the table lacks are left out; with none
     present the table counts as complete. An empty table scores 0 throughout.
 
-    Duplicates are rows equal to an earlier row in all columns. A first pass counts rows by
-    a 64-bit hash, which is all it shuffles, and takes the other counts along as observed
-    metrics. Only rows that share a hash are then compared in full, which keeps the result
-    exact; without such rows there is no second pass.
+    Duplicates are rows equal to an earlier row in all columns. Rows are told apart by two
+    independent 64-bit hashes over all columns, which with the counts is all that is shuffled:
+    two different rows in a table of a billion coincide with a chance of 1 in 10^20.
     """
-    if df.isEmpty():
-        zero = F.lit(0.0)
-        return df.sparkSession.range(1).select(
-            F.lit(0).cast("bigint").alias("total_rows"),
-            F.lit(0).cast("bigint").alias("duplicate_rows"),
-            zero.alias("duplicate_percentage"),
-            zero.alias("completeness"),
-            zero.alias("quality_score"),
-        )
-    present = [c for c in required if c in df.columns]
     names = [f"c{i}" for i in range(len(df.columns))]
-    seen = Observation()
-    counts = [F.count(F.lit(1)).alias("rows")]
-    counts += [F.count(names[df.columns.index(c)]).alias(f"filled{i}") for i, c in enumerate(present)]
-    hashed = df.toDF(*names).observe(seen, *counts).withColumn("row_hash", F.xxhash64(*names))
-    shared = materialize(repeated_keys(hashed.select("row_hash"), "row_hash").select("row_hash"), "row-hashes")
-    total = seen.get["rows"]
-    filled = sum(seen.get[f"filled{i}"] for i in range(len(present)))
-
-    if shared.isEmpty():
-        repeats = df.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("duplicate_rows"))
-    else:
-        named = df.toDF(*names).withColumn("row_hash", F.xxhash64(*names))
-        groups = named.join(shared, "row_hash", "left_semi").groupBy(*names).agg(F.count(F.lit(1)).alias("n"))
-        repeats = groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
-
-    complete = filled * 100.0 / (total * len(present)) if present else 100.0
-    duplicate_pct = F.col("duplicate_rows") * F.lit(100.0) / F.lit(float(total))
-    score = F.lit(100.0) - duplicate_pct * F.lit(2.0) - (F.lit(100.0) - F.lit(complete))
-    return repeats.select(
-        F.lit(total).cast("bigint").alias("total_rows"),
+    present = [names[df.columns.index(c)] for c in required if c in df.columns]
+    keys = [F.xxhash64(*names).alias("h1"), F.xxhash64(F.lit("second"), *reversed(names)).alias("h2")]
+    filled = sum((F.col(c).isNotNull().cast("int") for c in present), F.lit(0))
+    rows = df.toDF(*names).select(*keys, filled.alias("filled"))
+    groups = rows.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.sum("filled").alias("filled"))
+    counts = groups.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"),
+        F.coalesce(F.sum("filled"), F.lit(0)).alias("filled"),
+    )
+    total = F.col("total_rows").cast("double")
+    share = F.try_divide(F.col("duplicate_rows") * F.lit(100.0), total)
+    complete = F.try_divide(F.col("filled") * F.lit(100.0), total * len(present)) if present else F.lit(100.0)
+    complete = F.when(F.col("total_rows") > 0, complete).otherwise(0.0)
+    shown = counts.select(
+        "total_rows", "duplicate_rows", F.coalesce(share, F.lit(0.0)).alias("share"), complete.alias("complete")
+    )
+    score = F.lit(100.0) - F.col("share") * F.lit(2.0) - (F.lit(100.0) - F.col("complete"))
+    return shown.select(
+        "total_rows",
         "duplicate_rows",
-        round_even(duplicate_pct, 2).alias("duplicate_percentage"),
-        round_even(F.lit(complete), 2).alias("completeness"),
+        round_even(F.col("share"), 2).alias("duplicate_percentage"),
+        round_even(F.col("complete"), 2).alias("completeness"),
         round_even(F.greatest(F.lit(0.0), score), 2).alias("quality_score"),
     )
 
 
 def referential_integrity(star: Star) -> DataFrame:
-    """Per dimension key of the fact: rows with no key, and rows whose key has no member."""
-    checks = [
-        ("sponsor_key", star.sponsor, "sponsor_key"),
-        ("location_key", star.location, "location_key"),
-        ("condition_key", star.condition, "condition_key"),
-        ("intervention_key", star.intervention, "intervention_key"),
-        ("start_date_key", star.dates, "date_key"),
-        ("completion_date_key", star.dates, "date_key"),
-    ]
-    found = None
-    for key, dim, dim_key in checks:
-        # Counted by key before the join: a key or gap shared by many facts is one row here.
-        held = star.fact.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-        missing = held.join(dim.select(F.col(dim_key).alias(key)), key, "left_anti")
-        result = missing.agg(
-            F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).alias("null_keys"),
-            F.coalesce(F.sum(F.when(F.col(key).isNotNull(), F.col("n"))), F.lit(0)).alias("orphan_keys"),
-        ).select(F.lit(key).alias("fact_column"), "*")
-        found = result if found is None else found.unionByName(result)
-    return found
+    """Per dimension key of the fact: rows with no key, and rows whose key has no member.
+
+    The fact is read once and counted by (column, key) before the join, so a key or gap shared by
+    many facts is one row there.
+    """
+    members = {
+        "sponsor_key": (star.sponsor, "sponsor_key"),
+        "location_key": (star.location, "location_key"),
+        "condition_key": (star.condition, "condition_key"),
+        "intervention_key": (star.intervention, "intervention_key"),
+        "start_date_key": (star.dates, "date_key"),
+        "completion_date_key": (star.dates, "date_key"),
+    }
+    keys = F.array(*[F.struct(F.lit(c).alias("fact_column"), F.col(c).cast("bigint").alias("key")) for c in members])
+    held = star.fact.select(F.inline(keys)).groupBy("fact_column", "key").agg(F.count(F.lit(1)).alias("n"))
+    known = None
+    for column, (dim, key) in members.items():
+        part = dim.select(F.lit(column).alias("fact_column"), F.col(key).cast("bigint").alias("key"), F.lit(True).alias("known"))
+        known = part if known is None else known.unionByName(part)
+    joined = held.join(known, ["fact_column", "key"], "left")
+    gap = F.when(F.col("key").isNull(), F.col("n")).otherwise(0)
+    orphan = F.when(F.col("key").isNotNull() & F.col("known").isNull(), F.col("n")).otherwise(0)
+    return joined.groupBy("fact_column").agg(F.sum(gap).alias("null_keys"), F.sum(orphan).alias("orphan_keys"))
 
 
 def duplicate_keys(df: DataFrame, key: str) -> DataFrame:

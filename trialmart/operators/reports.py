@@ -297,7 +297,13 @@ def dash_sponsors(star: Star, k: int = 20) -> DataFrame:
     )
 
 
-def dash_conditions(star: Star, k: int = 20) -> DataFrame:
+def _top(df: DataFrame, k: int | None, *keys: str) -> DataFrame:
+    """Groups by falling trial count, ties in key order; all of them without `k`."""
+    ordered = df.orderBy(F.desc("trial_count"), *keys)
+    return ordered if k is None else ordered.limit(k)
+
+
+def _by_condition(star: Star) -> DataFrame:
     return (
         _sums(star.fact, ["condition_key"], [ENROLLMENT, DURATION])
         .join(star.condition.select("condition_key", "condition_name", "condition_category"), "condition_key")
@@ -307,11 +313,13 @@ def dash_conditions(star: Star, k: int = 20) -> DataFrame:
             _mean(ENROLLMENT).alias("avg_enrollment"),
             _mean(DURATION).alias("avg_duration"),
         )
-        .orderBy(F.desc("trial_count"), "condition_name", "condition_category")
-        .limit(k)
     )
 
 
+def dash_conditions(star: Star, k: int | None = 20) -> DataFrame:
+    return _top(_by_condition(star), k, "condition_name", "condition_category")
+
+
 def _by_place(star: Star) -> DataFrame:
     return (
         _sums(star.fact, ["location_key"], [ENROLLMENT])
@@ -321,9 +329,8 @@ def _by_place(star: Star) -> DataFrame:
     )
 
 
-def dash_locations(star: Star, k: int = 20) -> DataFrame:
-    places = _by_place(star).filter(F.col("country").isNotNull())
-    return places.orderBy(F.desc("trial_count"), "country", "state").limit(k)
+def dash_locations(star: Star, k: int | None = 20) -> DataFrame:
+    return _top(_by_place(star).filter(F.col("country").isNotNull()), k, "country", "state")
 
 
 def dash_temporal(star: Star, since: int = 2020) -> DataFrame:
@@ -355,28 +362,27 @@ def readme_geo(star: Star) -> DataFrame:
     return _by_place(star).orderBy(F.desc("trial_count"), "country", "state")
 
 
-def category_rollup(star: Star) -> DataFrame:
-    """Totals per category over the listed top conditions; the mean is that of their means."""
+def category_rollup(star: Star, top: int | None = None) -> DataFrame:
+    """Totals per category over all conditions, or the `top` of them; the mean is that of their means."""
     return (
-        dash_conditions(star)
+        dash_conditions(star, top)
         .filter(F.col("condition_category").isNotNull())
         .groupBy("condition_category")
         .agg(_total("trial_count").alias("trial_count"), F.avg("avg_enrollment").alias("avg_enrollment"))
     )
 
 
-def country_rollup(star: Star, k: int = 15) -> DataFrame:
-    """Totals per country over the listed top places."""
-    return (
-        dash_locations(star)
+def country_rollup(star: Star, k: int | None = None, top: int | None = None) -> DataFrame:
+    """Totals per country over all places, or the `top` of them; the first `k` countries if given."""
+    totals = (
+        dash_locations(star, top)
         .groupBy("country")
         .agg(
             _total("trial_count").alias("trial_count"),
             F.coalesce(F.sum("total_enrollment"), F.lit(0)).alias("total_enrollment"),
         )
-        .orderBy(F.desc("trial_count"), "country")
-        .limit(k)
     )
+    return _top(totals, k, "country")
 
 
 def temporal_series(star: Star, since: int = 2020) -> DataFrame:

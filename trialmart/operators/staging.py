@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trialmart.functions.categories import condition_group, sponsor_country, sponsor_type
 from trialmart.functions.dates import date_key, duration_days, parse_date
 from trialmart.functions.text import or_unknown, trim_or_null
-from trialmart.operators.keys import drop_repeats, first_by_key, repeated_keys
+from trialmart.operators.keys import first_by_key
 from trialmart.sources.search import valid_raw
 
 # Score given to every staged trial, and the three completeness steps.
@@ -93,7 +93,7 @@ def stage_conditions(raw: DataFrame) -> DataFrame:
         valid_raw(raw)
         .select(
             _member_id("Condition", condition_id(), "COND_").alias("condition_id"),
-            F.coalesce(F.trim("Condition"), F.lit("Unknown Condition")).alias("condition_name"),
+            F.coalesce(trim_or_null(F.col("Condition")), F.lit("Unknown Condition")).alias("condition_name"),
             condition_group(F.col("Condition")).alias("condition_category"),
         )
         .distinct()
@@ -106,7 +106,7 @@ def stage_interventions(raw: DataFrame) -> DataFrame:
         valid_raw(raw)
         .select(
             _member_id("InterventionName", intervention_id(), "INT_").alias("intervention_id"),
-            F.coalesce(F.trim("InterventionName"), F.lit("Unknown Intervention")).alias("intervention_name"),
+            F.coalesce(trim_or_null(F.col("InterventionName")), F.lit("Unknown Intervention")).alias("intervention_name"),
             or_unknown(F.col("InterventionType")).alias("intervention_type"),
         )
         .distinct()
@@ -119,21 +119,19 @@ def staged_ids(raw: DataFrame) -> DataFrame:
     return valid_raw(raw).filter(F.col("NCTId").isNotNull())
 
 
-def repeated_trials(raw: DataFrame) -> DataFrame:
-    """Trial ids that occur on several valid rows; reads two columns of the raw table."""
-    return repeated_keys(staged_ids(raw).select(F.col("NCTId").alias("nct_id")), "nct_id")
-
-
 def trial_ids(raw: DataFrame) -> DataFrame:
-    """Every trial id once."""
-    return staged_ids(raw).select(F.col("NCTId").alias("nct_id")).distinct()
+    """Every trial id once, with the number of valid rows that hold it."""
+    ids = staged_ids(raw).select(F.col("NCTId").alias("nct_id"))
+    return ids.groupBy("nct_id").agg(F.count(F.lit(1)).alias("row_count"))
+
 
+def repeated_trials(ids: DataFrame) -> DataFrame:
+    """Of the counted trial ids, those that occur on several valid rows."""
+    return ids.filter("row_count > 1").select("nct_id", "row_count")
 
-def stage_trials(raw: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
-    """One row per trial id with dimension ids, date keys, defaults and scores.
 
-    `repeated` is the result of repeated_trials when it is at hand already.
-    """
+def stage_trials(raw: DataFrame) -> DataFrame:
+    """One row per trial id with dimension ids, date keys, defaults and scores."""
     start, end = F.col("start_date"), F.col("end_date")
     named = [F.col(c).isNotNull() for c in ("BriefTitle", "LeadSponsorName", "Condition")]
     count = F.col("EnrollmentCount")
@@ -171,5 +169,5 @@ def stage_trials(raw: DataFrame, repeated: DataFrame | None = None) -> DataFrame
             F.lit(STAGED_QUALITY).alias("data_quality_score"),
         )
     )
-    repeated = repeated_trials(raw) if repeated is None else repeated
-    return drop_repeats(rows, "nct_id", repeated.select("nct_id"))
+    # Straight from the scan, so that each task sends one row of an id at most.
+    return first_by_key(rows, "nct_id")

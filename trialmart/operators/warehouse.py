@@ -199,7 +199,7 @@ def fact_trials(
     only. Spark broadcasts a dimension whose measured size allows it; a larger one is
     shuffled, and adaptive execution splits the partition of an id that many trials share.
     """
-    joined = staged.join(number_rows(ids, "trial_key"), "nct_id")
+    joined = staged.join(number_rows(ids.drop("row_count"), "trial_key"), "nct_id")
     for dim, name in [
         (sponsor, "sponsor"),
         (location, "location"),

@@ -8,6 +8,8 @@ queries over the star.
 from __future__ import annotations
 
 import datetime as dt
+import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,50 +19,83 @@ from trialmart.functions import categories, dates, numbers, text
 from trialmart.operators import clean, quality, reports, staging, warehouse
 from trialmart.operators.warehouse import Star
 from trialmart.plans.refresh import Tables, refresh_warehouse, star_of
+from trialmart.schemas import RAW_COLUMNS, RAW_TO_CLEAN
 from trialmart.sources import order_trials, search, storage, study_pages
 
 # Fixed day that "now" stands for, and fixed load time, so that results repeat.
 AS_OF = dt.date(2025, 6, 30)
 RUN_TS = dt.datetime(2025, 6, 30, 12, 0, 0)
 
-_roots: dict[tuple[str, str], str] = {}
-_raw: dict[str, DataFrame] = {}
-_pages: dict[str, str] = {}
-_tables: dict[str, Tables] = {}
+_RAW_NAMES = {new: old for old, new in RAW_TO_CLEAN.items()}
+
+# What was built, by application, folder and name. One thread builds at a time.
+_built: dict[tuple[str, str, str], object] = {}
+_building = threading.RLock()
+
+
+def _once(spark: SparkSession, folder: str, name: str, build: Callable[[], object]):
+    key = (spark.sparkContext.applicationId, folder, name)
+    with _building:
+        if key not in _built:
+            _built[key] = build()
+        return _built[key]
 
 
 def _root(spark: SparkSession, folder: str) -> str:
-    owner = (spark.sparkContext.applicationId, folder)
-    if owner not in _roots:
-        _roots[owner] = storage.new_run_folder(spark, "trials")
-    return _roots[owner]
+    return _once(spark, folder, "root", lambda: storage.new_run_folder(spark, "trials"))
 
 
 def raw_table(spark: SparkSession, folder: str) -> DataFrame:
     """The stored raw trials of a folder."""
-    root = _root(spark, folder)
-    if root not in _raw:
+
+    def build() -> DataFrame:
         derived = order_trials.raw_trials(spark, folder)
-        storage.write_table(derived, f"{root}/raw_trials")
-        _raw[root] = storage.read_table(spark, f"{root}/raw_trials", derived.schema)
-    return _raw[root]
+        path = f"{_root(spark, folder)}/raw_trials"
+        storage.write_table(derived, path)
+        return storage.read_table(spark, path, derived.schema)
+
+    return _once(spark, folder, "raw", build)
 
 
 def landed_pages(spark: SparkSession, folder: str) -> str:
     """Path of the trials of a folder as nested JSON pages, one page per line."""
-    root = _root(spark, folder)
-    if root not in _pages:
-        pages = order_trials.study_pages(order_trials.order_trials(spark, folder))
-        pages.write.json(f"{root}/pages")
-        _pages[root] = f"{root}/pages"
-    return _pages[root]
+
+    def build() -> str:
+        path = f"{_root(spark, folder)}/pages"
+        order_trials.study_pages(order_trials.order_trials(spark, folder)).write.json(path)
+        return path
+
+    return _once(spark, folder, "pages", build)
+
+
+def damaged_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Flat studies of the landed pages of which every third is cut off in the middle."""
+
+    def build() -> str:
+        path = f"{_root(spark, folder)}/damaged-pages"
+        lines = spark.read.text(landed_pages(spark, folder))
+        cut = F.expr("substr(value, 1, length(value) div 2)")
+        hit = F.pmod(_page_of(F.col("value")), F.lit(3)) == 1
+        lines.select(F.when(hit, cut).otherwise(F.col("value")).alias("value")).write.text(path)
+        return path
+
+    path = _once(spark, folder, "damaged", build)
+    return study_pages.flatten_studies(study_pages.read_study_pages(spark, path, one_page_per_file=False))
+
+
+def _page_of(line: Column) -> Column:
+    """Number of a landed page, from the first id in its text; pages without one count as 0."""
+    first = F.nullif(F.regexp_extract(line, r'"nctId":"NCT0*(\d+)"', 1), F.lit(""))
+    return F.coalesce(F.floor(first.cast("bigint") / order_trials.STUDIES_PER_PAGE), F.lit(0))
 
 
 def warehouse_tables(spark: SparkSession, folder: str) -> Tables:
-    root = _root(spark, folder)
-    if root not in _tables:
-        _tables[root] = refresh_warehouse(spark, raw_table(spark, folder), root, RUN_TS)
-    return _tables[root]
+    return _once(
+        spark,
+        folder,
+        "warehouse",
+        lambda: refresh_warehouse(spark, raw_table(spark, folder), _root(spark, folder), RUN_TS),
+    )
 
 
 def star(spark: SparkSession, folder: str) -> Star:
@@ -133,12 +168,8 @@ def _labels(raw: DataFrame) -> DataFrame:
 
 
 SCALAR_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "clean_text": lambda raw: _per_trial(
-        raw,
-        brief_title=text.clean_string(F.col("BriefTitle")),
-        sponsor_class=text.clean_string(F.col("LeadSponsorClass")),
-        condition=text.clean_string(F.col("Condition")),
-        purpose=text.clean_string(F.col("PrimaryPurpose")),
+    "clean_text": lambda raw: raw.select(
+        *[text.clean_string(F.col(c)).alias(n) for c, n in RAW_TO_CLEAN.items() if n in clean.TEXT_COLUMNS]
     ),
     "parse_dates": _parsed_dates,
     "split_location": _locations,
@@ -189,6 +220,27 @@ SCALAR_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+def _with_repeats(raw: DataFrame) -> DataFrame:
+    """The raw trials, with a second, partly different row for every seventh id and a third for
+    every fourteenth."""
+    number = F.col("NCTId").substr(4, 30).cast("bigint")
+    second = raw.filter(number % 7 == 3).withColumn("BriefTitle", F.lit("Another title"))
+    third = raw.filter(number % 14 == 3).withColumn("Phase", F.lit(None).cast("string"))
+    return raw.unionByName(second).unionByName(third)
+
+
+def _renamed(raw: DataFrame) -> DataFrame:
+    """Raw trials under other names, enrollment as text, and one column for the place."""
+    place = F.concat_ws(", ", F.coalesce(F.nullif("LocationCity", F.lit("")), F.lit("-")), F.coalesce("LocationState", F.lit("-")), "LocationCountry")
+    others = {old: names[0] for new, names in clean.OTHER_NAMES.items() for old in [_RAW_NAMES[new]] if names}
+    kept = [
+        F.col(c).cast("string").alias(others.get(c, c))
+        for c in RAW_COLUMNS
+        if c not in ("LocationCity", "LocationState", "LocationCountry")
+    ]
+    return raw.select(*kept, place.alias("location"))
+
+
 # ---- Catalogue --------------------------------------------------------------------------------
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,7 +254,6 @@ SEARCH = {
     "start_date": "2021-01-01",
     "end_date": "2025-12-31",
 }
-SHOWN = ["NCTId", "LeadSponsorName", "Condition", "Phase", "Status", "StudyStartDate"]
 DETAIL_ID = "NCT00000042"
 
 REPORTS: dict[str, Callable[[Star], DataFrame]] = {
@@ -228,17 +279,25 @@ REPORTS: dict[str, Callable[[Star], DataFrame]] = {
     "readme_geo": reports.readme_geo,
     "category_rollup": reports.category_rollup,
     "country_rollup": reports.country_rollup,
+    # Limits that cut rows of the test tables too.
+    "top_common_conditions": lambda s: reports.common_conditions(s, k=4),
+    "top_geo_distribution": lambda s: reports.geo_distribution(s, k=7),
+    "top_dash_conditions": lambda s: reports.dash_conditions(s, k=5),
+    "top_dash_locations": lambda s: reports.dash_locations(s, k=6),
+    "top_readme_conditions": lambda s: reports.readme_conditions(s, k=3),
+    "top_category_rollup": lambda s: reports.category_rollup(s, top=5),
+    "top_country_rollup": lambda s: reports.country_rollup(s, k=3, top=8),
     "temporal_series": reports.temporal_series,
 }
 
 # Over the raw table.
 RAW_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "raw_trials": lambda raw: raw,
-    "valid_raw": lambda raw: search.valid_raw(raw).select("NCTId", "validation_status"),
-    "search_trials": lambda raw: search.search_trials(raw, **SEARCH).select(*SHOWN),
-    "recent_trials": lambda raw: search.recent_trials(raw, AS_OF).select(*SHOWN),
+    "valid_raw": lambda raw: search.valid_raw(raw),
+    "search_trials": lambda raw: search.search_trials(raw, **SEARCH),
+    "recent_trials": lambda raw: search.recent_trials(raw, AS_OF),
     "trial_details": lambda raw: search.trial_details(raw, DETAIL_ID),
-    "limit_trials": lambda raw: search.limit_trials(search.valid_raw(raw).filter("NCTId is not null"), 25).select(*SHOWN),
+    "limit_trials": lambda raw: search.limit_trials(search.valid_raw(raw).filter("NCTId is not null"), 25),
     **SCALAR_QUERIES,
     "clean_trials": lambda raw: clean.clean_trials(search.valid_raw(raw)),
     "row_quality": lambda raw: clean.clean_trials(search.valid_raw(raw)).select(
@@ -258,20 +317,32 @@ RAW_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     ),
     "missing_values": quality.missing_values,
     "duplicate_keys": lambda raw: quality.duplicate_keys(raw, "LeadSponsorName"),
+    "duplicate_trials": lambda raw: quality.duplicate_keys(_with_repeats(raw), "NCTId"),
+    "stage_repeats": lambda raw: staging.stage_trials(_with_repeats(raw)),
+    "conform_columns": lambda raw: clean.conform_columns(_renamed(raw)),
     "business_rules": lambda raw: quality.business_rules(clean.clean_trials(search.valid_raw(raw))),
 }
 
 # Over studies read from landed pages.
 PAGE_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
-    "flatten_study": lambda flat: flat,
+    "flatten_study": lambda flat: flat.drop(*study_pages.REJECT_COLUMNS),
     "validate_trials": study_pages.validate_trials,
-    "invalid_trials": lambda flat: study_pages.invalid_trials(flat).select("NCTId", "OfficialTitle", "Condition"),
+    "invalid_trials": lambda flat: study_pages.invalid_trials(flat).drop(*study_pages.REJECT_COLUMNS),
     "validation_summary": study_pages.validation_summary,
     "extracted_trials": lambda flat: study_pages.add_extraction_metadata(
         study_pages.validate_trials(flat), RUN_TS
     ).drop("extraction_date"),
 }
 
+# Over landed pages of which some cannot be read.
+DAMAGED_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "damaged_summary": study_pages.validation_summary,
+    "damaged_invalid": lambda flat: study_pages.invalid_trials(flat).drop(*study_pages.REJECT_COLUMNS),
+    "unreadable_pages": lambda flat: study_pages.unreadable_pages(flat).select(
+        _page_of(F.col("unreadable")).alias("page"), F.col("unreadable").startswith('{"studies"').alias("is_page")
+    ),
+}
+
 # Over the written staging and dimension tables.
 TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "dim_dates": lambda t: warehouse.dim_dates(t["stg_trials"]),
@@ -306,11 +377,43 @@ def _job_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 STATUS_QUERY = """
 SELECT Status AS status, count(*) AS trial_count, max(EnrollmentCount) AS largest
-FROM raw_trials WHERE EnrollmentCount > :low AND validation_status = :kept GROUP BY Status
+FROM {raw_trials} WHERE EnrollmentCount > :low AND validation_status = :kept GROUP BY Status
 """
 STATUS_PARAMS = {"low": 500, "kept": "valid"}
 
+CRITERIA = {"phases": ["PHASE2", "NA"], "limit": 100}
+
+
+def _write_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    """An extraction saved and read back: the counts of its envelope, and of the saved trials."""
+    path = storage.new_run_folder(spark, "extraction")
+    storage.write_extraction(flat_studies(spark, folder), path, CRITERIA, RUN_TS)
+    saved = storage.read_saved_trials(spark, f"{path}/trials").count()
+    return storage.read_extraction(spark, path).select(
+        F.lit(saved).cast("bigint").alias("saved_trials"),
+        "metadata.extraction_date",
+        "metadata.total_trials",
+        F.variant_get("metadata.search_criteria", "$.phases[0]", "string").alias("first_phase"),
+        F.variant_get("metadata.search_criteria", "$.limit", "bigint").alias("search_limit"),
+        "validation_summary.*",
+    )
+
+
+def _table_exists(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether a view of the raw trials can be found by name, and one that was never made."""
+    view = f"trials_{uuid.uuid4().hex}"
+    raw = raw_table(spark, folder)
+    raw.createOrReplaceTempView(view)
+    there, missing = storage.table_exists(spark, view), storage.table_exists(spark, f"{view}_other")
+    spark.catalog.dropTempView(view)
+    return raw.agg(F.count(F.lit(1)).alias("row_count")).select(
+        "row_count", F.lit(there).alias("is_there"), F.lit(missing).alias("other_is_there")
+    )
+
+
 FOLDER_QUERIES: dict[str, Query] = {
+    "write_extraction": _write_extraction,
+    "table_exists": _table_exists,
     "saved_trials": _saved_trials,
     "job_metrics": _job_metrics,
     "table_info": lambda spark, folder: storage.table_info(spark, raw_table(spark, folder)),
@@ -326,6 +429,7 @@ def catalogue() -> dict[str, Query]:
     for source, group in [
         (raw_table, RAW_QUERIES),
         (flat_studies, PAGE_QUERIES),
+        (damaged_pages, DAMAGED_QUERIES),
         (warehouse_tables, TABLE_QUERIES),
         (star, REPORTS),
     ]:

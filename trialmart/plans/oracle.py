@@ -10,10 +10,10 @@ from trialmart.functions import categories as cat
 from trialmart.functions.text import EMAIL_FORM, SPONSOR_SPELLINGS
 from trialmart.operators.clean import TEXT_COLUMNS
 from trialmart.operators.warehouse import FACT_COLUMNS
-from trialmart.plans.catalog import AS_OF, DETAIL_ID, SEARCH, SHOWN, STATUS_PARAMS, STATUS_QUERY
+from trialmart.plans.catalog import AS_OF, CRITERIA, DETAIL_ID, RUN_TS, SEARCH
 from trialmart.plans.refresh import JOB, STEP_NAMES
 from trialmart.schemas import RAW_COLUMNS, RAW_TO_CLEAN
-from trialmart.sources.order_trials import INPUTS, ORDER_TRIALS_SQL
+from trialmart.sources.order_trials import INPUTS, ORDER_TRIALS_SQL, STUDIES_PER_PAGE
 
 TODAY = f"DATE '{AS_OF.isoformat()}'"
 
@@ -186,7 +186,7 @@ _cte(
         "condition_id",
         ["condition_name", "condition_category"],
         f"""SELECT DISTINCT {_member_id('Condition', 'COND_')} AS condition_id,
-            coalesce(trim(Condition), 'Unknown Condition') AS condition_name,
+            coalesce({or_null('Condition')}, 'Unknown Condition') AS condition_name,
             {by_keyword('Condition', cat.CONDITION_GROUPS, 'Other')} AS condition_category FROM valid_raw""",
     ),
 )
@@ -197,14 +197,12 @@ _cte(
         "intervention_id",
         ["intervention_name", "intervention_type"],
         f"""SELECT DISTINCT {_member_id('InterventionName', 'INT_')} AS intervention_id,
-            coalesce(trim(InterventionName), 'Unknown Intervention') AS intervention_name,
+            coalesce({or_null('InterventionName')}, 'Unknown Intervention') AS intervention_name,
             {or_unknown('InterventionType')} AS intervention_type FROM valid_raw""",
     ),
 )
-_cte(
-    "stg_trials",
-    ["valid_raw"],
-    f"""SELECT NCTId AS nct_id, {SPONSOR_ID} AS sponsor_id, {LOCATION_ID} AS location_id,
+def _staged_trials(source: str) -> str:
+    return f"""SELECT NCTId AS nct_id, {SPONSOR_ID} AS sponsor_id, {LOCATION_ID} AS location_id,
         {_slug_id('Condition', 'COND_')} AS condition_id, {_slug_id('InterventionName', 'INT_')} AS intervention_id,
         {date_key('start_date')} AS start_date_key, {date_key('end_date')} AS completion_date_key,
         {or_null('BriefTitle')} AS brief_title, {or_null('OfficialTitle')} AS official_title,
@@ -218,8 +216,22 @@ _cte(
              WHEN 3 THEN 100 WHEN 0 THEN 0 ELSE 50 END AS DOUBLE) AS data_completeness_score,
         85.0::DOUBLE AS data_quality_score
         FROM (SELECT *, {date('StudyStartDate')} AS start_date, {date('StudyCompletionDate')} AS end_date
-              FROM valid_raw WHERE NCTId IS NOT NULL)""",
+              FROM {source} WHERE NCTId IS NOT NULL)"""
+
+
+_cte("stg_trials", ["valid_raw"], _staged_trials("valid_raw"))
+_REPEATS = {"BriefTitle": ("'Another title'", 7), "Phase": ("NULL", 14)}
+_cte(
+    "raw_repeats",
+    ["raw_trials"],
+    f"SELECT {', '.join(RAW_COLUMNS)}, validation_status FROM raw_trials"
+    + "".join(
+        f" UNION ALL SELECT {', '.join(value if c == name else c for c in RAW_COLUMNS)}, validation_status "
+        f"FROM raw_trials WHERE CAST(substr(NCTId, 4) AS BIGINT) % {n} = 3"
+        for name, (value, n) in _REPEATS.items()
+    ),
 )
+_cte("valid_repeats", ["raw_repeats"], "SELECT * FROM raw_repeats WHERE validation_status = 'valid'")
 _cte("trial_ids", ["stg_trials"], "SELECT DISTINCT nct_id FROM stg_trials")
 _cte("repeated_trials", ["stg_trials"], "SELECT nct_id, count(*) AS n FROM stg_trials GROUP BY nct_id HAVING n > 1")
 _cte(
@@ -358,6 +370,21 @@ _cte(
     ["raw_trials"],
     "SELECT " + ", ".join(f"{_FLAT.get(c, c)} AS {c}" for c in RAW_COLUMNS) + " FROM raw_trials",
 )
+# Of every third page nothing but its number is left.
+_cte(
+    "lost_pages",
+    ["raw_trials"],
+    f"SELECT DISTINCT order_key // {STUDIES_PER_PAGE} AS page FROM raw_trials WHERE (order_key // {STUDIES_PER_PAGE}) % 3 = 1",
+)
+_cte(
+    "damaged_studies",
+    ["raw_trials", "lost_pages"],
+    "SELECT "
+    + ", ".join(f"{_FLAT.get(c, c)} AS {c}" for c in RAW_COLUMNS)
+    + f" FROM raw_trials WHERE (order_key // {STUDIES_PER_PAGE}) % 3 <> 1 UNION ALL SELECT "
+    + ", ".join("NULL" for _ in RAW_COLUMNS)
+    + " FROM lost_pages",
+)
 
 
 # ---- Statements -------------------------------------------------------------------------------
@@ -368,7 +395,7 @@ def _raw_statements() -> dict[str, str]:
     terms = " OR ".join(
         holds(c, SEARCH["search_terms"]) for c in ("BriefTitle", "OfficialTitle", "Condition", "InterventionName")
     )
-    shown = ", ".join(SHOWN)
+    shown = ", ".join([*RAW_COLUMNS, "validation_status"])
     place = "concat_ws(', ', nullif(LocationCity, ''), LocationState, LocationCountry)"
     parts = f"string_split({place}, ',')"
     contact = (
@@ -378,7 +405,7 @@ def _raw_statements() -> dict[str, str]:
     eighth = "(EnrollmentCount / 8.0::DOUBLE)"
     raw = {
         "raw_trials": f"SELECT {', '.join(RAW_COLUMNS)}, validation_status FROM raw_trials",
-        "valid_raw": "SELECT NCTId, validation_status FROM raw_trials WHERE validation_status = 'valid'",
+        "valid_raw": f"SELECT {shown} FROM raw_trials WHERE validation_status = 'valid'",
         "search_trials": f"""SELECT {shown} FROM raw_trials WHERE ({terms})
             AND {holds('Condition', SEARCH['conditions'])} AND {holds('LeadSponsorName', SEARCH['sponsors'])}
             AND {holds('Phase', SEARCH['phases'])} AND {holds('Status', SEARCH['status'])}
@@ -387,8 +414,14 @@ def _raw_statements() -> dict[str, str]:
         "trial_details": f"SELECT {', '.join(RAW_COLUMNS)}, validation_status FROM raw_trials WHERE NCTId = '{DETAIL_ID}' LIMIT 1",
         "limit_trials": f"""SELECT {shown} FROM raw_trials WHERE validation_status = 'valid' AND NCTId IS NOT NULL
             ORDER BY NCTId LIMIT 25""",
-        "clean_text": f"""SELECT NCTId, {clean('BriefTitle')} AS brief_title, {clean('LeadSponsorClass')} AS sponsor_class,
-            {clean('Condition')} AS condition, {clean('PrimaryPurpose')} AS purpose FROM raw_trials""",
+        "clean_text": "SELECT "
+        + ", ".join(f"{clean(raw)} AS {name}" for raw, name in RAW_TO_CLEAN.items() if name in TEXT_COLUMNS)
+        + " FROM raw_trials",
+        "conform_columns": "SELECT "
+        + ", ".join(
+            f"{_PARTS[raw]} AS {name}" if raw in _PARTS else f"{raw} AS {name}" for raw, name in RAW_TO_CLEAN.items()
+        )
+        + f", concat_ws(', ', {_PARTS['LocationCity']}, {_PARTS['LocationState']}, LocationCountry) AS location FROM raw_trials",
         "parse_dates": f"""SELECT NCTId, s AS start_date, e AS end_date, {days('s', 'e')} AS duration_days,
             {date_key('s')} AS start_date_key, s AS key_date, CAST(date_trunc('month', s) AS DATE) AS start_month,
             year(s) >= year({TODAY}) - 2 AS in_last_years
@@ -440,7 +473,26 @@ def _raw_statements() -> dict[str, str]:
         "duplicate_keys": """SELECT LeadSponsorName, count(*) AS row_count FROM raw_trials
             WHERE LeadSponsorName IS NOT NULL GROUP BY LeadSponsorName HAVING count(*) > 1""",
     }
-    return {name: _with(["raw_trials"], query) for name, query in raw.items()}
+    found = {name: _with(["raw_trials"], query) for name, query in raw.items()}
+    found["duplicate_trials"] = _with(
+        ["raw_repeats"],
+        "SELECT NCTId, count(*) AS row_count FROM raw_repeats WHERE NCTId IS NOT NULL GROUP BY NCTId HAVING count(*) > 1",
+    )
+    columns = """sponsor_id location_id condition_id intervention_id start_date_key completion_date_key brief_title
+        official_title phase enrollment_count status study_type allocation intervention_model primary_purpose
+        masking_info duration_days data_completeness_score data_quality_score"""
+    found["stage_repeats"] = _with(
+        ["valid_repeats"], _first("nct_id", columns.split(), _staged_trials("valid_repeats"))
+    )
+    return found
+
+
+# Parts of a place as one text, where a gap is a dash.
+_PARTS = {
+    "LocationCity": "coalesce(nullif(LocationCity, ''), '-')",
+    "LocationState": "coalesce(LocationState, '-')",
+    "LocationCountry": "LocationCountry",
+}
 
 
 def _quality(table: str, columns: list[str], required: list[str]) -> str:
@@ -487,17 +539,31 @@ def _page_statements() -> dict[str, str]:
     found = {
         "flatten_study": f"SELECT {', '.join(RAW_COLUMNS)} FROM flat_studies",
         "validate_trials": f"SELECT {tidy} FROM flat_studies WHERE {kept}",
-        "invalid_trials": f"SELECT NCTId, OfficialTitle, Condition FROM flat_studies WHERE NOT ({kept})",
-        "validation_summary": f"""SELECT count(*) AS total_processed, count(*) FILTER (WHERE {kept}) AS valid_trials,
-            count(*) FILTER (WHERE NOT ({kept})) AS invalid_trials,
-            count(*) FILTER (WHERE {kept})::DOUBLE / count(*) * 100.0::DOUBLE AS validation_rate FROM flat_studies""",
+        "invalid_trials": f"SELECT {', '.join(RAW_COLUMNS)} FROM flat_studies WHERE NOT ({kept})",
+        "validation_summary": _summary("flat_studies", "0"),
+        "write_extraction": f"""SELECT '{RUN_TS.isoformat()}' AS extraction_date, valid_trials AS total_trials,
+            valid_trials AS saved_trials, '{CRITERIA["phases"][0]}' AS first_phase,
+            CAST({CRITERIA["limit"]} AS BIGINT) AS search_limit, * FROM ({_summary("flat_studies", "0")})""",
     }
     found["saved_trials"] = found["validate_trials"]
     found["extracted_trials"] = (
         "SELECT *, 'ClinicalTrials.gov API' AS data_source, 'valid' AS validation_status "
         f"FROM ({found['validate_trials']})"
     )
-    return {name: _with(["flat_studies"], query) for name, query in found.items()}
+    damaged = {
+        "damaged_summary": _summary("damaged_studies", "(SELECT count(*) FROM lost_pages)"),
+        "damaged_invalid": f"SELECT {', '.join(RAW_COLUMNS)} FROM damaged_studies WHERE NOT ({kept})",
+        "unreadable_pages": "SELECT page, true AS is_page FROM lost_pages",
+    }
+    needs = {name: ["damaged_studies", "lost_pages"] for name in damaged}
+    return {name: _with(needs.get(name, ["flat_studies"]), query) for name, query in (found | damaged).items()}
+
+
+def _summary(table: str, lost: str) -> str:
+    kept = "NCTId IS NOT NULL AND NCTId <> ''"
+    return f"""SELECT count(*) AS total_processed, count(*) FILTER (WHERE {kept}) AS valid_trials,
+        count(*) FILTER (WHERE NOT ({kept})) AS invalid_trials, CAST({lost} AS BIGINT) AS unreadable,
+        count(*) FILTER (WHERE {kept})::DOUBLE / count(*) * 100.0::DOUBLE AS validation_rate FROM {table}"""
 
 
 def _table_statements() -> dict[str, str]:
@@ -547,7 +613,7 @@ _MEASURES = {
     "unique_conditions": "count(DISTINCT condition_key)",
     "unique_locations": "count(DISTINCT location_key)",
     "high_quality": "count(*) FILTER (data_completeness_score >= 90)",
-    "medium_quality": "count(*) FILTER (data_completeness_score BETWEEN 70 AND 89.999999)",
+    "medium_quality": "count(*) FILTER (data_completeness_score >= 70 AND data_completeness_score < 90)",
     "low_quality": "count(*) FILTER (data_completeness_score < 70)",
     "avg_completeness": "avg(data_completeness_score)",
     "avg_quality": "avg(data_quality_score)",
@@ -580,6 +646,24 @@ def _report_statements() -> dict[str, str]:
     top_places = _rollup(
         "country state", "trial_count total_enrollment", where=f"{with_place} AND country IS NOT NULL", top=20
     )
+    all_conditions = _rollup("condition_name condition_category", "trial_count avg_enrollment", where=with_condition)
+    all_places = _rollup(
+        "country state", "trial_count total_enrollment", where=f"{with_place} AND country IS NOT NULL"
+    )
+
+    def by_category(rows: str) -> str:
+        return f"""SELECT condition_category, CAST(sum(trial_count) AS BIGINT) AS trial_count,
+            avg(avg_enrollment) AS avg_enrollment FROM ({rows}) WHERE condition_category IS NOT NULL
+            GROUP BY condition_category"""
+
+    def by_country(rows: str) -> str:
+        return f"""SELECT country, CAST(sum(trial_count) AS BIGINT) AS trial_count,
+            CAST(coalesce(sum(total_enrollment), 0) AS BIGINT) AS total_enrollment FROM ({rows}) GROUP BY country"""
+
+    def cut(rows: str, ties: str, top: int) -> str:
+        order = ", ".join(f"{k} NULLS FIRST" for k in ties.split())
+        return f"SELECT * FROM ({rows}) ORDER BY trial_count DESC, {order} LIMIT {top}"
+
     headline = _rollup(
         "", "total_trials unique_sponsors unique_conditions unique_locations avg_enrollment avg_duration"
     )
@@ -647,14 +731,21 @@ def _report_statements() -> dict[str, str]:
             "condition_name", "trial_count avg_duration_days avg_enrollment", where=with_condition, top=20
         ),
         "readme_geo": _rollup("country state", "trial_count total_enrollment", where=with_place),
-        "category_rollup": f"""SELECT condition_category, CAST(sum(trial_count) AS BIGINT) AS trial_count,
-            avg(avg_enrollment) AS avg_enrollment FROM ({top_conditions}) GROUP BY condition_category""",
-        "country_rollup": f"""SELECT country, CAST(sum(trial_count) AS BIGINT) AS trial_count,
-            CAST(coalesce(sum(total_enrollment), 0) AS BIGINT) AS total_enrollment FROM ({top_places})
-            GROUP BY country ORDER BY trial_count DESC, country LIMIT 15""",
+        "category_rollup": by_category(all_conditions),
+        "country_rollup": by_country(all_places),
+        "top_category_rollup": by_category(cut(all_conditions, "condition_name condition_category", 5)),
+        "top_country_rollup": cut(by_country(cut(all_places, "country state", 8)), "country", 3),
+        "top_dash_conditions": cut(
+            _rollup("condition_name condition_category", "trial_count avg_enrollment avg_duration", where=with_condition),
+            "condition_name condition_category",
+            5,
+        ),
+        "top_dash_locations": cut(all_places, "country state", 6),
         "temporal_series": f"""SELECT * EXCLUDE (month_number), make_date(year, month_number, 1) AS date
             FROM ({_monthly('trial_count avg_enrollment', '2020')})""",
     }
+    for name, old, new in (("common_conditions", 20, 4), ("geo_distribution", 20, 7), ("readme_conditions", 20, 3)):
+        found[f"top_{name}"] = found[name].replace(f"LIMIT {old}", f"LIMIT {new}")
     return {name: _with(["wide"], query) for name, query in found.items()}
 
 
@@ -666,14 +757,13 @@ def _folder_statements() -> dict[str, str]:
     counts = " UNION ALL ".join(
         f"SELECT '{JOB}' AS job_name, '{name}' AS step, count(*) AS row_count FROM {name}" for name in STEP_NAMES
     )
-    filled = STATUS_QUERY
-    for name, value in STATUS_PARAMS.items():
-        filled = filled.replace(f":{name}", repr(value))
     found = {
+        "table_exists": "SELECT count(*) AS row_count, true AS is_there, false AS other_is_there FROM raw_trials",
         "table_info": f"""SELECT CAST(p AS INTEGER) AS ordinal_position, c AS column_name, t AS data_type,
             'YES' AS is_nullable, (SELECT count(*) FROM raw_trials) AS row_count FROM (VALUES {columns}) v(p, c, t)""",
         "job_metrics": counts,
-        "run_query": filled,
+        "run_query": """SELECT Status AS status, sum(1)::BIGINT AS trial_count, max(EnrollmentCount) AS largest
+            FROM raw_trials WHERE validation_status = 'valid' AND EnrollmentCount >= 501 GROUP BY ALL""",
     }
     needs = {"job_metrics": STEP_NAMES}
     return {name: _with(needs.get(name, ["raw_trials"]), query) for name, query in found.items()}

@@ -8,6 +8,7 @@ when it is published as a whole, and the previous one until then.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -44,10 +45,10 @@ WAVES: list[list[Step]] = [
         ("stg_conditions", lambda t: staging.stage_conditions(t["raw_trials"])),
         ("stg_interventions", lambda t: staging.stage_interventions(t["raw_trials"])),
         ("trial_ids", lambda t: staging.trial_ids(t["raw_trials"])),
-        ("repeated_trials", lambda t: staging.repeated_trials(t["raw_trials"])),
     ],
     [
-        ("stg_trials", lambda t: staging.stage_trials(t["raw_trials"], t["repeated_trials"])),
+        ("repeated_trials", lambda t: staging.repeated_trials(t["trial_ids"])),
+        ("stg_trials", lambda t: staging.stage_trials(t["raw_trials"])),
         ("dim_sponsor", lambda t: warehouse.dim_sponsor(t["stg_sponsors"])),
         ("dim_location", lambda t: warehouse.dim_location(t["stg_locations"])),
         ("dim_condition", lambda t: warehouse.dim_condition(t["stg_conditions"])),
@@ -84,29 +85,37 @@ def _stamped(name: str, df: DataFrame, run_ts: dt.datetime) -> DataFrame:
 
 
 def run_steps(
-    spark: SparkSession, waves: list[list[Step]], tables: Tables, folder: str, run_ts: dt.datetime
-) -> tuple[Tables, list[Row]]:
+    spark: SparkSession,
+    waves: list[list[Step]],
+    tables: Tables,
+    folder: str,
+    run_ts: dt.datetime,
+    records: list[Row],
+) -> Tables:
     """Run the waves in order; a step gets the tables of earlier waves, and its result is
-    written as a table. Steps of a wave are submitted together, so that the last tasks of
+    written as a table and noted in `records`. Steps of a wave are submitted together, so that the last tasks of
     one do not leave the cluster idle."""
-    done, records = dict(tables), []
+    done = dict(tables)
 
-    def run(step: Step) -> tuple[str, DataFrame, Row]:
+    def run(step: Step) -> tuple[str, DataFrame]:
         name, build = step
         df = _stamped(name, build(done), run_ts)
         if name in STAGED_KEYS:
             df = place_in_order(df, STAGED_KEYS[name])
         partitions = (FACT_PARTITION,) if name == "fact_trials" else ()
+        if partitions:  # adaptive execution then merges small years into one file and splits large ones
+            df = df.hint("rebalance", *partitions)
         path = f"{folder}/{name}"
-        record = run_observed(JOB, name, df, lambda d: storage.write_table(d, path, partition_by=partitions))
-        return name, storage.read_table(spark, path, df.schema), record
+        record = run_observed(
+            JOB, name, df, lambda d: storage.write_table(d, path, if_exists="fail", partition_by=partitions)
+        )
+        records.append(record)
+        return name, storage.read_table(spark, path, df.schema)
 
     for wave in waves:
         with ThreadPoolExecutor(len(wave)) as pool:
-            for name, table, record in pool.map(inheritable_thread_target(spark)(run), wave):
-                done[name] = table
-                records.append(record)
-    return done, records
+            done |= dict(pool.map(inheritable_thread_target(spark)(run), wave))
+    return done
 
 
 def star_of(tables: Tables) -> Star:
@@ -122,10 +131,15 @@ def star_of(tables: Tables) -> Star:
 
 def refresh_warehouse(spark: SparkSession, raw: DataFrame, root: str, run_ts: dt.datetime) -> Tables:
     """Build all tables from a raw trial table (a stored one: it is read several times) in a
-    new folder below `root`, log the steps, and publish the run."""
-    run = f"run-{run_ts:%Y%m%dT%H%M%S%f}"
-    tables, records = run_steps(spark, WAVES, {"raw_trials": raw}, f"{root}/{run}", run_ts)
-    storage.write_table(job_metrics(spark, records), f"{root}/job_runs", if_exists="append")
+    new folder below `root`, log the steps, and publish the run. The steps that a failed
+    refresh has finished are logged too."""
+    run = f"run-{run_ts:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex[:8]}"
+    records: list[Row] = []
+    try:
+        tables = run_steps(spark, WAVES, {"raw_trials": raw}, f"{root}/{run}", run_ts, records)
+    finally:
+        if records:
+            storage.write_table(job_metrics(spark, records), f"{root}/job_runs", if_exists="append")
     storage.publish_run(spark, root, run, run_ts)
     return tables
 

@@ -71,5 +71,6 @@ studies array<struct<protocolSection: struct<
     locations: array<struct<country: string, state: string, city: string, facility: string>>>,
   outcomesModule: struct<outcomes: array<struct<description: string>>>
 >>>,
-nextPageToken string
+nextPageToken string,
+_corrupt_record string
 """

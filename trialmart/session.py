@@ -23,8 +23,10 @@ def local_session(cores: int | str, memory: str = "8g", **settings: str) -> Spar
     builder = SparkSession.builder.master(f"local[{cores}]").appName("trialmart")
     local = {
         "spark.sql.shuffle.partitions": str(cores),
-        # Test data is tiny in bytes but not in work per row: keep one task per core.
+        # Test data is tiny in bytes but not in work per row: small splits, and one task per core.
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.files.maxPartitionBytes": "1m",
+        "spark.sql.files.openCostInBytes": "64k",
         "spark.driver.memory": memory,
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",

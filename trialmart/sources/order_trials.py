@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trialmart.schemas import RAW_COLUMNS
-from trialmart.sources.storage import read_table, spread_small
+from trialmart.sources.storage import read_table
 
 INPUTS = ["orders", "customer", "nation", "lineitem", "part"]
 
@@ -92,7 +92,6 @@ STUDIES_PER_PAGE = 500
 def order_trials(spark: SparkSession, folder: str) -> DataFrame:
     """Raw trials with the order key they come from."""
     frames = {name: read_table(spark, f"{folder}/{name}.parquet") for name in INPUTS}
-    frames["orders"] = spread_small(spark, frames["orders"])
     return spark.sql(ORDER_TRIALS_SQL, **frames)
 
 

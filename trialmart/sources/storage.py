@@ -7,17 +7,22 @@ import json
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from trialmart.schemas import FLAT
-from trialmart.sources.study_pages import validation_summary
+from trialmart.sources.study_pages import summary_counts, summary_of, validate_trials
 
 # Load modes and the Spark save mode of each.
 LOAD_MODES = {"replace": "overwrite", "append": "append", "fail": "errorifexists"}
 
 
+# The log of published runs.
+PUBLISHED = "folder string, published_at timestamp"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder for tables that cut lineage: the one named in spark.checkpoint.dir.
 
@@ -28,7 +33,7 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="trialmart-"))
     return context.getCheckpointDir()
@@ -59,26 +64,17 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return read_table(df.sparkSession, path, df.schema)
 
 
-def spread_small(spark: SparkSession, scan: DataFrame) -> DataFrame:
-    """A table scan with at least one partition per core.
-
-    Only a table stored in fewer splits than there are cores is shuffled for this, which
-    bounds what moves; anything larger is returned as it is.
-    """
-    cores = spark.sparkContext.defaultParallelism
-    return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
-
-
 def run_query(
     spark: SparkSession,
     query: str,
     tables: dict[str, DataFrame] | None = None,
     params: dict[str, object] | None = None,
 ) -> DataFrame:
-    """Run SQL with named parameters (`:name`) over the given tables."""
-    for name, df in (tables or {}).items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(query, args=params)
+    """Run SQL with named parameters (`:name`) over the given tables, written as `{name}`.
+
+    No view of the session is set or replaced.
+    """
+    return spark.sql(query, args=params, **(tables or {}))
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -107,25 +103,36 @@ def read_saved_trials(spark: SparkSession, path: str) -> DataFrame:
 
 def write_extraction(
     flat: DataFrame,
-    valid: DataFrame,
     path: str,
     criteria: dict[str, object],
     run_ts: dt.datetime,
 ) -> None:
-    """Save an extraction: trials as JSON lines, and one envelope row beside them."""
-    save_trials_json(valid, f"{path}/trials")
-    summary = validation_summary(flat)
+    """Save an extraction: the valid of the flat trials as JSON lines, and one envelope row beside
+    them. Trials are read once: the summary's counts are observed while they are written."""
+    seen = Observation()
+    save_trials_json(validate_trials(flat.observe(seen, *summary_counts(flat))), f"{path}/trials")
+    summary = summary_of(flat.sparkSession.createDataFrame([Row(**seen.get)]))
     envelope = summary.select(
         F.struct(
             F.lit(run_ts.isoformat()).alias("extraction_date"),
             F.col("valid_trials").alias("total_trials"),
-            F.lit(json.dumps(criteria)).alias("search_criteria"),
+            F.parse_json(F.lit(json.dumps(criteria))).alias("search_criteria"),
         ).alias("metadata"),
         F.struct(*summary.columns).alias("validation_summary"),
     )
     envelope.write.mode("overwrite").json(f"{path}/envelope")
 
 
+def read_extraction(spark: SparkSession, path: str) -> DataFrame:
+    """The envelope row of a saved extraction; search criteria stay a variant."""
+    kinds = (
+        "metadata struct<extraction_date: string, total_trials: bigint, search_criteria: variant>, "
+        "validation_summary struct<total_processed: bigint, valid_trials: bigint, invalid_trials: bigint, "
+        "unreadable: bigint, validation_rate: double>"
+    )
+    return spark.read.schema(kinds).json(f"{path}/envelope")
+
+
 def publish_run(spark: SparkSession, root: str, folder: str, run_ts: dt.datetime) -> None:
     """Make a finished run the one readers see. Runs are only ever added, so a reader
     finds either the previous complete run or this one."""
@@ -135,5 +142,23 @@ def publish_run(spark: SparkSession, root: str, folder: str, run_ts: dt.datetime
 
 def published_run(spark: SparkSession, root: str) -> str | None:
     """Folder of the newest published run, or None."""
-    log = spark.read.schema("folder string, published_at timestamp").json(f"{root}/published")
+    try:
+        log = spark.read.schema(PUBLISHED).json(f"{root}/published")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
     return log.agg(F.max_by("folder", F.struct("published_at", "folder"))).first()[0]
+
+
+def remove_old_runs(spark: SparkSession, root: str, keep: int) -> list[str]:
+    """Delete the folders of all published runs but the newest `keep` (one at least); returns
+    their names. Their log entries stay."""
+    log = spark.read.schema(PUBLISHED).json(f"{root}/published")
+    runs = [r[0] for r in log.orderBy(F.desc("published_at"), F.desc("folder")).select("folder").collect()]
+    removed = []
+    for folder in list(dict.fromkeys(runs))[max(1, keep) :]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{folder}")
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True):
+            removed.append(folder)
+    return removed

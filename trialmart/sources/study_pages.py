@@ -43,19 +43,30 @@ STUDY_PATHS = {
     "OutcomeMeasureDescription": ("outcomesModule.outcomes", "description"),
 }
 
+REJECT_COLUMNS = ["unreadable", "source_file"]
+
 # Extraction metadata.
 DATA_SOURCE = "ClinicalTrials.gov API"
 VALID = "valid"
 
 
 def read_study_pages(spark: SparkSession, path: str, one_page_per_file: bool = True) -> DataFrame:
-    """One row per study in the landed pages below `path`.
+    """One row per study in the landed pages below `path`: study, unreadable, source_file.
 
-    With `one_page_per_file` a page may span lines; otherwise every line is a page, which
-    lets Spark split large files.
+    A page that is no JSON gives one row without a study, with its text in `unreadable`. A page
+    that is JSON but holds a value of another kind than expected keeps its studies without
+    that value. With `one_page_per_file` a page may span lines, and a file is read by one task, so
+    it should hold no more than a task's memory; otherwise every line is a page, which lets
+    Spark split large files.
     """
     pages = spark.read.schema(PAGE).option("multiLine", one_page_per_file).json(path)
-    return pages.select(F.explode("studies").alias("study"))
+    lost = F.col("studies").isNull() & F.col("_corrupt_record").isNotNull()
+    nothing = F.array(F.lit(None).cast(pages.schema["studies"].dataType.elementType))
+    return pages.select(
+        F.explode(F.when(lost, nothing).otherwise(F.col("studies"))).alias("study"),
+        F.when(lost, F.col("_corrupt_record")).alias("unreadable"),
+        F.col("_metadata.file_path").alias("source_file"),
+    )
 
 
 def join_list(items: Column, field: str | None = None) -> Column:
@@ -68,7 +79,11 @@ def join_list(items: Column, field: str | None = None) -> Column:
 
 
 def flatten_studies(studies: DataFrame) -> DataFrame:
-    """Project nested studies to the 24 raw columns."""
+    """Project nested studies to the 24 raw columns.
+
+    The rejects of pages that cannot be read keep no value; their text and file stay in the last two
+    columns, which are NULL for all other rows.
+    """
     root = F.col("study.protocolSection")
 
     def at(path: str) -> Column:
@@ -83,7 +98,9 @@ def flatten_studies(studies: DataFrame) -> DataFrame:
             return variant_count(at(path))
         return at(path) if isinstance(path, str) else join_list(at(path[0]), path[1])
 
-    return studies.select(*[raw(name).alias(name) for name in RAW_COLUMNS])
+    lost = F.col("unreadable").isNotNull()
+    columns = [F.when(~lost, raw(name)).alias(name) for name in RAW_COLUMNS]
+    return studies.select(*columns, "unreadable", F.when(lost, F.col("source_file")).alias("source_file"))
 
 
 def _has_id() -> Column:
@@ -93,6 +110,7 @@ def _has_id() -> Column:
 
 def validate_trials(flat: DataFrame) -> DataFrame:
     """Drop rows without an id; trim texts and turn empty ones into NULL."""
+    flat = flat.drop(*REJECT_COLUMNS)
     texts = {name for name, kind in flat.dtypes if kind == "string"}
     numbers = {
         name
@@ -111,20 +129,40 @@ def validate_trials(flat: DataFrame) -> DataFrame:
 
 
 def invalid_trials(flat: DataFrame) -> DataFrame:
-    """The rows validation drops."""
+    """The rows validation drops, rejects of unreadable pages among them."""
     return flat.filter(~_has_id())
 
 
+def unreadable_pages(flat: DataFrame) -> DataFrame:
+    """File and text of every landed page that could not be read."""
+    return flat.filter(F.col("unreadable").isNotNull()).select("source_file", "unreadable")
+
+
+def summary_counts(flat: DataFrame) -> list[Column]:
+    """The counts that a validation summary is made of."""
+    lost = F.col("unreadable").isNotNull() if "unreadable" in flat.columns else F.lit(False)
+    return [
+        F.count(F.lit(1)).alias("total_processed"),
+        F.count_if(_has_id()).alias("valid_trials"),
+        F.count_if(lost).alias("unreadable"),
+    ]
+
+
 def validation_summary(flat: DataFrame) -> DataFrame:
-    """Processed, valid and invalid counts with the valid share in percent (0 when empty)."""
-    counted = flat.agg(
-        F.count(F.lit(1)).alias("total_processed"), F.count_if(_has_id()).alias("valid_trials")
-    )
+    """Processed, valid and invalid counts with the valid share in percent (0 when empty).
+
+    An unreadable page counts as one invalid trial, and once more under `unreadable`.
+    """
+    return summary_of(flat.agg(*summary_counts(flat)))
+
+
+def summary_of(counted: DataFrame) -> DataFrame:
     rate = F.try_divide(F.col("valid_trials").cast("double"), F.col("total_processed")) * 100.0
     return counted.select(
         "total_processed",
         "valid_trials",
         (F.col("total_processed") - F.col("valid_trials")).alias("invalid_trials"),
+        "unreadable",
         F.coalesce(rate, F.lit(0.0)).alias("validation_rate"),
     )
 
