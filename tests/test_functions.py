@@ -283,6 +283,9 @@ def test_safe_divide(spark, n, d, expected):
         (1234567.0, "comma", "1,234,567.0"),
         (1234.5678, "comma", "1,234.5678"),
         (-0.5, "comma", "-0.5"),
+        (1e20, "comma", "1.0E20"),
+        (1e21, "comma", "1.0E21"),
+        (-1e21, "comma", "-1.0E21"),
         (12.25, "percent", "12.2%"),
         (1234.5, "currency", "$1,234.50"),
         (7.5, "plain", "7.5"),
