@@ -235,33 +235,32 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     shared = groups.select("g", "n", F.explode("prefix").alias("h"))
     known = stored(shared.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"), "shared")
     posts = stored(shared.join(known, "h"), "posts")
+    many = stored(posts.groupBy("g").agg(F.count("*").alias("hits")), "hits")
     wide = groups.where("sets > 1").select("n", "prefix_key", "g")
     inside = stored(
         same.join(wide, ["n", "prefix_key"]).where("rep <> g").select(F.col("rep").alias("a"), F.col("g").alias("b")),
         "members",
     )
-    wanted = posts.select(F.col("g").alias("id")).unionByName(inside.select(F.col("a").alias("id")))
-    wanted = wanted.unionByName(inside.select(F.col("b").alias("id"))).distinct()
-    bits = spark.sparkContext.broadcast(_marks(wanted))
-    sets = docs.where("doc_id IS NOT NULL").mapInArrow(_wanted_sets(width, bits), "doc_id long, shingles binary")
-    sets = stored(sets, "shingles")
 
-    def verified(pairs: DataFrame, label: str) -> DataFrame:
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs with whether they link; only the sets of their documents are built and move."""
+        pairs = stored(pairs.select("a", "b"), "pairs")
         ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
         bits = spark.sparkContext.broadcast(_marks(ids))
-        few = sets.mapInArrow(_marked(bits), sets.schema)
-        left = few.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
-        right = few.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
-        both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "x", "y")
-        return stored(both.mapInArrow(_verify(percent), "a long, b long, linked boolean"), label)
+        sets = docs.where("doc_id IS NOT NULL").mapInArrow(_wanted_sets(width, bits), "doc_id long, shingles binary")
+        sets = stored(sets, "shingles")
+        left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
+        right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
+        both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
+        return stored(both.mapInArrow(_verify(percent), "a long, b long, linked boolean"), "checked")
 
     checked = labels = nearest = None
     for k in range(LEADER_ROUNDS):
         active = posts if labels is None else _active(posts, labels)
-        best = stored(_best_leaders(active, k, percent), "leaders")
-        nearest = nearest or best
+        best = stored(_best_leaders(active, many, k, percent), "leaders")
+        nearest = best if nearest is None else nearest
         pairs = best.select(F.least("g", "leader").alias("a"), F.greatest("g", "leader").alias("b")).distinct()
-        fresh = verified(pairs.unionByName(inside) if checked is None else pairs, "checked")
+        fresh = verified(pairs.unionByName(inside) if checked is None else pairs)
         links.append(fresh.where("linked").select("a", "b"))
         labels = connected_components(_union(links))
         checked = fresh if checked is None else checked.unionByName(fresh)
@@ -275,7 +274,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     if pairs.head(1):
         pairs = _expanded(pairs, members, labels)
         pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
-        fresh = verified(pairs, "checked")
+        fresh = verified(pairs)
         if fresh.where("linked").head(1):
             links.append(fresh.where("linked").select("a", "b"))
             labels = connected_components(_union(links))
@@ -305,10 +304,21 @@ def _active(posts: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(placed.join(mixed, "h"), "active")
 
 
-def _best_leaders(posts: DataFrame, salt: int, percent: int) -> DataFrame:
+def _least_shared(n, n2, percent: int):
+    """Prefix shingles that sets of these sizes share at least if they link.
+
+    They need percent / (100 + percent) of both sizes in common. What is outside both prefixes is at most
+    the rest of the set whose prefix ends first in the order of rarity: less than percent / 100 of the
+    larger size. The bound is concave, so over ranges of sizes its least value is at a corner.
+    """
+    return F.lit(percent / (100 + percent)) * (n + n2) - F.lit(percent / 100) * F.greatest(n, n2) - 1e-6
+
+
+def _best_leaders(posts: DataFrame, many: DataFrame, salt: int, percent: int) -> DataFrame:
     """For each group, the leader that it shares most shingles with, in another component.
 
-    The leader of a shingle is one of its groups, another one for each salt.
+    The leader of a shingle is one of its groups, another one for each salt. Pairs are left out of which
+    one side shares too few shingles with all others together.
     """
     own = F.col("c") if "c" in posts.columns else F.col("g")
     posts = posts.select("h", "g", "n", own.alias("c"))
@@ -318,14 +328,17 @@ def _best_leaders(posts: DataFrame, salt: int, percent: int) -> DataFrame:
         (F.col("c") != F.col("lc"))
         & (100 * F.least("n", "ln") >= percent * F.greatest("n", "ln"))
     )
-    counted = met.groupBy("g", "lg").agg(F.count("*").alias("k"))
+    counted = met.groupBy("g", "lg").agg(F.count("*").alias("k"), F.first("n").alias("n"), F.first("ln").alias("ln"))
+    least = _least_shared(F.col("n"), F.col("ln"), percent)
+    counted = counted.join(many, "g").where(F.col("hits") >= least).drop("hits")
+    counted = counted.join(many.withColumnRenamed("g", "lg"), "lg").where(F.col("hits") >= least)
     return counted.groupBy("g").agg(F.max_by("lg", F.struct("k", -F.col("lg"))).alias("leader"))
 
 
 def _open_pairs(active: DataFrame, nearest: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
     """Pairs of groups in different components that share enough of their prefixes to link.
 
-    Groups with one best leader form a cluster. Clusters that meet in a shingle are paired, and the
+    Groups with one best leader form a cluster. Clusters that meet in enough shingles are paired, and the
     prefixes of a cluster pair's groups are compared in one place, in blocks of bounded size; only
     the pairs of groups that may still link leave it.
     """
@@ -334,16 +347,18 @@ def _open_pairs(active: DataFrame, nearest: DataFrame, groups: DataFrame, percen
     placed = stored(placed, "homes")
     met = stored(placed.select("h", "home").distinct(), "met")
     other = met.select("h", F.col("home").alias("home2"))
-    pairs = met.join(other, "h").where("home < home2").select("home", "home2").distinct()
+    pairs = met.join(other, "h").where("home < home2").groupBy("home", "home2").agg(F.count("*").alias("k"))
     members = placed.select("home", "g", "c").distinct().join(groups.select("g", "n", "prefix"), "g")
     members = stored(members, "cluster-members")
     sizes = members.groupBy("home").agg(F.count("*").alias("m"), F.min("n").alias("low"), F.max("n").alias("high"))
     blocks = stored(sizes.select("home", "low", "high", F.ceil(F.col("m") / CLUSTER_BLOCK).cast("int").alias("blocks"), "m"), "cluster-sizes")
-    pairs = pairs.unionByName(blocks.where("m > 1").select("home", F.col("home").alias("home2")))
+    own = blocks.where("m > 1").select("home", F.col("home").alias("home2"), F.lit(None).cast("bigint").alias("k"))
+    pairs = pairs.unionByName(own)
     right = blocks.select(*[F.col(c).alias(f"{c}2") for c in ("home", "low", "high", "blocks")])
     pairs = pairs.join(blocks, "home").join(right, "home2")
     near = (percent * F.col("low") <= 100 * F.col("high2")) & (percent * F.col("low2") <= 100 * F.col("high"))
-    pairs = pairs.where(near)
+    corners = [_least_shared(F.col(x), F.col(y), percent) for x in ("low", "high") for y in ("low2", "high2")]
+    pairs = pairs.where(near & (F.col("k").isNull() | (F.col("k") >= F.least(*corners))))
     pairs = stored(pairs.select("home", "home2", "blocks", "blocks2"), "cluster-pairs")
     spread = F.xxhash64("g", F.lit(1))
     sides = []
