@@ -17,8 +17,6 @@ from trialmart.sources import storage
 #: (at 16 bytes a row, 16 MB); beyond it the join shuffles.
 BROADCAST_ROWS = 1_000_000
 
-WHITE_SPACE = " \t\n\x0b\x0c\r"
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

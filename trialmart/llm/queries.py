@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from trialmart.llm import bpe, chat, embeddings, jaccard, knn, language, mixing, toxicity, unigram, warc
 from trialmart.llm.common import table
