@@ -21,7 +21,7 @@ FREQUENT_BOUND = 1 << 18
 #: pairs are enumerated.
 LEADER_ROUNDS = 1
 #: Groups of one cluster that are compared as one block.
-CLUSTER_BLOCK = 500
+CLUSTER_BLOCK = 128
 #: Bytes of text that a task works on at once.
 SLICE = 1 << 22
 
