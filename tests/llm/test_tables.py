@@ -241,7 +241,7 @@ def test_pipeline_follows_its_stages(spark, folder):
     scores = toxicity.score(docs, toxicity.learn(docs, table(spark, folder, "labels"))).collect()
     assert sorted(ids[1]) == sorted(r["doc_id"] for r in scores if r["predicted"] == 0)
     found = language.predict(seen[1], language.learn(seen[1])).collect()
-    assert sorted(ids[2]) == sorted(r["doc_id"] for r in found if r["lang_pred"] != "und" and r["score"] >= 0.5)
+    assert sorted(ids[2]) == sorted(r["doc_id"] for r in found if r["lang_pred"] != "und" and r["score"] >= corpus_pipeline.LEAST_SHARE)
     texts = [(r["doc_id"], r["text"]) for r in seen[2].collect()]
     assert sorted(ids[3]) == sorted(i for i, _, c in brute_components(texts, 5, 80) if i == c)
     words = {r["doc_id"]: len(WORDS.findall(r["text"] or "")) for r in seen[3].collect()}
