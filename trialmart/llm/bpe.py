@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from trialmart.llm.common import worker_cache
 
 #: Pieces whose tokens a worker remembers, at most; others are encoded again.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 #: Pieces and bytes in one recursive query; a longer piece is alone.
 PIECES, BYTES = 20_000, 250_000
 #: Pieces of texts that a task works on at once, about.
@@ -92,7 +92,7 @@ class Coder:
                     pairs.append(left << 31 | right)
                     merged.append(rank)
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
-        self.sql = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.sql = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         merges = pa.table({"pair": pa.array(pairs, pa.int64()), "rank": pa.array(merged, pa.int64())})
         words = pa.table({"t": pa.array(self.ranks.values(), pa.int64()), "bytes": [_as_text(t) for t in self.ranks]})
         for name, rows in (("merges", merges), ("vocabulary", words)):

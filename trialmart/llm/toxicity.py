@@ -24,6 +24,8 @@ STEM_BOUND = 500
 #: Rounds of learning stems.
 STEM_ROUNDS = 4
 THRESHOLD = 0.3
+#: Bytes of text that a task scores at once.
+SLICE = 1 << 22
 
 # Words that the grammar starts from, in the four languages of the corpus.
 SEED_INSULTS = "idiot moron stupid loser scum worthless pathetic disgusting trottel abschaum crétin ordure imbécil basura".split()
@@ -303,7 +305,7 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text", 1 << 24):
+            for part in text_slices(batch, "text", SLICE):
                 s = scorer.scores(scorer.features(part.column("text")))
                 marks = pa.array((s >= THRESHOLD).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(s), marks], ["doc_id", "score", "predicted"])
@@ -318,7 +320,7 @@ def keep_clean(docs: DataFrame, scorer: Scorer) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in text_slices(batch, "text", 1 << 24):
+            for part in text_slices(batch, "text", SLICE):
                 s = scorer.scores(scorer.features(part.column("text")))
                 yield part.filter(pa.array(s < THRESHOLD))
 

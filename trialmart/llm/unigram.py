@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from trialmart.llm.common import worker_cache
 
 #: Segments whose counts a worker remembers, at most; others are counted again.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 #: Segments of texts that a task works on at once, about.
 SLICE = 400_000
 
