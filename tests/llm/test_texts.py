@@ -99,6 +99,36 @@ def test_near_duplicates_of_many_edited_copies(spark):
     assert len({c for _, _, c in want}) > 8
 
 
+def test_links_of_members_that_their_leader_does_not_link_with(spark, monkeypatch):
+    """Two texts with one size and prefix that link with a third text, but not with one another."""
+    import pyarrow as pa
+
+    def prefix(words):
+        return np.sort(jaccard.shingle_sets(pa.array([" ".join(words)]), 4)[0])[:31].tolist()
+
+    def edited(words, places, tag):
+        return [f"{tag}{i}" if i in places else w for i, w in enumerate(words)]
+
+    monkeypatch.setattr(jaccard, "FREQUENT_BOUND", 0)  # the order of shingles is that of their hashes
+    base = [f"w{i}" for i in range(203)]
+    at = next(i for i in range(8, 195) if prefix(edited(base, {i}, "common")) != prefix(base))
+    common = edited(base, {at}, "common")
+    free = []
+    for i in range(4, 199):
+        far = abs(i - at) >= 4 and (not free or i - free[-1] >= 4)
+        if far and all(prefix(edited(common, {i}, tag)) == prefix(common) for tag in "xy"):
+            free.append(i)
+    first, second = edited(common, free[:3], "x"), edited(common, free[3:6], "y")
+    assert len(free) >= 6 and prefix(first) == prefix(second) == prefix(common)
+    rows = [(1, " ".join(first)), (2, " ".join(second)), (3, " ".join(base))]
+    links = [100 * len(a & b) >= 85 * len(a | b) for a, b in [(shingles(rows[i][1], 4), shingles(rows[j][1], 4)) for i, j in ((0, 1), (0, 2), (1, 2))]]
+    assert links == [False, True, True]
+    for ids in ((1, 2, 3), (2, 3, 1), (3, 1, 2)):
+        named = [(i, text) for i, (_, text) in zip(ids, rows, strict=True)]
+        got = jaccard.near_duplicates(spark.createDataFrame(named, "doc_id long, text string"), 4, 85).collect()
+        assert sorted(tuple(r) for r in got) == sorted(brute_components(named, 4, 85)) == [(i, 200, 1) for i in (1, 2, 3)]
+
+
 def test_representatives_keep_one_of_each_group(docs):
     kept = jaccard.representatives(docs, 5, 80)
     assert kept.columns == docs.columns

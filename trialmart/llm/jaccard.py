@@ -210,8 +210,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     Method: sets are ordered by rarity, and of each only the prefix that every link must
     share is dealt out. Documents with equal size and prefix form one group. Groups that share a
-    prefix shingle are compared with the shingle's leader first, then all pairs of groups that are
-    still in different components and share enough of their prefixes; group pairs that pass are
+    prefix shingle are compared with the shingle's leader first, then all pairs of groups whose members are
+    not yet all in one component and that share enough of their prefixes; group pairs that pass are
     expanded to their members (one for each distinct set), which are compared in full. Pairs already
     in one component need no comparison, so copies are never expanded into all pairs.
     """
@@ -236,6 +236,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     known = stored(shared.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"), "shared")
     posts = stored(shared.join(known, "h"), "posts")
     many = stored(posts.groupBy("g").agg(F.count("*").alias("hits")), "hits")
+    members = stored(same.join(groups.select("n", "prefix_key", "g"), ["n", "prefix_key"]).select("g", "rep"), "group-members")
     wide = groups.where("sets > 1").select("n", "prefix_key", "g")
     inside = stored(
         same.join(wide, ["n", "prefix_key"]).where("rep <> g").select(F.col("rep").alias("a"), F.col("g").alias("b")),
@@ -256,7 +257,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
     checked = labels = nearest = None
     for k in range(LEADER_ROUNDS):
-        active = posts if labels is None else _active(posts, labels)
+        active = posts if labels is None else _active(posts, members, labels)
         best = stored(_best_leaders(active, many, k, percent), "leaders")
         nearest = best if nearest is None else nearest
         pairs = best.select(F.least("g", "leader").alias("a"), F.greatest("g", "leader").alias("b")).distinct()
@@ -268,9 +269,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
             break
     links = [labels.select(F.col("id").alias("a"), F.col("component_id").alias("b"))]
     alone = groups.where("sets > 1").select("g", F.col("g").alias("g2"))
-    opened = _open_pairs(_active(posts, labels), nearest, groups, percent)
+    opened = _open_pairs(_active(posts, members, labels), nearest, groups, percent)
     pairs = stored(opened.unionByName(alone), "open")
-    members = same.join(groups.select("n", "prefix_key", "g"), ["n", "prefix_key"]).select("g", "rep")
     if pairs.head(1):
         pairs = _expanded(pairs, members, labels)
         pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
@@ -297,10 +297,13 @@ def _component(rows: DataFrame, labels: DataFrame, key: str, name: str) -> DataF
     return rows.join(known, key, "left").withColumn(name, F.coalesce("_found", key)).drop("_found")
 
 
-def _active(posts: DataFrame, labels: DataFrame) -> DataFrame:
-    """Entries of shingles whose groups lie in several components."""
-    placed = stored(_component(posts, labels, "g", "c"), "placed")
-    mixed = stored(placed.groupBy("h").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("h"), "mixed")
+def _active(posts: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries of shingles whose groups lie in several components, with the least and the largest
+    component of the group's members: a member need not be linked with the group's leader."""
+    spans = _component(members, labels, "rep", "c").groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
+    placed = stored(posts.join(stored(spans, "spans"), "g"), "placed")
+    ends = placed.groupBy("h").agg(F.min("lo").alias("least"), F.max("hi").alias("most"))
+    mixed = stored(ends.where("least <> most").select("h"), "mixed")
     return stored(placed.join(mixed, "h"), "active")
 
 
@@ -315,17 +318,18 @@ def _least_shared(n, n2, percent: int):
 
 
 def _best_leaders(posts: DataFrame, many: DataFrame, salt: int, percent: int) -> DataFrame:
-    """For each group, the leader that it shares most shingles with, in another component.
+    """For each group, the leader that it shares most shingles with, unless one component holds all members of both.
 
     The leader of a shingle is one of its groups, another one for each salt. Pairs are left out of which
     one side shares too few shingles with all others together.
     """
-    own = F.col("c") if "c" in posts.columns else F.col("g")
-    posts = posts.select("h", "g", "n", own.alias("c"))
-    pick = F.min_by(F.struct("g", "n", "c"), F.col("g") if salt == 0 else F.xxhash64("g", F.lit(salt)))
-    leaders = stored(posts.groupBy("h").agg(pick.alias("l")).select("h", "l.*").toDF("h", "lg", "ln", "lc"), "leader")
+    own = ("lo", "hi") if "lo" in posts.columns else ("g", "g")
+    posts = posts.select("h", "g", "n", F.col(own[0]).alias("lo"), F.col(own[1]).alias("hi"))
+    pick = F.min_by(F.struct("g", "n", "lo", "hi"), F.col("g") if salt == 0 else F.xxhash64("g", F.lit(salt)))
+    leaders = stored(posts.groupBy("h").agg(pick.alias("l")).select("h", "l.*").toDF("h", "lg", "ln", "llo", "lhi"), "leader")
     met = posts.join(leaders, "h").where(
-        (F.col("c") != F.col("lc"))
+        (F.col("g") != F.col("lg"))
+        & (F.least("lo", "llo") != F.greatest("hi", "lhi"))
         & (100 * F.least("n", "ln") >= percent * F.greatest("n", "ln"))
     )
     counted = met.groupBy("g", "lg").agg(F.count("*").alias("k"), F.first("n").alias("n"), F.first("ln").alias("ln"))
@@ -336,19 +340,19 @@ def _best_leaders(posts: DataFrame, many: DataFrame, salt: int, percent: int) ->
 
 
 def _open_pairs(active: DataFrame, nearest: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of groups in different components that share enough of their prefixes to link.
+    """Pairs of groups, not all in one component, that share enough of their prefixes to link.
 
     Groups with one best leader form a cluster. Clusters that meet in enough shingles are paired, and the
     prefixes of a cluster pair's groups are compared in one place, in blocks of bounded size; only
     the pairs of groups that may still link leave it.
     """
     homes = nearest.select("g", "leader")
-    placed = active.select("g", "h", "n", "c").join(homes, "g", "left").withColumn("home", F.coalesce("leader", "g")).drop("leader")
+    placed = active.select("g", "h", "n", "lo", "hi").join(homes, "g", "left").withColumn("home", F.coalesce("leader", "g")).drop("leader")
     placed = stored(placed, "homes")
     met = stored(placed.select("h", "home").distinct(), "met")
     other = met.select("h", F.col("home").alias("home2"))
     pairs = met.join(other, "h").where("home < home2").groupBy("home", "home2").agg(F.count("*").alias("k"))
-    members = placed.select("home", "g", "c").distinct().join(groups.select("g", "n", "prefix"), "g")
+    members = placed.select("home", "g", "lo", "hi").distinct().join(groups.select("g", "n", "prefix"), "g")
     members = stored(members, "cluster-members")
     sizes = members.groupBy("home").agg(F.count("*").alias("m"), F.min("n").alias("low"), F.max("n").alias("high"))
     blocks = stored(sizes.select("home", "low", "high", F.ceil(F.col("m") / CLUSTER_BLOCK).cast("int").alias("blocks"), "m"), "cluster-sizes")
@@ -370,7 +374,7 @@ def _open_pairs(active: DataFrame, nearest: DataFrame, groups: DataFrame, percen
         # Within one cluster, a pair of blocks is one group: the lower block is the left side.
         own_left = (F.col("own") if side == 0 else F.col("far")).alias("i")
         own_right = (F.col("far") if side == 0 else F.col("own")).alias("j")
-        sides.append(rows.select("home", "home2", own_left, own_right, F.lit(side).alias("side"), "g", "c", "n", "prefix"))
+        sides.append(rows.select("home", "home2", own_left, own_right, F.lit(side).alias("side"), "g", "lo", "hi", "n", "prefix"))
     both = sides[0].unionByName(sides[1])
     alone = F.col("home") == F.col("home2")
     both = both.select(
@@ -380,7 +384,8 @@ def _open_pairs(active: DataFrame, nearest: DataFrame, groups: DataFrame, percen
         F.when(alone, F.greatest("i", "j")).otherwise(F.col("j")).alias("j"),
         F.when(alone, (F.col("i") > F.col("j")).cast("int")).otherwise(F.col("side")).alias("side"),
         "g",
-        "c",
+        "lo",
+        "hi",
         "n",
         "prefix",
     )
@@ -389,7 +394,8 @@ def _open_pairs(active: DataFrame, nearest: DataFrame, groups: DataFrame, percen
 
 
 def _compare_clusters(percent: int):
-    """Pairs of groups of two cluster blocks that can still reach the similarity.
+    """Pairs of groups of two cluster blocks that can still reach the similarity, unless one component
+    holds all members of both.
 
     Of a pair's common shingles, those outside both prefixes are at most the rest of the set
     whose prefix ends first in the order of rarity; that rest is no more than the larger one.
@@ -403,7 +409,7 @@ def _compare_clusters(percent: int):
             right = left if one else np.flatnonzero(side == 1)
             if not len(left) or not len(right):
                 continue
-            g, c, n = (group.column(k).to_numpy() for k in ("g", "c", "n"))
+            g, lo, hi, n = (group.column(k).to_numpy() for k in ("g", "lo", "hi", "n"))
             lists = group.column("prefix").combine_chunks()
             values = lists.flatten().to_numpy()
             owner = pc.list_parent_indices(lists).to_numpy()
@@ -425,7 +431,8 @@ def _compare_clusters(percent: int):
             needed = -(-percent * (n1 + n2) // (100 + percent))
             rest = -(-percent * high // 100) - 1
             ok = (shared > 0) & (shared + rest >= needed) & (100 * low >= percent * high)
-            ok &= c[left][:, None] != c[right][None, :]
+            ok &= np.minimum(lo[left][:, None], lo[right]) != np.maximum(hi[left][:, None], hi[right])
+            ok &= g[left][:, None] != g[right]  # members of one group are paired apart from this
             p, q = np.nonzero(ok)
             x, y = g[left[p]], g[right[q]]
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["g", "g2"])
