@@ -193,6 +193,18 @@ def test_quality_report_formula(spark):
     assert (missing["col1"]["missing_count"], missing["col1"]["missing_percentage"]) == (1, 33.33)
 
 
+def test_quality_report_tells_nulls_in_other_columns_apart(spark):
+    places = [("US", "New York", None), ("US", None, "New York"), (None, "US", "New York"), ("US", "New York", None)]
+    df = spark.createDataFrame(places, "country string, state string, city string")
+    report = quality.quality_report(df, ["country"]).first()
+    assert (report["total_rows"], report["duplicate_rows"], report["duplicate_percentage"]) == (4, 1, 25.0)
+    lists = [(["a", None], ["b"]), ([None, "a"], ["b"]), (["a"], [None, "b"]), (["a", "b"], []), (["a"], ["b"]), (["a"], None)]
+    nested = spark.createDataFrame(lists, "x array<string>, y array<string>")
+    assert quality.quality_report(nested, ["x"]).first()["duplicate_rows"] == 0
+    inner = spark.createDataFrame([(("a", None),), ((None, "a"),), (None,), ((None, None),)], "x struct<p: string, q: string>")
+    assert quality.quality_report(inner, ["x"]).first()["duplicate_rows"] == 0
+
+
 def test_conform_columns_takes_the_first_name(spark):
     df = spark.createDataFrame(
         [("C1", "c2", "o", "Paris, FR, France", "1,200", "kept")],
