@@ -135,6 +135,34 @@ def test_representatives_keep_one_of_each_group(docs):
     assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([1, 5, 6, 7, 8, 10, 11, 12, 13, None], key=str)
 
 
+def test_representatives_decide_by_row(spark):
+    """Repeated rows of a smallest id, and one id with several texts."""
+    other, third = (" ".join(f"{tag}{i}" for i in range(60)) for tag in ("other", "third"))
+    rows = [
+        (1, BASE, "a"),
+        (1, BASE, "b"),  # the same document with another source
+        (1, BASE, "a"),
+        (2, BASE.replace("other9 ", "changed "), "a"),
+        (2, other, "a"),  # has no copy with a smaller id
+        (3, other.replace("other9 ", "changed "), "a"),
+        (4, third, "a"),
+        (4, third.upper(), "a"),  # a near copy with the same id
+        (5, "", "a"),
+        (5, "", "a"),
+        (5, None, "a"),
+        (6, BASE.upper(), "b"),
+        (6, BASE.upper(), "b"),
+        (None, other, "a"),
+        (None, other, "a"),
+    ]
+    table = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    kept = jaccard.representatives(table, 5, 80)
+    assert kept.columns == table.columns
+    third = min(third, third.upper(), key=lambda x: hashlib.sha256(x.encode()).hexdigest())
+    want = [(1, BASE, "a"), (2, other, "a"), (4, third, "a"), (5, "", "a"), (5, None, "a"), (None, other, "a"), (None, other, "a")]
+    assert Counter(tuple(r) for r in kept.collect()) == Counter(want)
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(40)]
     star = [(100, i) for i in range(101, 160)] + [(159, 90), (7, 7), (None, 3)]

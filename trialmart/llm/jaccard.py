@@ -451,12 +451,62 @@ def _expanded(pairs: DataFrame, members: DataFrame, labels: DataFrame) -> DataFr
 
 def representatives(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The documents without the near duplicates of one with a smaller doc_id; rows and columns
-    are otherwise unchanged, and of equal rows with one doc_id one stays.
+    are otherwise unchanged. Of rows with one doc_id and one text one stays, the one whose other columns
+    come first as JSON.
+
+    Each text of a doc_id is a document of its own: it goes only if links lead from its own set to a
+    smaller doc_id, or to a text of the same doc_id whose SHA-256 is smaller. Rows without doc_id stay.
 
     The ids to remove are broadcast only if they were counted and are few; beyond that the
     join shuffles.
     """
-    found = stored(near_duplicates(docs, width, percent), "near-duplicates")
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    return docs.join(gone, "doc_id", "left_anti")
+    names, key = docs.columns, F.sha2(F.col("text").cast("string").cast("binary"), 256)
+    docs = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_text", F.coalesce(key, F.lit("")))
+    texts = stored(docs.where("_id IS NOT NULL").groupBy("_id", "_text").agg(F.count("*").alias("_rows")), "texts")
+    repeated = texts.where("_rows > 1").select("_id", "_text")
+    several = texts.groupBy("_id").agg(F.count("*").alias("n")).where("n > 1").select("_id")
+    nodes = _numbered(texts.join(several, "_id").select("_id", "_text"), texts)
+    if nodes is None:
+        docs = docs.withColumn("_node", F.col("_id"))
+    else:
+        found = docs.join(_few(nodes), ["_id", "_text"], "left")
+        docs = found.withColumn("_node", F.coalesce("_node", "_id"))
+    found = stored(near_duplicates(docs.select(F.col("_node").alias("doc_id"), "text"), width, percent), "near-duplicates")
+    found = found.select(F.col("doc_id").alias("_node"), "component_id")
+    if nodes is None:
+        gone = found.where("_node <> component_id").select("_node").distinct()
+    else:
+        found = found.where("_node IS NOT NULL").distinct().join(_few(nodes), "_node", "left")
+        found = stored(found.withColumn("_id", F.coalesce("_id", "_node")), "placed-texts")
+        first = found.groupBy("component_id").agg(F.min_by("_node", F.struct("_id", "_text")).alias("first"))
+        gone = found.join(stored(first, "first-texts"), "component_id").where("_node <> first").select("_node")
+    kept = docs.join(_few(gone), "_node", "left_anti")
+    if not repeated.head(1):
+        return kept.select(names)
+    repeated = _few(repeated)
+    alone = kept.join(repeated, ["_id", "_text"], "left_anti").select(names)
+    again = kept.join(repeated, ["_id", "_text"], "left_semi").groupBy("_id", "_text")
+    others = F.to_json(F.struct(*[F.col(c) for c in names if c != "text"]))
+    return alone.unionByName(again.agg(F.min_by(F.struct(*names), others).alias("_row")).select("_row.*"))
+
+
+def _few(rows: DataFrame) -> DataFrame:
+    """The rows, broadcast if they were counted and are few."""
+    rows = stored(rows, "counted")
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+def _numbered(split: DataFrame, texts: DataFrame) -> DataFrame | None:
+    """The (_id, _text) pairs with a number `_node` each that is neither an id nor another pair's; None
+    without pairs. Hashes are numbers: with a salt that makes two of them or one and an id meet, the next is tried.
+    """
+    split = stored(split, "split-texts")
+    if not split.head(1):
+        return None
+    salt = 0
+    while True:
+        nodes = stored(split.withColumn("_node", F.xxhash64("_id", "_text", F.lit(salt))), "numbered-texts")
+        taken = nodes.select("_node").unionByName(texts.select("_id").distinct().toDF("_node"))
+        if not taken.groupBy("_node").agg(F.count("*").alias("n")).where("n > 1").head(1):
+            return nodes
+        salt += 1
