@@ -142,6 +142,26 @@ def test_chat_marks_templates_that_rewrite_history(spark):
     assert marks == [False, True, True, True]
 
 
+def test_chat_compares_whole_outputs_at_every_length(spark):
+    """A first turn that moves to the last one, or changes at one late turn, in a long conversation."""
+    turns = [(9, i, "system" if i == 0 else "user", f"text {i}.") for i in range(80)]
+    table = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+
+    def moves(turns, first=0):
+        texts = [t for r, t in turns if r != "system"]
+        return "".join(texts[:-1]) + "".join(t for r, t in turns if r == "system") + "".join(texts[-1:])
+
+    def late(turns, first=0):
+        return ("long: " if len(turns) == 70 else "") + "".join(t for _, t in turns)
+
+    for template in (moves, late):
+        got = chat.format_turns(table, template, lambda piece: ("", "", 0, 0)).collect()
+        shown = [template([(r, t) for _, _, r, t in turns[:n]]) for n in range(81)]
+        assert [r["rewritten"] for r in got] == [not b.startswith(a) for a, b in zip(shown, shown[1:])]
+        for row, a, b in zip(got, shown, shown[1:]):
+            assert b == a[: row["start"]] + row["piece"]
+
+
 @given(st.text(alphabet="\\</s>[INST]AROLEU a", max_size=40))
 def test_escape_is_reversible_and_hides_controls(text):
     escaped = chat.escape(text)

@@ -15,9 +15,6 @@ from pyspark.sql import functions as F
 #: conversation, so that a header is rendered only at its start.
 Template = Callable[[list[tuple[str, str]], int], str]
 
-#: Turns that are rendered together; longer conversations go on with the last turns as context.
-WINDOW, CONTEXT = 64, 2
-
 # Control strings of the template.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "[ANS]", "[ROLE]", "[/ROLE]", "[/TURN]")
 _CONTROL = "|".join(map(re.escape, CONTROLS))
@@ -81,31 +78,24 @@ class Renderer:
 
     A template that only appends gives an output that begins with the one before; the rest is the
     turn's piece. If it does not, the template rewrites history: the turn is marked, and its piece is what
-    follows the common beginning. After WINDOW turns only the last CONTEXT turns are rendered
-    again, so memory and time per turn stay bounded.
+    follows the common beginning. Every prefix of the conversation is rendered whole, however long it
+    is, since any turn may change any earlier output; time grows with the square of the turns.
     """
 
     def __init__(self, template: Template):
         self.template = template
         self.turns: list[tuple[str, str]] = []
-        self.first = self.written = 0
         self.output = ""
 
     def add(self, role: str, text: str) -> Rendered:
-        if len(self.turns) >= WINDOW:
-            self.first += len(self.turns) - CONTEXT
-            self.turns = self.turns[-CONTEXT:]
-            self.output = self.template(self.turns, self.first)
         self.turns.append((role, text))
-        output = self.template(self.turns, self.first)
+        output = self.template(self.turns, 0)
         same = len(self.output)
         rewritten = not output.startswith(self.output)
         if rewritten:
             same = next((i for i, (a, b) in enumerate(zip(output, self.output, strict=False)) if a != b), min(same, len(output)))
-        start = self.written - (len(self.output) - same)
-        self.written = start + len(output) - same
         self.output = output
-        return Rendered(start, output[same:], rewritten)
+        return Rendered(same, output[same:], rewritten)
 
 
 def _ordered(conversations: DataFrame) -> DataFrame:
@@ -132,7 +122,7 @@ def format_turns(conversations: DataFrame, template: Template = instruct_templat
     assistant's, which a loss mask covers. `rewritten` marks turns at which the template changed what it
     had written; then spans of earlier turns do not hold. Other columns are ignored.
 
-    Turns of one conversation meet in one task but stream through it.
+    Turns of one conversation meet in one task, which holds them and the output so far.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
