@@ -275,6 +275,17 @@ def test_language_of_awkward_rows(docs):
     assert {r["doc_id"] for r in kept.collect()}.isdisjoint({5, 6, 7, 10})
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(language, "EPOCHS", 8)
+    starts = [a + b for a in "abcdefg" for b in "hijklmnopq"]
+    rows = [(10 * k + i, " ".join(f"{x}{y}" for y in ("ra", "su", "tev", "wix", "yoz")), x) for k, x in enumerate(starts) for i in range(10)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.learn(table)
+    assert model.labels == starts and len(starts) == 70
+    found = {r["doc_id"]: r["lang_pred"] for r in language.predict(table, model).collect()}
+    assert found == {i: x for i, _, x in rows}
+
+
 def test_language_marginals_equal_enumeration():
     dice = np.random.default_rng(1)
     scores, move, first = dice.normal(size=(5, 3)), dice.normal(size=(3, 3)), dice.normal(size=3)

@@ -11,11 +11,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialmart.llm.common import text_slices, words_of
+from trialmart.llm.common import BROADCAST_ROWS, stored, text_slices, words_of
 from trialmart.llm.toxicity import in_fold
 
-#: Bounds of the labelled sample that the field is fitted on.
-LANGUAGES, DOCS_PER_LANGUAGE, WINDOWS_PER_DOC, WINDOW_WORDS = 64, 200, 4, 20
+#: Bounds of the labelled sample that the field is fitted on: SAMPLE_DOCS are shared among the languages,
+#: of which each has from LEAST_PER_LANGUAGE to DOCS_PER_LANGUAGE documents, or all it has.
+SAMPLE_DOCS, DOCS_PER_LANGUAGE, LEAST_PER_LANGUAGE, WINDOWS_PER_DOC, WINDOW_WORDS = 12_800, 200, 20, 4, 20
 #: Words in the lexicon, at most, and slots for affixes and n-grams (a power of two).
 LEXICON_BOUND, SLOTS = 20_000, 1 << 17
 EPOCHS, RATE, DECAY = 40, 0.5, 1e-6
@@ -150,21 +151,24 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def learn(docs: DataFrame, folds: int = 3, fold: int = 1) -> Field:
     """Fit the field on text and lang of documents outside the held-out fold.
 
-    The sample holds about DOCS_PER_LANGUAGE documents (by hash of the id) of each of the LANGUAGES most
-    frequent languages, and of each some runs of words. Sequences join runs of one to three
-    languages, so that switches are learned too. Without labelled text there are no labels, and every
-    prediction is UNDETERMINED.
+    The sample holds about DOCS_PER_LANGUAGE documents (by hash of the id) of every language, fewer if
+    there are so many languages that this would be more than SAMPLE_DOCS, and of each some runs of words.
+    Sequences join runs of one to three languages, so that switches are learned too. Without labelled text
+    there are no labels, and every prediction is UNDETERMINED. The field takes about 1 MB per language.
     """
     docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")
     )
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~in_fold("doc_id", folds, fold))
-    counted = usable.groupBy("lang").agg(F.count("*").alias("rows")).orderBy(F.desc("rows"), "lang").limit(LANGUAGES).collect()
-    if not counted:
+    counted = stored(usable.groupBy("lang").agg(F.count("*").alias("rows")), "languages")
+    languages = counted.count()
+    if not languages:
         return Field([], np.zeros((SLOTS, 0)), np.zeros(0, np.uint64), np.zeros((0, 0)), np.zeros((0, 0)), np.zeros(0))
-    share = F.create_map(*[F.lit(x) for r in counted for x in (r["lang"], DOCS_PER_LANGUAGE / r["rows"])])
+    wanted = min(DOCS_PER_LANGUAGE, max(LEAST_PER_LANGUAGE, SAMPLE_DOCS / languages))
+    shares = counted.select("lang", (F.lit(float(wanted)) / F.col("rows")).alias("share"))
+    shares = F.broadcast(shares) if languages <= BROADCAST_ROWS else shares
     place = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1_000_000)) / 1_000_000.0
-    sample = usable.where(place < F.coalesce(F.try_element_at(share, F.col("lang")), F.lit(0.0)))
+    sample = usable.join(shares, "lang").where(place < F.col("share"))
     rows = sample.select("lang", "text").mapInArrow(_windows, "lang string, words string").toArrow().to_pylist()
     return fit(sorted((r["lang"], r["words"]) for r in rows))
 
