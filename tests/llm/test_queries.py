@@ -9,7 +9,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.catalogue()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.catalogue()) == list(range(1, 14))
     assert set(oracle.statements()) <= set(queries.catalogue())
 
 

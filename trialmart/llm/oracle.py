@@ -137,6 +137,52 @@ SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes,
 FROM n
 """
 
+#: crc32 step by step over the UTF-8 bytes of letters up to U+00FF; near words by shared deletions.
+_SPELLING = r"""
+WITH RECURSIVE poly AS (
+    SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+        lambda c, x: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END))) AS steps
+), runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]+')) AS run
+    FROM documents
+), counted AS (
+    SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL
+), hashed AS (
+    SELECT doc_id, run, n,
+        xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id || ':' || run, ''),
+            lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)]::BIGINT[] END))),
+            lambda c, x: xor(c >> 8, poly.steps[1 + xor(c & 255, x)])), 4294967295) AS h
+    FROM counted, poly
+), words AS (
+    SELECT CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, sum(n)::BIGINT AS n
+    FROM hashed GROUP BY ALL
+), vocabulary AS (
+    SELECT word, n FROM words WHERE length(word) >= 7 AND n >= 2
+), cut AS (
+    SELECT word, n, unnest(range(length(word))) AS i FROM vocabulary
+), dropped AS (
+    SELECT word, n, i, left(word, i::INT) || substr(word, i::INT + 2) AS rest FROM cut
+), pairs AS (
+    SELECT a.word, b.word AS near, b.n AS near_n FROM dropped a JOIN dropped b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION
+    SELECT a.word, b.word, b.n FROM dropped a JOIN vocabulary b ON a.rest = b.word
+    UNION
+    SELECT b.word, a.word, a.n FROM dropped a JOIN vocabulary b ON a.rest = b.word
+), best AS (
+    SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM pairs GROUP BY word
+), forms AS (
+    SELECT v.word, CASE WHEN near_n >= 10 * n THEN near END AS form, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+    FROM vocabulary v LEFT JOIN best b ON v.word = b.word
+), follow AS (
+    SELECT word, word AS place, 0 AS step FROM forms
+    UNION ALL
+    SELECT f.word, n.form, f.step + 1 FROM follow f JOIN forms n ON n.word = f.place WHERE n.form IS NOT NULL
+), roots AS (
+    SELECT word, arg_max(place, step) AS root FROM follow GROUP BY word
+)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+"""
+
 STATEMENTS: dict[str, str] = {
     "op3_embedding_links": _VECTORS,
     "op4_source_mix": _MIX,
@@ -144,6 +190,7 @@ STATEMENTS: dict[str, str] = {
     "op6_chat_format": _CHAT,
     "op8_top_products": _TOP,
     "op10_warc": _PAGES,
+    "op12_spelling": _SPELLING,
 }
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from trialmart.llm import bpe, chat, embeddings, jaccard, knn, language, mixing, toxicity, unigram, warc
+from trialmart.llm import bpe, chat, embeddings, jaccard, knn, language, mixing, multi_index, periods, spelling, toxicity, unigram, warc
 from trialmart.llm.common import table
 from trialmart.sources.storage import new_run_folder
 
@@ -81,6 +81,23 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.describe(warc.read_archives(spark, path))
 
 
+def op11_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty nearest found of every twentieth vector, by inner product."""
+    return multi_index.neighbours(table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of at least seven letters of all documents with planted slips, and the form each is a variant of."""
+    words = spelling.vocabulary(table(spark, sf_dir, "documents"), least_letters=7, least_count=2, slips=31)
+    return spelling.variants(words, least_letters=7, factor=10)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of all documents, with planted periods."""
+    docs = periods.with_planted_periods(table(spark, sf_dir, "documents"))
+    return periods.digest(periods.periodic_runs(docs))
+
+
 def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_language,
@@ -93,5 +110,8 @@ def catalogue() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_top_products,
         op9_token_counts,
         op10_warc,
+        op11_multi_index,
+        op12_spelling,
+        op13_periodic_runs,
     )
     return {f.__name__: f for f in found}
