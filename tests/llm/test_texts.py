@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import tiktoken
@@ -194,9 +195,44 @@ def test_bpe_pieces_in_small_queries(monkeypatch):
     words = sorted({f" {a}{b}ität" for a in ("lang", "unwahr", "Über") for b in ("schein", "lich", "samkeits")} | {"日本語の", "aaaaaaaaaaaa"})
     monkeypatch.setattr(bpe, "PIECES", 3)
     monkeypatch.setattr(bpe, "BYTES", 20)
-    found = bpe.Coder(RANKS).pieces(words)
-    assert [x.tolist() for x, _ in found] == [encoding.encode_ordinary(w) if len(encoding.encode_ordinary(w)) else [] for w in words]
-    assert [b for _, b in found] == [w.encode() for w in words]
+    assert coded(bpe.Coder(RANKS), words) == [(encoding.encode_ordinary(w), w.encode()) for w in words]
+
+
+def coded(coder, words):
+    found, place = coder.pieces(pa.array(words))
+    ids, raw = np.split(found.ids, np.cumsum(found.n_ids)), np.split(found.bytes, np.cumsum(found.n_bytes))
+    return [(ids[k].tolist(), raw[k].tobytes()) for k in place]
+
+
+def test_bpe_remembers_pieces_up_to_a_bound(monkeypatch):
+    encoding, _ = tiktoken_of("")
+    coder = bpe.Coder(RANKS)
+    for bound in (48_000_000, 1):
+        monkeypatch.setattr(bpe, "REMEMBERED", bound)
+        for words in (["unwahrscheinlich", "ha"], ["langsamkeits", "ha", "unwahrscheinlich"], ["neu", "x"], ["neuer", "neu"]):
+            assert coded(coder, words) == [(encoding.encode_ordinary(w), w.encode()) for w in words]
+    assert coder.known.text.to_pylist() == ["unwahrscheinlich", "ha", "langsamkeits", "neu", "x", "neuer"]
+
+
+def test_bpe_long_pieces_equal_tiktoken(monkeypatch):
+    """Pieces without a break: cut where no token spans, repeated pairs contracted in one round."""
+    encoding, _ = tiktoken_of("")
+    dice = np.random.default_rng(9)
+    words = ["a" * 5000, "ab" * 3000, "aba" * 3000, "ha" * 20_000, "".join(dice.choice(list("aab"), 2000)), "".join(dice.choice(list("étoile"), 2000))]
+    words += ["".join(dice.choice(list("abcdefghijklmnopqrstuvwxyz"), n)) for n in (1001, 100_000)]
+    coder = bpe.Coder(RANKS)
+    assert coded(coder, words) == [(encoding.encode_ordinary(w), w.encode()) for w in words]
+    assert all(b"".join(coder.cut(w.encode())) == w.encode() for w in words)
+    monkeypatch.setattr(bpe, "LONG", 3)  # every word takes the long way
+    few = [w[:40] for w in words] + ["unwahrscheinlichkeiten", "日本語の"]
+    assert coded(bpe.Coder(RANKS), few) == [(encoding.encode_ordinary(w), w.encode()) for w in few]
+
+
+def test_bpe_one_piece_of_a_megabyte():
+    dice = np.random.default_rng(10)
+    word = "".join(dice.choice(list("abcdefghijklmnopqrstuvwxyz"), 1_000_000))
+    (ids, raw), = coded(bpe.Coder(RANKS), [word])
+    assert raw == word.encode() and len(ids) < len(word)
 
 
 def test_unigram_counts_equal_the_tokenizer(docs):
@@ -367,6 +403,49 @@ def test_composition_equals_running_in_turn():
         assert machine.run(clause) == step
 
 
+def brute_kinds(scorer, text):
+    """Matched kinds of a text by plain rules over its clauses."""
+    found = Counter()
+    for clause in re.split(r"[.!?;:\n]+", text.lower()):
+        words = [w.replace("’", "'") for w in re.findall(r"[^\W\d_]+(?:['’][^\W\d_]+)*", clause)]
+        marks = [scorer.symbol(w) for w in words]
+        reported, reach, hits = False, 0, []
+        for i, mark in enumerate(marks):
+            if mark in "ih":
+                hits.append((i, mark, "E" if reach else "F" if reported else None))
+            reported |= mark == "r"
+            reach = 3 if mark == "n" else max(0, reach - 1)
+        found.update(kind for _, _, kind in hits if kind)
+        open_hits = [(i, mark) for i, mark, kind in hits if not kind]
+        target = marks.index("t") if "t" in marks else len(marks)
+        early = [mark for i, mark in open_hits if i < target]
+        for k, mark in enumerate(early):
+            aimed = "t" in marks and k == len(early) - 1
+            found["AC"["ih".index(mark)] if aimed else "BD"["ih".index(mark)]] += 1
+        found.update("AC"["ih".index(mark)] for i, mark in open_hits if i > target)
+    return [found[k] for k in "ABCDEF"]
+
+
+def test_scores_equal_plain_rules(spark):
+    dice = np.random.default_rng(12)
+    words = ["you", "never", "said", "idiots", "kill", "the", "grapes", "are", "Zorgulent", "isn’t", "dich", "nicht", "moron"]
+    texts = ["".join(f"{dice.choice(words)}{dice.choice([' ', ' ', ' ', '. ', '! ', ': '])}" for _ in range(dice.integers(0, 30))) for _ in range(60)]
+    scorer = toxicity.Scorer(["idiot", "moron", "zorgu"], np.array([2.5, 1.5, 3.0, 1.0, 0.4, 0.3]), -2.5)
+    got = toxicity.score(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), scorer)
+    for i, score, predicted in got.collect():
+        expected = 1 / (1 + np.exp(-(-2.5 + np.log1p(brute_kinds(scorer, texts[i])) @ scorer.weights)))
+        assert abs(score - expected) < 1e-12 and predicted == (score >= 0.3)
+
+
+def test_families_join_near_copies_only():
+    dice = np.random.default_rng(13)
+    signs = dice.integers(0, 1 << 32, (40, 64), dtype=np.uint32)
+    signs[1] = signs[0]
+    signs[2, :54], signs[3, 10:] = signs[1, :54], signs[2, 10:]
+    signs[4, :32] = signs[0, :32]  # half in common
+    assert toxicity.families(signs).tolist() == [0, 0, 0, 0, *range(4, 40)]
+
+
 def test_empty_tables(spark, none):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert jaccard.near_duplicates(none, 4, 85).count() == 0

@@ -5,21 +5,25 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trialmart.llm.common import worker_cache
 
-#: Pieces whose tokens a worker remembers, at most; others are encoded again.
-REMEMBERED = 100_000
+#: Bytes of pieces, ids and places that a worker remembers, at most; other pieces are encoded again.
+REMEMBERED = 48_000_000
 #: Pieces and bytes in one recursive query; a longer piece is alone.
 PIECES, BYTES = 20_000, 250_000
 #: Pieces of texts that a task works on at once, about.
 SLICE = 400_000
+#: A piece of more bytes is first cut where no token can span.
+LONG = 1_000
 
 # No pair of tokens merges: a rank above all ranks.
 _NONE = 1 << 30
@@ -61,6 +65,32 @@ WITH RECURSIVE step AS (
 SELECT w, t FROM step WHERE best >= ({_NONE}::BIGINT << {_SHIFT}) ORDER BY w, p
 """
 
+#: The same for one long word, as one round of a loop: occurrences of the smallest rank are
+#: contracted from the left. Pairs of that rank that overlap form a run, of which every other one counts.
+_HEADS = """
+SELECT p, t, nx, r FROM (
+    SELECT *, p - min(p) OVER (PARTITION BY p - k) AS place
+    FROM (SELECT *, row_number() OVER (ORDER BY p) AS k FROM ranked WHERE r = (SELECT min(r) FROM ranked))
+) WHERE place % 2 = 0
+"""
+_ROUND = f"""
+WITH merged AS (
+    SELECT s.p, CASE WHEN h.p IS NULL THEN s.t ELSE s.r END AS t
+    FROM ranked s LEFT JOIN heads h ON h.p = s.p LEFT JOIN heads b ON b.p = s.p - 1 WHERE b.p IS NULL
+), placed AS (
+    SELECT row_number() OVER (ORDER BY p) - 1 AS p, t, coalesce(lead(t) OVER (ORDER BY p), {(1 << 31) - 1}) AS nx FROM merged
+)
+SELECT d.p, d.t, d.nx, coalesce(m.rank, {_NONE}) AS r FROM placed d LEFT JOIN merges m ON m.pair = (d.t << 31 | d.nx)
+"""
+#: The smallest rank of the pairs that arise while occurrences are contracted one by one.
+_ARISING = """
+SELECT min(m.rank) AS low FROM (
+    SELECT (h.r << 31 | n.nx) AS pair FROM heads h JOIN ranked n ON n.p = h.p + 1
+    UNION ALL
+    SELECT (t << 31 | nx) FROM after WHERE t = (SELECT min(r) FROM ranked) OR nx = (SELECT min(r) FROM ranked)
+) a JOIN merges m USING (pair)
+"""
+
 #: Bytes stand as characters 256 to 511, so that any byte string is text.
 _DECODE = "SELECT w, string_agg(v.bytes, '' ORDER BY p) AS bytes FROM tokens JOIN vocabulary v USING (t) GROUP BY w ORDER BY w"
 
@@ -91,6 +121,7 @@ class Coder:
                 if left is not None and right is not None:
                     pairs.append(left << 31 | right)
                     merged.append(rank)
+        self.heads: set[bytes] | None = None
         self.of_byte = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         self.sql = duckdb.connect(config={"threads": 1, "memory_limit": "200MB", "temp_directory": ""})
         merges = pa.table({"pair": pa.array(pairs, pa.int64()), "rank": pa.array(merged, pa.int64())})
@@ -99,10 +130,64 @@ class Coder:
             self.sql.register("given", rows)
             self.sql.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
             self.sql.unregister("given")
-        self.known: dict[str, tuple[np.ndarray, bytes]] = {}
+        self.known = Pieces.none()
+
+    def cut(self, piece: bytes) -> list[bytes]:
+        """A long piece in parts that no token reaches across, so that they merge apart."""
+        if self.heads is None:
+            self.heads = {token[:n] for token in self.ranks for n in range(2, len(token) + 1)}
+        reach, begin, parts = 1, 0, []
+        for i in range(len(piece)):
+            if i >= reach:
+                parts.append(piece[begin:i])
+                begin = i
+            n = 2
+            while i + n <= len(piece) and piece[i : i + n] in self.heads:
+                if piece[i : i + n] in self.ranks:
+                    reach = max(reach, i + n)
+                n += 1
+            reach = max(reach, i + 1)
+        parts.append(piece[begin:])
+        return parts
+
+    def merge_long(self, piece: bytes) -> np.ndarray:
+        """Token ids of one piece, contracting all occurrences of the smallest rank in a round; only
+        the first of them where a pair that arises meanwhile ranks as low."""
+        t = self.of_byte[np.frombuffer(piece, np.uint8)]
+        nx = np.append(t[1:], (1 << 31) - 1)
+        self.sql.register("start", pa.table({"p": np.arange(len(t)), "t": t, "nx": nx}))
+        first = f"SELECT s.p, s.t, s.nx, coalesce(m.rank, {_NONE}) AS r FROM start s LEFT JOIN merges m ON m.pair = (s.t << 31 | s.nx)"
+        rows = self.sql.sql(first).to_arrow_table()
+        while (low := pc.min(rows.column("r")).as_py()) < _NONE:
+            self.sql.register("ranked", rows)
+            heads = self.sql.sql(_HEADS).to_arrow_table()
+            self.sql.register("heads", heads)
+            after = self.sql.sql(_ROUND).to_arrow_table()
+            self.sql.register("after", after)
+            arising = self.sql.sql(_ARISING).to_arrow_table().column(0)[0].as_py()
+            if arising is not None and arising <= low and heads.num_rows > 1:
+                self.sql.register("heads", heads.sort_by("p").slice(0, 1))
+                after = self.sql.sql(_ROUND).to_arrow_table()
+            rows = after
+        return rows.sort_by("p").column("t").to_numpy().astype(np.uint32)
 
     def merge(self, pieces: list[bytes]) -> list[np.ndarray]:
         """Token ids of pieces that are no tokens themselves."""
+        parts, sizes = [], []
+        for piece in pieces:
+            cut = self.cut(piece) if len(piece) > LONG else [piece]
+            parts += cut
+            sizes.append(len(cut))
+        if len(parts) == len(pieces):
+            return self.merge_parts(parts)
+        merged = self.merge_parts(parts)
+        ends = np.cumsum(sizes)
+        return [np.concatenate(merged[e - n : e]) for e, n in zip(ends, sizes, strict=True)]
+
+    def merge_parts(self, pieces: list[bytes]) -> list[np.ndarray]:
+        if any(len(x) > LONG for x in pieces):
+            short = iter(self.merge_parts([x for x in pieces if len(x) <= LONG]))
+            return [self.merge_long(x) if len(x) > LONG else next(short) for x in pieces]
         out: list[np.ndarray] = []
         begin = 0
         while begin < len(pieces):
@@ -140,26 +225,59 @@ class Coder:
             out[i] = _as_bytes(text)
         return out
 
-    def pieces(self, pieces: list[str]) -> list[tuple[np.ndarray, bytes]]:
-        """Token ids of each distinct piece, and the bytes that they decode to."""
-        new = [x for x in pieces if x not in self.known]
-        fresh: dict[str, tuple[np.ndarray, bytes]] = {}
+    def pieces(self, pieces: pa.Array) -> tuple[Pieces, np.ndarray]:
+        """Token ids of distinct pieces and the bytes that they decode to, and the place of each piece among them."""
+        place = pc.index_in(pieces, self.known.text)
+        new = pieces.filter(pc.is_null(place))
+        place = pc.fill_null(place, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        place[place < 0] = len(self.known.text) + np.arange(len(new))
+        held = [self.known]
         for begin in range(0, len(new), PIECES):
-            part = new[begin : begin + PIECES]
-            raw = [x.encode("utf-8", "surrogatepass") for x in part]
+            part = new.slice(begin, PIECES)
+            raw = [x.encode("utf-8", "surrogatepass") for x in part.to_pylist()]
             whole = [self.ranks.get(x) for x in raw]
             merged = iter(self.merge([x for x, r in zip(raw, whole, strict=True) if r is None]))
             ids = [next(merged) if r is None else np.array([r], np.uint32) for r in whole]
-            fresh |= zip(part, zip(ids, self.decode(ids), strict=True), strict=True)
-        out = [self.known[x] if x in self.known else fresh[x] for x in pieces]
-        for x in new[: max(0, REMEMBERED - len(self.known))]:
-            self.known[x] = fresh[x]
-        return out
+            held.append(Pieces.of(part, ids, self.decode(ids)))
+        found = Pieces.joined(held)
+        if found.size() <= REMEMBERED:
+            self.known = found
+        return found, place
+
+
+@dataclass(frozen=True)
+class Pieces:
+    """Texts with their token ids and decoded bytes, each end to end in one array."""
+
+    text: pa.Array
+    ids: np.ndarray
+    n_ids: np.ndarray
+    bytes: np.ndarray
+    n_bytes: np.ndarray
+
+    @staticmethod
+    def of(text: pa.Array, ids: list[np.ndarray], raw: list[bytes]) -> Pieces:
+        sizes = [np.array([len(x) for x in part], np.int32) for part in (ids, raw)]
+        return Pieces(text, np.concatenate([*ids, np.zeros(0, np.uint32)]), sizes[0], np.frombuffer(b"".join(raw), np.uint8), sizes[1])
+
+    @staticmethod
+    def none() -> Pieces:
+        return Pieces.of(pa.array([], pa.string()), [], [])
+
+    @staticmethod
+    def joined(parts: list[Pieces]) -> Pieces:
+        if len(parts) == 1:
+            return parts[0]
+        arrays = [np.concatenate([getattr(x, name) for x in parts]) for name in ("ids", "n_ids", "bytes", "n_bytes")]
+        return Pieces(pa.concat_arrays([x.text for x in parts]), *arrays)
+
+    def size(self) -> int:
+        return self.text.nbytes + self.ids.nbytes + self.n_ids.nbytes + self.bytes.nbytes + self.n_bytes.nbytes
 
 
 def coder(path: str) -> Coder:
     """The worker's coder for a vocabulary file."""
-    cache = worker_cache().setdefault("coders", {})
+    cache = worker_cache("bpe")
     if path not in cache:
         cache[path] = Coder(path)
     return cache[path]
@@ -191,12 +309,10 @@ def _encoded(path: str, with_ids: bool):
 def _digests(words: Coder, part: pa.RecordBatch, with_ids: bool) -> pa.RecordBatch:
     lists = part.column("pieces")
     coded = lists.flatten().dictionary_encode()
-    found = words.pieces(coded.dictionary.to_pylist())
-    use = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    n_ids = np.array([len(x) for x, _ in found], np.int64)
-    n_bytes = np.array([len(x) for _, x in found], np.int64)
-    id_pool = np.concatenate([*(x for x, _ in found), np.zeros(0, np.uint32)])
-    byte_pool = np.frombuffer(b"".join(x for _, x in found), np.uint8)
+    found, place = words.pieces(coded.dictionary)
+    use = place[coded.indices.to_numpy(zero_copy_only=False)]
+    n_ids, n_bytes = found.n_ids.astype(np.int64), found.n_bytes.astype(np.int64)
+    id_pool, byte_pool = found.ids, found.bytes
     edges = np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy()))])
     columns = {"doc_id": part.column("doc_id"), "n_tokens": [], "ids_sha256": [], "decoded_sha256": []}
     all_ids = []
@@ -228,7 +344,9 @@ def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = True) -> D
 
     The pieces of a text are cut in the JVM. A task encodes each distinct piece of a slice of
     its texts once, by a recursive query, and decodes its ids by an ordered aggregation;
-    a worker remembers a bounded number of pieces. Nothing is shuffled.
+    a worker remembers pieces up to a bounded number of bytes. A piece without a break that is very long is
+    cut where no token can span, and what is still long contracts all its pairs of one rank
+    in a round. Nothing is shuffled.
     """
     pieces = F.regexp_extract_all("text", F.lit("(?U)" + pattern), F.lit(0))
     cut = docs.select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 import types
 from collections.abc import Iterator
@@ -52,9 +53,15 @@ def words_of(texts: pa.Array, lower_ascii: bool) -> tuple[pa.Array, np.ndarray]:
     return flat.filter(keep), counts
 
 
-def worker_cache() -> dict:
-    """A dictionary that lives as long as the Python worker, shared by the tasks it runs."""
-    return sys.modules.setdefault("_trialmart_worker", types.ModuleType("_trialmart_worker")).__dict__
+def worker_cache(owner: str) -> dict:
+    """What an operator keeps in a Python worker from task to task; whatever another operator
+    left there goes first, and with it the memory it held."""
+    held = sys.modules.setdefault("_trialmart_worker", types.ModuleType("_trialmart_worker")).__dict__
+    if held.get("owner") != owner:
+        held["owner"], held["kept"] = owner, {}
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+    return held["kept"]
 
 
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

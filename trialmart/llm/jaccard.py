@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialmart.llm.common import BROADCAST_ROWS, sorted_groups, stored, text_slices, words_of
+from trialmart.llm.common import BROADCAST_ROWS, sorted_groups, stored, text_slices, worker_cache, words_of
 from trialmart.llm.components import connected_components
 
 #: Shingles held to be frequent, at most; they only decide the order within a set.
@@ -63,6 +63,7 @@ def _repeated(width: int):
     """Shingles that two texts of a batch share, with the number of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("jaccard")
         for batch in batches:
             parts = [shingle_sets(x.column("text"), width)[0] for x in text_slices(batch, "text", SLICE)]
             if parts:
@@ -92,6 +93,7 @@ def _prefixes(width: int, percent: int, frequent):
     """Per text: size, digests of the set and of its prefix, and the prefix in order of rarity."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("jaccard")
         ranked = frequent.value
         by_hash = np.argsort(ranked, kind="stable")
         sorted_hashes = ranked[by_hash]
@@ -461,33 +463,37 @@ def representatives(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     join shuffles.
     """
     names, key = docs.columns, F.sha2(F.col("text").cast("string").cast("binary"), 256)
-    docs = docs.withColumn("_id", F.col("doc_id").cast("long")).withColumn("_text", F.coalesce(key, F.lit("")))
-    texts = stored(docs.where("_id IS NOT NULL").groupBy("_id", "_text").agg(F.count("*").alias("_rows")), "texts")
-    repeated = texts.where("_rows > 1").select("_id", "_text")
-    several = texts.groupBy("_id").agg(F.count("*").alias("n")).where("n > 1").select("_id")
-    nodes = _numbered(texts.join(several, "_id").select("_id", "_text"), texts)
+    # the whole input is one column, so no name of it can meet one of ours
+    row, text = F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.coalesce(key, F.lit("")).alias("text_key")
+    docs = docs.select(row, F.col("doc_id").cast("long").alias("id"), text)
+    kept_columns = [F.col(f"row.`{c}`").alias(c) for c in names]
+    texts = stored(docs.where("id IS NOT NULL").groupBy("id", "text_key").agg(F.count("*").alias("rows")), "texts")
+    repeated = texts.where("rows > 1").select("id", "text_key")
+    several = texts.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id")
+    nodes = _numbered(texts.join(several, "id").select("id", "text_key"), texts)
     if nodes is None:
-        docs = docs.withColumn("_node", F.col("_id"))
+        docs = docs.withColumn("node", F.col("id"))
     else:
-        found = docs.join(_few(nodes), ["_id", "_text"], "left")
-        docs = found.withColumn("_node", F.coalesce("_node", "_id"))
-    found = stored(near_duplicates(docs.select(F.col("_node").alias("doc_id"), "text"), width, percent), "near-duplicates")
-    found = found.select(F.col("doc_id").alias("_node"), "component_id")
+        found = docs.join(_few(nodes), ["id", "text_key"], "left")
+        docs = found.withColumn("node", F.coalesce("node", "id"))
+    numbered = docs.select(F.col("node").alias("doc_id"), F.col("row.text").alias("text"))
+    found = stored(near_duplicates(numbered, width, percent), "near-duplicates")
+    found = found.select(F.col("doc_id").alias("node"), "component_id")
     if nodes is None:
-        gone = found.where("_node <> component_id").select("_node").distinct()
+        gone = found.where("node <> component_id").select("node").distinct()
     else:
-        found = found.where("_node IS NOT NULL").distinct().join(_few(nodes), "_node", "left")
-        found = stored(found.withColumn("_id", F.coalesce("_id", "_node")), "placed-texts")
-        first = found.groupBy("component_id").agg(F.min_by("_node", F.struct("_id", "_text")).alias("first"))
-        gone = found.join(stored(first, "first-texts"), "component_id").where("_node <> first").select("_node")
-    kept = docs.join(_few(gone), "_node", "left_anti")
+        found = found.where("node IS NOT NULL").distinct().join(_few(nodes), "node", "left")
+        found = stored(found.withColumn("id", F.coalesce("id", "node")), "placed-texts")
+        first = found.groupBy("component_id").agg(F.min_by("node", F.struct("id", "text_key")).alias("first"))
+        gone = found.join(stored(first, "first-texts"), "component_id").where("node <> first").select("node")
+    kept = docs.join(_few(gone), "node", "left_anti")
     if not repeated.head(1):
-        return kept.select(names)
+        return kept.select(kept_columns)
     repeated = _few(repeated)
-    alone = kept.join(repeated, ["_id", "_text"], "left_anti").select(names)
-    again = kept.join(repeated, ["_id", "_text"], "left_semi").groupBy("_id", "_text")
-    others = F.to_json(F.struct(*[F.col(c) for c in names if c != "text"]))
-    return alone.unionByName(again.agg(F.min_by(F.struct(*names), others).alias("_row")).select("_row.*"))
+    alone = kept.join(repeated, ["id", "text_key"], "left_anti").select("row")
+    again = kept.join(repeated, ["id", "text_key"], "left_semi").groupBy("id", "text_key")
+    others = F.to_json(F.struct(*[F.col(f"row.`{c}`").alias(c) for c in names if c.lower() != "text"]))
+    return alone.unionByName(again.agg(F.min_by("row", others).alias("row")).select("row")).select(kept_columns)
 
 
 def _few(rows: DataFrame) -> DataFrame:
@@ -497,7 +503,7 @@ def _few(rows: DataFrame) -> DataFrame:
 
 
 def _numbered(split: DataFrame, texts: DataFrame) -> DataFrame | None:
-    """The (_id, _text) pairs with a number `_node` each that is neither an id nor another pair's; None
+    """The (id, text_key) pairs with a number `node` each that is neither an id nor another pair's; None
     without pairs. Hashes are numbers: with a salt that makes two of them or one and an id meet, the next is tried.
     """
     split = stored(split, "split-texts")
@@ -505,8 +511,8 @@ def _numbered(split: DataFrame, texts: DataFrame) -> DataFrame | None:
         return None
     salt = 0
     while True:
-        nodes = stored(split.withColumn("_node", F.xxhash64("_id", "_text", F.lit(salt))), "numbered-texts")
-        taken = nodes.select("_node").unionByName(texts.select("_id").distinct().toDF("_node"))
-        if not taken.groupBy("_node").agg(F.count("*").alias("n")).where("n > 1").head(1):
+        nodes = stored(split.withColumn("node", F.xxhash64("id", "text_key", F.lit(salt))), "numbered-texts")
+        taken = nodes.select("node").unionByName(texts.select("id").distinct().toDF("node"))
+        if not taken.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").head(1):
             return nodes
         salt += 1

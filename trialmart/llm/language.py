@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialmart.llm.common import BROADCAST_ROWS, stored, text_slices, words_of
+from trialmart.llm.common import BROADCAST_ROWS, stored, text_slices, worker_cache, words_of
 from trialmart.llm.toxicity import in_fold
 
 #: Bounds of the labelled sample that the field is fitted on: SAMPLE_DOCS are shared among the languages,
@@ -271,6 +271,7 @@ def predict(docs: DataFrame, model: Field) -> DataFrame:
     model = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("language")
         for batch in batches:
             for part in text_slices(batch, "text", SLICE):
                 names, score, counts, odd = _decided(model.value, part.column("text"))
@@ -283,11 +284,13 @@ def predict(docs: DataFrame, model: Field) -> DataFrame:
 
 def keep_determined(docs: DataFrame, model: Field, least: float = 0.5) -> DataFrame:
     """The documents with a language that carries at least `least` of the label probability of
-    their words, unchanged; texts without a letter go."""
+    their words, unchanged; null texts and texts without a letter go. Equal texts share one decision,
+    whatever their doc_id."""
     schema = docs.schema
     model = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("language")
         for batch in batches:
             for part in text_slices(batch, "text", SLICE):
                 names, score, _, _ = _decided(model.value, part.column("text"))

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialmart.llm.common import stored, text_slices
+from trialmart.llm.common import stored, text_slices, worker_cache
 from trialmart.llm.jaccard import shingle_sets
 
 #: Bounds of the labelled sample that the model is fitted on.
@@ -24,6 +24,8 @@ STEM_BOUND = 500
 #: Rounds of learning stems.
 STEM_ROUNDS = 4
 THRESHOLD = 0.3
+#: Hash functions of a sampled text's signature, which tells near copies among at most TOXIC_ROWS + CLEAN_ROWS texts.
+SIGNATURE = 64
 #: Bytes of text that a task scores at once.
 SLICE = 1 << 22
 
@@ -176,20 +178,56 @@ def in_fold(column: str, folds: int, fold: int):
     return F.coalesce(F.crc32(F.col(column).cast("string")) % folds == fold, F.lit(False))
 
 
-def _families(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds a key that near copies of a text mostly share: the smallest 3-word shingle hash."""
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the signature of each text: for SIGNATURE hash functions, the smallest value over its five-word shingles."""
+    worker_cache("toxicity")
+    dice = np.random.default_rng(23)
+    factors = dice.integers(1, 1 << 63, SIGNATURE, dtype=np.uint64) | np.uint64(1)
     for batch in batches:
-        h, sizes = shingle_sets(batch.column("text"), 3)
-        begin = np.cumsum(sizes) - sizes
-        keys = [int(h[b]) if n else 0 for b, n in zip(begin, sizes, strict=True)]
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(keys, pa.int64())], [*batch.schema.names, "family"])
+        for part in text_slices(batch, "text", SLICE):
+            h, sizes = shingle_sets(part.column("text"), 5)
+            begin = (np.cumsum(sizes) - sizes)[sizes > 0]
+            out = np.zeros((len(sizes), SIGNATURE), np.uint32)
+            for k, factor in enumerate(factors):
+                mixed = h.view(np.uint64) * factor
+                mixed = ((mixed ^ (mixed >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+                if len(begin):
+                    out[sizes > 0, k] = np.minimum.reduceat(mixed, begin)
+            signs = pa.array([row.tobytes() for row in out], pa.binary())
+            yield pa.RecordBatch.from_arrays([*part.columns, signs], [*part.schema.names, "sign"])
+
+
+def families(signs: np.ndarray, least: float = 0.8) -> np.ndarray:
+    """A family number per signature: those that agree in this share of places, or are led to each other
+    by such, are near copies and one family."""
+    needed = int(np.ceil(least * signs.shape[1]))
+    family = np.arange(len(signs))
+    for begin in range(0, len(signs), 256):
+        block = signs[begin : begin + 256]
+        agree = np.zeros((len(block), len(signs)), np.int16)
+        for k in range(signs.shape[1]):
+            agree += block[:, k, None] == signs[None, :, k]
+        a, b = np.nonzero(agree >= needed)
+        a += begin
+        a, b = a[a < b], b[a < b]
+        while len(a):  # the smallest number of either side, until nothing changes
+            low = np.minimum(family[a], family[b])
+            before = family.copy()
+            np.minimum.at(family, family[a], low)
+            np.minimum.at(family, family[b], low)
+            family = family[family]
+            if (before == family).all():
+                break
+    while (family != family[family]).any():
+        family = family[family]
+    return family
 
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Weight of toxic and of clean texts that hold a word or word prefix of 4 to 6 letters."""
     for batch in batches:
         weight: dict[str, list[float]] = {}
-        for part in text_slices(batch, "text", 1 << 22):
+        for part in text_slices(batch, "text", SLICE):
             rows = zip(part.column("text").to_pylist(), part.column("toxic").to_pylist(), part.column("share").to_pylist(), strict=True)
             for text, toxic, share in rows:
                 words = set(re.findall(r"[^\W\d_]{4,}", (text or "").lower()))
@@ -208,8 +246,9 @@ def _unmatched(scorer: Scorer):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            clean = pc.equal(batch.column("toxic"), 0).to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(clean | (scorer.features(batch.column("text")).sum(axis=1) == 0)))
+            for part in text_slices(batch, "text", SLICE):
+                clean = pc.equal(part.column("toxic"), 0).to_numpy(zero_copy_only=False)
+                yield part.filter(pa.array(clean | (scorer.features(part.column("text")).sum(axis=1) == 0)))
 
     return run
 
@@ -234,7 +273,7 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2) ->
     """Fit stems and weights on labelled documents outside the held-out fold.
 
     At most TOXIC_ROWS and CLEAN_ROWS labelled rows are used, those with the smallest hash of the
-    id. Near copies share one vote. A stem counts as an insult when so many toxic and so few
+    id. Near copies (about 0.8 of their five-word shingles in common) share one vote. A stem counts as an insult when so many toxic and so few
     clean texts hold it that chance would bring up less than one such term in a hundred samples;
     further rounds look for stems in the toxic texts that are still unmatched.
     Without labels of both kinds the grammar keeps its seed words and prior weights.
@@ -246,9 +285,15 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2) ->
     picked = picked.unionByName(rows.where("toxic = 0").orderBy(*order).limit(CLEAN_ROWS))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sample = texts.join(F.broadcast(picked), "doc_id").select("text", "toxic")
-    sample = stored(sample.mapInArrow(_families, "text string, toxic int, family long"), "labelled")
-    sizes = sample.groupBy("family").agg((1.0 / F.count("*")).alias("share"))
-    sample = sample.join(F.broadcast(sizes), "family").select("text", "toxic", "share")
+    sample = stored(sample.mapInArrow(_signatures, "text string, toxic int, sign binary"), "labelled")
+    signs = sample.groupBy("sign").agg(F.count("*").alias("n")).orderBy("sign").toArrow()
+    if not signs.num_rows:
+        return Scorer(sorted(SEED_INSULTS), PRIOR, BASE)
+    rows = np.frombuffer(b"".join(signs.column("sign").to_pylist()), np.uint32).reshape(-1, SIGNATURE)
+    family, n = families(rows), signs.column("n").to_numpy()
+    shares = 1.0 / np.bincount(family, n)[family]
+    shares = docs.sparkSession.createDataFrame(zip(signs.column("sign").to_pylist(), shares.tolist(), strict=True), "sign binary, share double")
+    sample = sample.join(F.broadcast(shares), "sign").select("text", "toxic", "share")
     total = dict(sample.groupBy("toxic").agg(F.sum("share")).collect())
     if len(total) < 2:
         return Scorer(sorted(SEED_INSULTS), PRIOR, BASE)
@@ -271,9 +316,10 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2) ->
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = scorer.features(batch.column("text"))
-            lists = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(KINDS)).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays([lists, batch.column("toxic"), batch.column("share")], ["x", "toxic", "share"])
+            for part in text_slices(batch, "text", SLICE):
+                x = scorer.features(part.column("text"))
+                lists = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(KINDS)).cast(pa.list_(pa.float64()))
+                yield pa.RecordBatch.from_arrays([lists, part.column("toxic"), part.column("share")], ["x", "toxic", "share"])
 
     got = sample.mapInArrow(matched, "x array<double>, toxic int, share double").toArrow()
     x = np.array(got.column("x").to_pylist(), float)
@@ -304,6 +350,7 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("toxicity")
         for batch in batches:
             for part in text_slices(batch, "text", SLICE):
                 s = scorer.scores(scorer.features(part.column("text")))
@@ -315,10 +362,15 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, scorer: Scorer) -> DataFrame:
-    """The documents that are not predicted toxic, unchanged."""
+    """The documents that are not predicted toxic, unchanged.
+
+    A null or empty text has the base score and stays, as does one without a matched clause; repeated rows
+    share one decision; a null doc_id does not matter.
+    """
     schema = docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_cache("toxicity")
         for batch in batches:
             for part in text_slices(batch, "text", SLICE):
                 s = scorer.scores(scorer.features(part.column("text")))

@@ -89,7 +89,7 @@ def load(path: str) -> Counter:
 
 def counter(path: str) -> Counter:
     """The worker's counter for a model file."""
-    cache = worker_cache().setdefault("counters", {})
+    cache = worker_cache("unigram")
     if path not in cache:
         cache[path] = load(path)
     return cache[path]
