@@ -131,3 +131,14 @@ def test_truncated_page_is_a_counted_reject(spark, tmp_path):
 def test_hot_id_of_trials(spark):
     hot = spark.range(0, 2000, 1, 4).select(F.lit("hot").alias("k"), (5000 - F.col("id")).alias("v"))
     assert keys.first_by_key(hot, "k").collect() == [("hot", 3001)]
+
+
+def test_details_of_a_repeated_id(spark, raw_rows):
+    """The row that sorts first, however the rows are dealt."""
+    from trialmart.sources import search
+
+    rows = [{"NCTId": "N1", "BriefTitle": t, "Phase": p} for t, p in (("b", "x"), ("a", "y"), ("a", "x"), ("c", None))]
+    for n in (1, 3):
+        found = search.trial_details(raw_rows(*rows, {"NCTId": "N2"}).repartition(n), "N1").collect()
+        assert [(r["BriefTitle"], r["Phase"]) for r in found] == [("a", "x")]
+    assert search.trial_details(raw_rows(*rows), "N3").count() == 0

@@ -54,3 +54,14 @@ def number_rows(written: DataFrame, name: str) -> DataFrame:
         .join(F.broadcast(offsets), "_part")
         .select((F.col("_offset") + F.col("_place") + 1).alias(name), *others)
     )
+
+
+def extend_keys(known: DataFrame, new_ids: DataFrame, key: str, name: str) -> DataFrame:
+    """A key map (key, name) with the new ids in it: known ids keep their number, new ones follow the
+    largest in key order. `known` is a stored map, `new_ids` a table written by place_in_order.
+
+    An id that is lost from a later load stays in the map, so it has its old number when it returns.
+    """
+    largest = known.agg(F.max(name)).first()[0] or 0
+    numbered = number_rows(new_ids.select(key, POSITION), name)
+    return known.select(key, name).unionByName(numbered.select(key, (F.col(name) + F.lit(largest)).alias(name)))

@@ -23,7 +23,7 @@ from trialmart.functions.categories import (
     status_has,
 )
 from trialmart.functions.dates import date_key, key_date
-from trialmart.operators.keys import number_rows
+from trialmart.operators.keys import POSITION, number_rows
 
 # Fixed value: origin written on every fact row.
 SOURCE_SYSTEM = "ClinicalTrials.gov"
@@ -78,9 +78,16 @@ def _flag(condition: Column) -> Column:
     return F.when(condition, 1).otherwise(0)
 
 
-def dim_sponsor(staged: DataFrame) -> DataFrame:
+def _keyed(staged: DataFrame, key: str, name: str, keys: DataFrame | None) -> DataFrame:
+    """Rows with their surrogate key: their number in key order, or the one a key map holds."""
+    if keys is None:
+        return number_rows(staged, name)
+    return staged.drop(POSITION).join(keys.select(key, name), key)
+
+
+def dim_sponsor(staged: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     kind = F.col("sponsor_type")
-    return number_rows(staged, "sponsor_key").select(
+    return _keyed(staged, "sponsor_id", "sponsor_key", keys).select(
         "sponsor_key",
         "sponsor_id",
         "sponsor_name",
@@ -97,10 +104,10 @@ def dim_sponsor(staged: DataFrame) -> DataFrame:
     )
 
 
-def dim_location(staged: DataFrame) -> DataFrame:
+def dim_location(staged: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     country = F.col("country")
     region = by_value(country, COUNTRY_REGIONS, "Other")
-    return number_rows(staged, "location_key").select(
+    return _keyed(staged, "location_id", "location_key", keys).select(
         "location_key",
         "location_id",
         "country",
@@ -116,9 +123,9 @@ def dim_location(staged: DataFrame) -> DataFrame:
     )
 
 
-def dim_condition(staged: DataFrame) -> DataFrame:
+def dim_condition(staged: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     group = F.col("condition_category")
-    return number_rows(staged, "condition_key").select(
+    return _keyed(staged, "condition_id", "condition_key", keys).select(
         "condition_key",
         "condition_id",
         "condition_name",
@@ -132,9 +139,9 @@ def dim_condition(staged: DataFrame) -> DataFrame:
     )
 
 
-def dim_intervention(staged: DataFrame) -> DataFrame:
+def dim_intervention(staged: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     name, kind = F.col("intervention_name"), F.col("intervention_type")
-    return number_rows(staged, "intervention_key").select(
+    return _keyed(staged, "intervention_id", "intervention_key", keys).select(
         "intervention_key",
         "intervention_id",
         "intervention_name",
@@ -191,15 +198,16 @@ def fact_trials(
     location: DataFrame,
     condition: DataFrame,
     intervention: DataFrame,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Trials with their own and their dimension keys; an id without a member gives a NULL key.
 
     `ids` holds the trial ids in key order, so that only ids are sampled and sorted to number
-    the trials. Dimensions are unique by id, so no row fans out. Each join reads an id and a key column
+    the trials; with a key map in `keys` they have the numbers of that. Dimensions are unique by id, so no row fans out. Each join reads an id and a key column
     only. Spark broadcasts a dimension whose measured size allows it; a larger one is
     shuffled, and adaptive execution splits the partition of an id that many trials share.
     """
-    joined = staged.join(number_rows(ids.drop("row_count"), "trial_key"), "nct_id")
+    joined = staged.join(_keyed(ids.drop("row_count"), "nct_id", "trial_key", keys), "nct_id")
     for dim, name in [
         (sponsor, "sponsor"),
         (location, "location"),

@@ -16,16 +16,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trialmart.functions import categories, dates, numbers, text
-from trialmart.operators import clean, quality, reports, staging, warehouse
+from trialmart.operators import clean, differences, quality, reports, staging, warehouse
 from trialmart.operators.warehouse import Star
-from trialmart.plans.refresh import Tables, refresh_warehouse, star_of
+from trialmart.plans.refresh import KEYED, Tables, open_warehouse, refresh_warehouse, star_of
 from trialmart.schemas import RAW_COLUMNS, RAW_TO_CLEAN
-from trialmart.sources import order_trials, search, storage, study_pages
+from trialmart.sources import order_trials, page_chains, search, storage, study_pages
 
 # Fixed day that "now" stands for, and fixed load time, so that results repeat.
 AS_OF = dt.date(2025, 6, 30)
 RUN_TS = dt.datetime(2025, 6, 30, 12, 0, 0)
 
+# A study with values of other kinds than expected.
+SPOILT_STUDY = '{"protocolSection":{"identificationModule":"gone","conditionsModule":{"conditions":"one"},"contactsLocationsModule":{"locations":["here"]}}}'
+
 _RAW_NAMES = {new: old for old, new in RAW_TO_CLEAN.items()}
 
 # What was built, by application, folder and name. One thread builds at a time.
@@ -83,6 +86,35 @@ def damaged_pages(spark: SparkSession, folder: str) -> DataFrame:
     return study_pages.flatten_studies(study_pages.read_study_pages(spark, path, one_page_per_file=False))
 
 
+def broken_chains(spark: SparkSession, folder: str) -> DataFrame:
+    """The landed pages of a folder with tokens, five to a chain, and with damage: pages that did not land, error
+    pages, empty pages, pages that landed twice, cycles, and studies that are no object or hold
+    values of other kinds."""
+
+    def build() -> str:
+        path = f"{_root(spark, folder)}/broken-chains"
+        k = F.col("page")
+        spoilt = F.concat(
+            F.when(k % 3 == 1, F.array(F.lit('"bad"'))).otherwise(F.array().cast("array<string>")),
+            F.when(k % 4 == 2, F.array(F.lit(SPOILT_STUDY))).otherwise(F.array().cast("array<string>")),
+        )
+        listed = F.array_join(F.concat(F.transform("studies", lambda x: F.to_json(x)), spoilt), ",")
+        cycle = F.floor(k / 5) % 6 == 5
+        own = F.when((k % 5 != 0) | cycle, F.concat(F.lit(',"pageToken":"t'), k, F.lit('"'))).otherwise("")
+        next_page = F.when(k % 5 < 4, k + 1).when(cycle, k - 4)
+        next_token = F.coalesce(F.concat(F.lit(',"nextPageToken":"t'), next_page, F.lit('"')), F.lit(""))
+        error = F.concat(F.lit('{"error":"quota","at":'), k, own, F.lit("}"))
+        empty = F.concat(F.lit('{"studies":[]'), own, next_token, F.lit("}"))
+        whole = F.concat(F.lit('{"studies":['), listed, F.lit("]"), own, next_token, F.lit("}"))
+        pages = order_trials.numbered_pages(order_trials.order_trials(spark, folder)).where(k % 11 != 3)
+        pages = pages.select("page", F.when(k % 7 == 2, error).when(k % 13 == 5, empty).otherwise(whole).alias("value"))
+        twice = F.explode(F.sequence(F.lit(1), F.when(k % 17 == 6, 2).otherwise(1)))
+        pages.select("value", twice.alias("n")).select("value").write.text(path)
+        return path
+
+    return study_pages.read_pages(spark, _once(spark, folder, "broken-chains", build), one_page_per_file=False)
+
+
 def _page_of(line: Column) -> Column:
     """Number of a landed page, from the first id in its text; pages without one count as 0."""
     first = F.nullif(F.regexp_extract(line, r'"nctId":"NCT0*(\d+)"', 1), F.lit(""))
@@ -411,7 +443,84 @@ def _table_exists(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# Over landed pages whose chains are broken.
+CHAIN_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "page_chains": page_chains.page_chains,
+    "chain_summary": lambda pages: page_chains.chain_summary(page_chains.page_chains(pages)),
+    "page_faults": lambda pages: study_pages.fault_counts(study_pages.studies_of(pages)),
+    "lost_values": lambda pages: study_pages.lost_values(study_pages.studies_of(pages)),
+    "chain_validation": lambda pages: study_pages.validation_summary(
+        study_pages.flatten_studies(study_pages.studies_of(pages))
+    ),
+}
+
+
+def _numbered(raw: DataFrame) -> DataFrame:
+    """The valid raw trials with an id, and the number in it."""
+    valid = search.valid_raw(raw).where("NCTId IS NOT NULL AND NCTId <> ''")
+    return valid.withColumn("number", F.col("NCTId").substr(4, 30).cast("bigint"))
+
+
+def two_loads(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """Two stored loads of the valid trials: every 13th id is missing from the first, every 17th from the
+    second, where every 19th has another title and every 23rd no phase."""
+
+    def build() -> tuple[str, str]:
+        rows = _numbered(raw_table(spark, folder))
+        new = rows.where("number % 17 <> 5").withColumn("BriefTitle", F.when(F.col("number") % 19 == 6, "Another title").otherwise(F.col("BriefTitle")))
+        new = new.withColumn("Phase", F.when(F.col("number") % 23 != 7, F.col("Phase")))
+        paths = f"{_root(spark, folder)}/load-1", f"{_root(spark, folder)}/load-2"
+        ranges = differences.ranges_for(rows.count())
+        for path, load in zip(paths, (rows.where("number % 13 <> 4"), new), strict=True):
+            differences.write_load(load.drop("number"), path, "NCTId", ranges)
+        return paths
+
+    return _once(spark, folder, "two-loads", build)
+
+
+def _load_changes(spark: SparkSession, folder: str) -> DataFrame:
+    return differences.load_changes(spark, *two_loads(spark, folder)).withColumnRenamed("id", "nct_id")
+
+
+def _followed_load(spark: SparkSession, folder: str) -> DataFrame:
+    """A table of the first load after it was brought to the second one."""
+    old, new = two_loads(spark, folder)
+    target = storage.new_run_folder(spark, "followed")
+    storage.write_table(differences.read_load(spark, old), target, partition_by=(differences.RANGE,))
+    differences.follow_load(spark, target, old, new)
+    return storage.read_table(spark, target, differences.read_load(spark, new).schema).drop(differences.RANGE)
+
+
+def second_run(spark: SparkSession, folder: str) -> Tables:
+    """The published tables after two refreshes: every fifth trial is missing from the first, every
+    seventh from the second."""
+
+    def build() -> Tables:
+        root = f"{_root(spark, folder)}/twice"
+        rows = _numbered(raw_table(spark, folder))
+        for day, kept in ((0, "number % 5 <> 0"), (1, "number % 7 <> 0")):
+            refresh_warehouse(spark, rows.where(kept).drop("number"), root, RUN_TS + dt.timedelta(days=day))
+        return open_warehouse(spark, root)
+
+    return _once(spark, folder, "second-run", build)
+
+
+def _kept_keys(tables: Tables) -> DataFrame:
+    """All keys of the second run."""
+    found = None
+    for name, (_, member, key) in KEYED.items():
+        rows = tables[name].select(F.lit(name).alias("table_name"), F.col(member).alias("member_id"), F.col(key).alias("member_key"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
 FOLDER_QUERIES: dict[str, Query] = {
+    "load_changes": _load_changes,
+    "load_change_counts": lambda spark, folder: differences.change_counts(spark, *two_loads(spark, folder)),
+    "changed_rows": lambda spark, folder: differences.changed_rows(spark, *two_loads(spark, folder), "NCTId"),
+    "followed_load": _followed_load,
+    "kept_keys": lambda spark, folder: _kept_keys(second_run(spark, folder)),
+    "second_fact": lambda spark, folder: second_run(spark, folder)["fact_trials"].select(*warehouse.FACT_COLUMNS),
     "write_extraction": _write_extraction,
     "table_exists": _table_exists,
     "saved_trials": _saved_trials,
@@ -430,6 +539,7 @@ def catalogue() -> dict[str, Query]:
         (raw_table, RAW_QUERIES),
         (flat_studies, PAGE_QUERIES),
         (damaged_pages, DAMAGED_QUERIES),
+        (broken_chains, CHAIN_QUERIES),
         (warehouse_tables, TABLE_QUERIES),
         (star, REPORTS),
     ]:

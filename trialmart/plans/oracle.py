@@ -122,7 +122,7 @@ def _with(needs: list[str], query: str) -> str:
 
     for name in needs:
         add(name)
-    return "WITH " + ",\n".join(f"{n} AS ({_CTES[n][1]})" for n in order) + "\n" + query
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({_CTES[n][1]})" for n in order) + "\n" + query
 
 
 _cte("raw_trials", [], ORDER_TRIALS_SQL.format(**{name: name for name in INPUTS}))
@@ -386,6 +386,91 @@ _cte(
     + " FROM lost_pages",
 )
 
+# Landed pages with tokens and damage: n is NULL on an error page.
+_cte(
+    "landed",
+    ["raw_trials"],
+    f"""SELECT k, copies, CASE WHEN kind = 'error' THEN NULL WHEN kind = 'empty' THEN 0 ELSE n + bad + spoilt END AS n,
+        good, bad, spoilt, kind, token AS page_token, CASE WHEN kind <> 'error' THEN next_token END AS next_token,
+        CASE WHEN token IS NOT NULL THEN 'page ' || token WHEN kind = 'error'
+             THEN 'only ' || sha256('{{"error":"quota","at":' || k || '}}')
+             WHEN next_token IS NOT NULL THEN 'first before ' || next_token END AS key
+        FROM (SELECT k, n, good, CASE WHEN k % 17 = 6 THEN 2 ELSE 1 END AS copies,
+            CASE WHEN kind = 'whole' AND k % 3 = 1 THEN 1 ELSE 0 END AS bad,
+            CASE WHEN kind = 'whole' AND k % 4 = 2 THEN 1 ELSE 0 END AS spoilt, kind,
+            CASE WHEN k % 5 <> 0 OR (k // 5) % 6 = 5 THEN 't' || k END AS token,
+            CASE WHEN k % 5 < 4 THEN 't' || (k + 1) WHEN (k // 5) % 6 = 5 THEN 't' || (k - 4) END AS next_token
+          FROM (SELECT k, n, good, CASE WHEN k % 7 = 2 THEN 'error' WHEN k % 13 = 5 THEN 'empty' ELSE 'whole' END AS kind
+            FROM (SELECT CAST(order_key // {STUDIES_PER_PAGE} AS BIGINT) AS k, count(*) AS n,
+                  count(*) FILTER (WHERE NCTId IS NOT NULL AND NCTId <> '') AS good
+                FROM raw_trials GROUP BY ALL) WHERE k % 11 <> 3))""",
+)
+_cte(
+    "page_walk",
+    ["landed"],
+    """SELECT key, key AS chain, CAST(0 AS BIGINT) AS step, false AS after_empty, next_token, n FROM landed l
+        WHERE NOT EXISTS (SELECT 1 FROM landed p WHERE p.next_token = l.page_token)
+        UNION ALL SELECT l.key, w.chain, w.step + 1, w.after_empty OR coalesce(w.n = 0, false), l.next_token, l.n
+        FROM page_walk w JOIN landed l ON l.page_token = w.next_token""",
+)
+_cte(
+    "page_states",
+    ["landed", "page_walk"],
+    """SELECT l.page_token, l.next_token, CAST(l.n AS BIGINT) AS n_studies, w.chain, w.step,
+        CASE WHEN c.i > 1 THEN 'copy' WHEN w.chain IS NULL THEN 'in or behind a cycle' WHEN w.chain LIKE 'page %' THEN 'after a gap'
+             WHEN w.after_empty THEN 'after an empty page' WHEN l.n IS NULL THEN 'no studies' WHEN l.n = 0 THEN 'empty' ELSE 'read' END AS state,
+        l.next_token IS NOT NULL AND NOT EXISTS (SELECT 1 FROM landed p WHERE p.page_token = l.next_token) AS next_missing
+        FROM landed l LEFT JOIN page_walk w USING (key) JOIN (VALUES (1), (2)) c(i) ON c.i <= l.copies""",
+)
+
+# Two loads of the valid trials, and what lies between them.
+_cte(
+    "numbered",
+    ["valid_raw"],
+    f"""SELECT {', '.join(RAW_COLUMNS)}, validation_status, CAST(substr(NCTId, 4) AS BIGINT) AS number
+        FROM valid_raw WHERE NCTId IS NOT NULL AND NCTId <> ''""",
+)
+_cte("load_1", ["numbered"], "SELECT * FROM numbered WHERE number % 13 <> 4")
+_cte(
+    "load_2",
+    ["numbered"],
+    """SELECT * REPLACE (CASE WHEN number % 19 = 6 THEN 'Another title' ELSE BriefTitle END AS BriefTitle,
+            CASE WHEN number % 23 <> 7 THEN Phase END AS Phase) FROM numbered WHERE number % 17 <> 5""",
+)
+_cte(
+    "between_loads",
+    ["load_1", "load_2"],
+    """SELECT coalesce(a.NCTId, b.NCTId) AS nct_id,
+        CASE WHEN a.NCTId IS NULL THEN 'inserted' WHEN b.NCTId IS NULL THEN 'deleted'
+             WHEN a.BriefTitle IS DISTINCT FROM b.BriefTitle OR a.Phase IS DISTINCT FROM b.Phase THEN 'changed' ELSE 'same' END AS change
+        FROM load_1 a FULL JOIN load_2 b ON a.NCTId = b.NCTId""",
+)
+# Members of the keyed tables with the trials that name them, and their keys after two refreshes.
+_cte(
+    "members",
+    ["numbered"],
+    f"""SELECT 'dim_sponsor' AS table_name, {SPONSOR_ID} AS member_id, number FROM numbered WHERE length(LeadSponsorName) > 0
+        UNION ALL SELECT 'dim_location', {LOCATION_ID}, number FROM numbered WHERE length(concat({', '.join(_PLACE)})) > 0
+        UNION ALL SELECT 'dim_condition', {_member_id('Condition', 'COND_')}, number FROM numbered
+        UNION ALL SELECT 'dim_intervention', {_member_id('InterventionName', 'INT_')}, number FROM numbered
+        UNION ALL SELECT 'fact_trials', NCTId, number FROM numbered""",
+)
+_cte(
+    "first_keys",
+    ["members"],
+    """SELECT table_name, member_id, row_number() OVER (PARTITION BY table_name ORDER BY member_id) AS member_key
+        FROM (SELECT DISTINCT table_name, member_id FROM members WHERE number % 5 <> 0)""",
+)
+_cte(
+    "kept_keys",
+    ["members", "first_keys"],
+    """SELECT table_name, member_id, coalesce(member_key, largest + row_number() OVER (PARTITION BY table_name, member_key IS NULL ORDER BY member_id)) AS member_key
+        FROM (SELECT DISTINCT table_name, member_id FROM members WHERE number % 7 <> 0)
+        LEFT JOIN first_keys USING (table_name, member_id)
+        JOIN (SELECT table_name, max(member_key) AS largest FROM first_keys GROUP BY table_name) USING (table_name)""",
+)
+_cte("second_trials", ["numbered"], _staged_trials("(SELECT * FROM numbered WHERE number % 7 <> 0)"))
+
 
 # ---- Statements -------------------------------------------------------------------------------
 
@@ -555,7 +640,25 @@ def _page_statements() -> dict[str, str]:
         "damaged_invalid": f"SELECT {', '.join(RAW_COLUMNS)} FROM damaged_studies WHERE NOT ({kept})",
         "unreadable_pages": "SELECT page, true AS is_page FROM lost_pages",
     }
+    chains = {
+        "page_chains": "SELECT * FROM page_states",
+        "chain_summary": """SELECT state, count(*) AS pages, CAST(coalesce(sum(n_studies), 0) AS BIGINT) AS studies,
+            count(*) FILTER (WHERE next_missing) AS next_missing FROM page_states GROUP BY state""",
+        "page_faults": """SELECT 'page is no JSON' AS fault, CAST(0 AS BIGINT) AS row_count UNION ALL
+            SELECT 'page without studies', CAST(coalesce(sum(copies) FILTER (WHERE kind = 'error'), 0) AS BIGINT) FROM landed UNION ALL
+            SELECT 'study is no object', CAST(sum(copies * bad) AS BIGINT) FROM landed""",
+        "lost_values": """SELECT column_name, lost FROM (SELECT CAST(sum(copies * spoilt) AS BIGINT) AS lost FROM landed),
+            (VALUES ('NCTId'), ('Condition'), ('LocationCountry'), ('LocationState'), ('LocationCity'), ('LocationFacility')) v(column_name)
+            WHERE lost > 0""",
+        "chain_validation": """SELECT total_processed, valid_trials, total_processed - valid_trials AS invalid_trials, unreadable,
+            valid_trials::DOUBLE / total_processed * 100.0::DOUBLE AS validation_rate
+            FROM (SELECT CAST(sum(copies * coalesce(n, 1)) AS BIGINT) AS total_processed,
+                CAST(sum(copies * CASE WHEN kind = 'whole' THEN good ELSE 0 END) AS BIGINT) AS valid_trials,
+                CAST(sum(copies * CASE WHEN kind = 'error' THEN 1 ELSE bad END) AS BIGINT) AS unreadable FROM landed)""",
+    }
+    found |= chains
     needs = {name: ["damaged_studies", "lost_pages"] for name in damaged}
+    needs |= {name: ["page_states", "landed"] for name in chains}
     return {name: _with(needs.get(name, ["flat_studies"]), query) for name, query in (found | damaged).items()}
 
 
@@ -769,8 +872,40 @@ def _folder_statements() -> dict[str, str]:
     return {name: _with(needs.get(name, ["raw_trials"]), query) for name, query in found.items()}
 
 
+def _update_statements() -> dict[str, str]:
+    shown = ", ".join([*RAW_COLUMNS, "validation_status"])
+    kinds = ("sponsor", "location", "condition", "intervention")
+    joins = " ".join(
+        f"LEFT JOIN (SELECT member_id AS {d}_id, member_key AS {d}_key FROM kept_keys WHERE table_name = 'dim_{d}') USING ({d}_id)" for d in kinds
+    )
+    found = {
+        "load_changes": (["between_loads"], "SELECT * FROM between_loads WHERE change <> 'same'"),
+        "load_change_counts": (
+            ["between_loads"],
+            """SELECT change, count(nct_id) AS row_count FROM (VALUES ('inserted'), ('changed'), ('deleted'), ('same')) v(change)
+            LEFT JOIN between_loads USING (change) GROUP BY change""",
+        ),
+        "changed_rows": (
+            ["between_loads", "load_2"],
+            f"SELECT {shown} FROM load_2 WHERE NCTId IN (SELECT nct_id FROM between_loads WHERE change IN ('inserted', 'changed'))",
+        ),
+        "followed_load": (["load_2"], f"SELECT {shown} FROM load_2"),
+        "kept_keys": (["kept_keys"], "SELECT table_name, member_id, CAST(member_key AS BIGINT) AS member_key FROM kept_keys"),
+        "second_fact": (
+            ["second_trials", "kept_keys"],
+            f"""SELECT {', '.join(FACT_COLUMNS)} FROM (SELECT *, enrollment_count AS actual_enrollment,
+            {bit('enrollment_count > 0')} AS enrollment_target_met, {bit("status ILIKE '%completed%'")} AS is_completed,
+            {bit("status ILIKE '%terminated%'")} AS is_terminated, {bit("status ILIKE '%recruiting%'")} AS is_recruiting,
+            'ClinicalTrials.gov' AS source_system FROM second_trials {joins}
+            JOIN (SELECT member_id AS nct_id, member_key AS trial_key FROM kept_keys WHERE table_name = 'fact_trials') USING (nct_id))""",
+        ),
+    }
+    return {name: _with(needs, query) for name, (needs, query) in found.items()}
+
+
 def statements() -> dict[str, str]:
     return {
+        **_update_statements(),
         **_folder_statements(),
         **_raw_statements(),
         **_clean_statements(),

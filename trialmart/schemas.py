@@ -51,10 +51,10 @@ RAW = T.StructType(
     ]
 )
 
-# A landed page. The enrollment count stays a variant: text "12.0" is not a count, the
+# A study of a landed page. The enrollment count stays a variant: text "12.0" is not a count, the
 # number 12.0 is, and only a variant keeps the two apart.
-PAGE = """
-studies array<struct<protocolSection: struct<
+STUDY = """
+struct<protocolSection: struct<
   identificationModule: struct<nctId: string>,
   descriptionModule: struct<briefSummary: string, officialTitle: string>,
   sponsorCollaboratorsModule: struct<leadSponsor: struct<name: string, class: string>>,
@@ -70,7 +70,5 @@ studies array<struct<protocolSection: struct<
   contactsLocationsModule: struct<
     locations: array<struct<country: string, state: string, city: string, facility: string>>>,
   outcomesModule: struct<outcomes: array<struct<description: string>>>
->>>,
-nextPageToken string,
-_corrupt_record string
+>>
 """

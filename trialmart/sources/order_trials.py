@@ -100,7 +100,12 @@ def raw_trials(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def study_pages(trials: DataFrame) -> DataFrame:
-    """The trials as nested pages of at most STUDIES_PER_PAGE studies (one per order key).
+    """The trials as nested pages, see numbered_pages."""
+    return numbered_pages(trials).select("studies")
+
+
+def numbered_pages(trials: DataFrame) -> DataFrame:
+    """The trials as nested pages (page, studies) of at most STUDIES_PER_PAGE studies (one per order key).
 
     Enrollment is written the three ways pages carry it: text with thousands commas, a
     number with a fraction, and a whole number.
@@ -168,4 +173,4 @@ def study_pages(trials: DataFrame) -> DataFrame:
         F.floor(F.col("order_key") / STUDIES_PER_PAGE).alias("page"),
         F.struct(protocol.alias("protocolSection")).alias("study"),
     )
-    return studies.groupBy("page").agg(F.collect_list("study").alias("studies")).select("studies")
+    return studies.groupBy("page").agg(F.collect_list("study").alias("studies"))

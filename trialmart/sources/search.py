@@ -67,8 +67,9 @@ def recent_trials(trials: DataFrame, as_of: dt.date, days: int = 30) -> DataFram
 
 
 def trial_details(trials: DataFrame, nct_id: str) -> DataFrame:
-    """The trial with this id, or no row."""
-    return trials.filter(F.col("NCTId") == nct_id).limit(1)
+    """The trial with this id, or no row; of several, the one that sorts first by its columns in order."""
+    found = trials.filter(F.col("NCTId") == nct_id)
+    return found.orderBy(*[F.col(f"`{c}`") for c in trials.columns]).limit(1)
 
 
 def valid_raw(raw: DataFrame) -> DataFrame:

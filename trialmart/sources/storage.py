@@ -151,14 +151,29 @@ def published_run(spark: SparkSession, root: str) -> str | None:
     return log.agg(F.max_by("folder", F.struct("published_at", "folder"))).first()[0]
 
 
-def remove_old_runs(spark: SparkSession, root: str, keep: int) -> list[str]:
-    """Delete the folders of all published runs but the newest `keep` (one at least); returns
-    their names. Their log entries stay."""
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of any file system; False if it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def list_folders(spark: SparkSession, root: str) -> list[str]:
+    """Names of the folders directly below `root`."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in files.listStatus(path) if f.isDirectory()) if files.exists(path) else []
+
+
+def remove_old_runs(spark: SparkSession, root: str, keep: int, is_run: str = "run-") -> list[str]:
+    """Delete the folders of all published runs but the newest `keep` (one at least), and those
+    of runs that were never published and whose name sorts before that of the newest published one: they
+    failed. Returns the names of the folders that went; log entries stay.
+
+    Names of runs begin with `is_run` and the time they started, so a run that is still being built, which started
+    after the newest published one, is left alone.
+    """
     log = spark.read.schema(PUBLISHED).json(f"{root}/published")
     runs = [r[0] for r in log.orderBy(F.desc("published_at"), F.desc("folder")).select("folder").collect()]
-    removed = []
-    for folder in list(dict.fromkeys(runs))[max(1, keep) :]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{folder}")
-        if path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True):
-            removed.append(folder)
-    return removed
+    newest = list(dict.fromkeys(runs))
+    failed = [f for f in list_folders(spark, root) if f.startswith(is_run) and f not in runs and newest and f < newest[0]]
+    return [f for f in newest[max(1, keep) :] + failed if remove_folder(spark, f"{root}/{f}")]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from trialmart.functions.numbers import variant_count
 from trialmart.functions.text import strip_text
-from trialmart.schemas import PAGE, RAW_COLUMNS
+from trialmart.schemas import RAW_COLUMNS, STUDY
 
 # Fixed value: separator of multi-valued fields.
 LIST_SEPARATOR = "; "
@@ -44,29 +44,111 @@ STUDY_PATHS = {
 }
 
 REJECT_COLUMNS = ["unreadable", "source_file"]
+# What is wrong with a page or study that cannot be read.
+FAULTS = ["page is no JSON", "page without studies", "study is no object"]
 
 # Extraction metadata.
 DATA_SOURCE = "ClinicalTrials.gov API"
 VALID = "valid"
 
 
-def read_study_pages(spark: SparkSession, path: str, one_page_per_file: bool = True) -> DataFrame:
-    """One row per study in the landed pages below `path`: study, unreadable, source_file.
+def read_pages(spark: SparkSession, path: str, one_page_per_file: bool = True) -> DataFrame:
+    """One row per landed page below `path`: page (variant, NULL if it is no JSON), text, source_file.
 
-    A page that is no JSON gives one row without a study, with its text in `unreadable`. A page
-    that is JSON but holds a value of another kind than expected keeps its studies without
-    that value. With `one_page_per_file` a page may span lines, and a file is read by one task, so
-    it should hold no more than a task's memory; otherwise every line is a page, which lets
-    Spark split large files.
+    With `one_page_per_file` a page may span lines, and a file is read by one task, so it should
+    hold no more than a task's memory; otherwise every line is a page, which lets Spark split
+    large files. A file or line that holds a list gives a row per item. Blank ones are passed over.
     """
-    pages = spark.read.schema(PAGE).option("multiLine", one_page_per_file).json(path)
-    lost = F.col("studies").isNull() & F.col("_corrupt_record").isNotNull()
-    nothing = F.array(F.lit(None).cast(pages.schema["studies"].dataType.elementType))
-    return pages.select(
-        F.explode(F.when(lost, nothing).otherwise(F.col("studies"))).alias("study"),
-        F.when(lost, F.col("_corrupt_record")).alias("unreadable"),
+    texts = spark.read.text(path, wholetext=one_page_per_file)
+    texts = texts.select(
+        F.try_parse_json("value").alias("document"),
+        F.col("value").alias("text"),
         F.col("_metadata.file_path").alias("source_file"),
+    ).filter(strip_text(F.col("text")).isNotNull())
+    items = F.try_variant_get("document", "$", "array<variant>")
+    page = F.explode(F.coalesce(items, F.array("document"))).alias("page")
+    return texts.select(page, F.when(items.isNull(), F.col("text")).alias("text"), "source_file")
+
+
+def page_studies(page: Column) -> Column:
+    """The list of studies of a page, each as a variant; NULL for a page without such a list."""
+    return F.try_variant_get(page, "$.studies", "array<variant>")
+
+
+def _is_object(value: Column, path: str = "$") -> Column:
+    return F.try_variant_get(value, path, "map<string, variant>").isNotNull()
+
+
+def studies_of(pages: DataFrame) -> DataFrame:
+    """One row per study of pages: study, unreadable, source_file, fault, document.
+
+    Every study is read by itself. A page that is no JSON, a page without a list of studies (an
+    error message, for example) and a study that is no object give one row without a study each, with
+    its text in `unreadable` and one of FAULTS; a page with an empty list gives none. A value of another
+    kind than expected is NULL in its study and is found again in `document`, see lost_values.
+    """
+    studies = page_studies(F.col("page"))
+    fault = F.when(F.col("page").isNull(), FAULTS[0]).when(studies.isNull(), FAULTS[1])
+    nothing = F.array(F.lit(None).cast("variant"))
+    rows = pages.select(
+        fault.alias("page_fault"),
+        F.explode(F.when(fault.isNotNull(), nothing).otherwise(studies)).alias("document"),
+        F.coalesce(F.col("text"), F.to_json("page")).alias("page_text"),
+        "source_file",
     )
+    fault = F.coalesce(F.col("page_fault"), F.when(~_is_object(F.col("document")), FAULTS[2]))
+    bad_text = F.coalesce(F.when(F.col("page_fault").isNotNull(), F.col("page_text")), F.to_json("document"), F.lit("null"))
+    return rows.select(
+        F.when(fault.isNull(), F.try_variant_get("document", "$", STUDY)).alias("study"),
+        F.when(fault.isNotNull(), bad_text).alias("unreadable"),
+        "source_file",
+        fault.alias("fault"),
+        "document",
+    )
+
+
+def read_study_pages(spark: SparkSession, path: str, one_page_per_file: bool = True) -> DataFrame:
+    """One row per study in the landed pages below `path`, see read_pages and studies_of."""
+    return studies_of(read_pages(spark, path, one_page_per_file))
+
+
+def fault_counts(studies: DataFrame) -> DataFrame:
+    """How many pages and studies could not be read, by fault (one row for each of FAULTS)."""
+    counts = studies.agg(*[F.count_if(F.col("fault") == name).alias(name) for name in FAULTS])
+    pairs = F.array(*[F.struct(F.lit(name).alias("fault"), F.col(f"`{name}`").alias("row_count")) for name in FAULTS])
+    return counts.select(F.inline(pairs))
+
+
+def lost_values(studies: DataFrame) -> DataFrame:
+    """Per raw column, the studies that hold a value for it of another kind than expected, or that
+    hold something else in place of a module on the way to it. Columns without any are not listed."""
+    document = F.col("document")
+
+    def lost(path: str | tuple[str, str | None]) -> Column:
+        place = path if isinstance(path, str) else path[0]
+        steps = ["$", *(f"$.{part}" for part in _prefixes(f"protocolSection.{place}"))]
+        there = [F.try_variant_get(document, step, "variant") for step in steps]
+        other = [there[i].isNotNull() & ~F.is_variant_null(there[i]) for i in range(len(steps))]
+        wrong = [other[i] & ~_is_object(document, steps[i]) for i in range(len(steps) - 1)]
+        if isinstance(path, tuple):
+            items = F.try_variant_get(document, steps[-1], "array<variant>")
+            bad = other[-1] & items.isNull()
+            if path[1] is not None:
+                bad = bad | F.exists(items, lambda x: x.isNotNull() & ~F.is_variant_null(x) & ~_is_object(x))
+            wrong.append(F.coalesce(bad, F.lit(False)))
+        any_wrong = wrong[0]
+        for each in wrong[1:]:
+            any_wrong = any_wrong | each
+        return F.count_if(F.coalesce(any_wrong, F.lit(False)) & F.col("fault").isNull())
+
+    counts = studies.agg(*[lost(path).alias(name) for name, path in STUDY_PATHS.items()])
+    pairs = F.array(*[F.struct(F.lit(name).alias("column_name"), F.col(name).alias("lost")) for name in STUDY_PATHS])
+    return counts.select(F.inline(pairs)).filter("lost > 0")
+
+
+def _prefixes(path: str) -> list[str]:
+    parts = path.split(".")
+    return [".".join(parts[: n + 1]) for n in range(len(parts))]
 
 
 def join_list(items: Column, field: str | None = None) -> Column:
@@ -81,7 +163,7 @@ def join_list(items: Column, field: str | None = None) -> Column:
 def flatten_studies(studies: DataFrame) -> DataFrame:
     """Project nested studies to the 24 raw columns.
 
-    The rejects of pages that cannot be read keep no value; their text and file stay in the last two
+    The rejects of pages and studies that cannot be read keep no value; their text and file stay in the last two
     columns, which are NULL for all other rows.
     """
     root = F.col("study.protocolSection")
@@ -134,7 +216,7 @@ def invalid_trials(flat: DataFrame) -> DataFrame:
 
 
 def unreadable_pages(flat: DataFrame) -> DataFrame:
-    """File and text of every landed page that could not be read."""
+    """File and text of every landed page, or study of one, that could not be read."""
     return flat.filter(F.col("unreadable").isNotNull()).select("source_file", "unreadable")
 
 
@@ -151,7 +233,7 @@ def summary_counts(flat: DataFrame) -> list[Column]:
 def validation_summary(flat: DataFrame) -> DataFrame:
     """Processed, valid and invalid counts with the valid share in percent (0 when empty).
 
-    An unreadable page counts as one invalid trial, and once more under `unreadable`.
+    An unreadable page or study counts as one invalid trial, and once more under `unreadable`.
     """
     return summary_of(flat.agg(*summary_counts(flat)))
 
