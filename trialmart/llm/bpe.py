@@ -14,14 +14,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialmart.llm.common import worker_cache
+from trialmart.llm.common import texts_of, worker_cache
 
 #: Bytes of pieces, ids and places that a worker remembers, at most; other pieces are encoded again.
 REMEMBERED = 48_000_000
 #: Pieces and bytes in one recursive query; a longer piece is alone.
 PIECES, BYTES = 20_000, 250_000
 #: Pieces of texts that a task works on at once, about.
-SLICE = 400_000
+SLICE = 200_000
 #: A piece of more bytes is first cut where no token can span.
 LONG = 1_000
 
@@ -349,7 +349,7 @@ def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = True) -> D
     in a round. Nothing is shuffled.
     """
     pieces = F.regexp_extract_all("text", F.lit("(?U)" + pattern), F.lit(0))
-    cut = docs.select(
+    cut = texts_of(docs).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(pieces, F.array().cast("array<string>")).alias("pieces")
     )
     kinds = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import sys
 import types
@@ -28,6 +29,30 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return storage.materialize(df, label)
 
 
+#: Rows and bytes of the Arrow batches that texts travel in, where the session names none.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+
+
+def texts_of(docs: DataFrame) -> DataFrame:
+    """The documents, after the session was told to send texts to Python in small batches: rows of
+    texts are long, and a batch is held in the JVM and in the worker at once. Settings of the session's
+    own stay."""
+    conf = docs.sparkSession.conf
+    for key, value in BATCH.items():
+        if conf.get(key, None) is None:
+            conf.set(key, value)
+    return docs
+
+
+def _give_back() -> None:
+    """Return free memory of this worker to the system, as far as its libraries can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the C library on Linux
+    if trim is not None:
+        trim(0)
+
+
 def text_slices(batch: pa.RecordBatch, column: str, characters: int):
     """Slices of a batch whose texts add up to about so many bytes; a longer text is alone."""
     texts = batch.column(column)
@@ -59,8 +84,7 @@ def worker_cache(owner: str) -> dict:
     held = sys.modules.setdefault("_trialmart_worker", types.ModuleType("_trialmart_worker")).__dict__
     if held.get("owner") != owner:
         held["owner"], held["kept"] = owner, {}
-        gc.collect()
-        pa.default_memory_pool().release_unused()
+        _give_back()
     return held["kept"]
 
 

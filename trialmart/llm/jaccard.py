@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialmart.llm.common import BROADCAST_ROWS, sorted_groups, stored, text_slices, worker_cache, words_of
+from trialmart.llm.common import BROADCAST_ROWS, sorted_groups, stored, text_slices, texts_of, worker_cache, words_of
 from trialmart.llm.components import connected_components
 
 #: Shingles held to be frequent, at most; they only decide the order within a set.
@@ -24,6 +24,8 @@ LEADER_ROUNDS = 1
 CLUSTER_BLOCK = 128
 #: Bytes of text that a task works on at once.
 SLICE = 1 << 22
+#: Shingles of texts that are searched together for frequent ones, about.
+TOGETHER = 4_000_000
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
@@ -60,19 +62,26 @@ def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _repeated(width: int):
-    """Shingles that two texts of a batch share, with the number of texts."""
+    """Shingles that two texts of about TOGETHER shingles share, with the number of texts."""
+
+    def shared(parts: list[np.ndarray]) -> pa.RecordBatch:
+        h = np.concatenate(parts)
+        parts.clear()
+        h.sort()
+        again = np.flatnonzero(h[1:] == h[:-1])  # one entry for each text but the first
+        found, times = np.unique(h[again], return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(found), pa.array(times + 1)], ["h", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_cache("jaccard")
+        parts: list[np.ndarray] = []
         for batch in batches:
-            parts = [shingle_sets(x.column("text"), width)[0] for x in text_slices(batch, "text", SLICE)]
-            if parts:
-                h = np.concatenate(parts)
-                del parts
-                h.sort()
-                again = np.flatnonzero(h[1:] == h[:-1])  # one entry for each text but the first
-                found, times = np.unique(h[again], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(times + 1)], ["h", "n"])
+            for part in text_slices(batch, "text", SLICE):
+                parts.append(shingle_sets(part.column("text"), width)[0])
+                if sum(map(len, parts)) >= TOGETHER:
+                    yield shared(parts)
+        if parts:
+            yield shared(parts)
 
     return run
 
@@ -80,11 +89,11 @@ def _repeated(width: int):
 def frequent_shingles(docs: DataFrame, width: int, bound: int) -> np.ndarray:
     """The most frequent shingles, at most `bound`, the most frequent last.
 
-    Every text is read. A batch reports the shingles that several of its texts share, so one
+    Every text is read. A task reports the shingles that several of some thousands of its texts share, so one
     that is rare everywhere is not counted; which ones are listed changes the work of the join,
     never its result.
     """
-    counted = docs.select("text").mapInArrow(_repeated(width), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    counted = texts_of(docs).select("text").mapInArrow(_repeated(width), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     top = counted.where("n > 2").orderBy(F.desc("n"), "h").limit(bound).toArrow()
     return top.column("h").to_numpy()[::-1].copy()
 

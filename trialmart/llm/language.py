@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialmart.llm.common import BROADCAST_ROWS, stored, text_slices, worker_cache, words_of
+from trialmart.llm.common import BROADCAST_ROWS, stored, text_slices, texts_of, worker_cache, words_of
 from trialmart.llm.toxicity import in_fold
 
 #: Bounds of the labelled sample that the field is fitted on: SAMPLE_DOCS are shared among the languages,
@@ -278,7 +278,7 @@ def predict(docs: DataFrame, model: Field) -> DataFrame:
                 columns = [part.column("doc_id"), pa.array(names, pa.string()), pa.array(score), pa.array(counts), pa.array(odd)]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score", "n_words", "n_other"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts_of(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(run, "doc_id long, lang_pred string, score double, n_words long, n_other long")
 
 
@@ -296,4 +296,4 @@ def keep_determined(docs: DataFrame, model: Field, least: float = 0.5) -> DataFr
                 names, score, _, _ = _decided(model.value, part.column("text"))
                 yield part.filter(pa.array((names != UNDETERMINED) & (score >= least)))
 
-    return docs.mapInArrow(run, schema)
+    return texts_of(docs).mapInArrow(run, schema)

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialmart.llm.common import stored, text_slices, worker_cache
+from trialmart.llm.common import stored, text_slices, texts_of, worker_cache
 from trialmart.llm.jaccard import shingle_sets
 
 #: Bounds of the labelled sample that the model is fitted on.
@@ -283,7 +283,7 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2) ->
     order = F.xxhash64("doc_id"), F.col("doc_id")
     picked = rows.where("toxic = 1").orderBy(*order).limit(TOXIC_ROWS)
     picked = picked.unionByName(rows.where("toxic = 0").orderBy(*order).limit(CLEAN_ROWS))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts_of(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sample = texts.join(F.broadcast(picked), "doc_id").select("text", "toxic")
     sample = stored(sample.mapInArrow(_signatures, "text string, toxic int, sign binary"), "labelled")
     signs = sample.groupBy("sign").agg(F.count("*").alias("n")).orderBy("sign").toArrow()
@@ -357,7 +357,7 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
                 marks = pa.array((s >= THRESHOLD).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(s), marks], ["doc_id", "score", "predicted"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = texts_of(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return texts.mapInArrow(run, "doc_id long, score double, predicted int")
 
 
@@ -376,4 +376,4 @@ def keep_clean(docs: DataFrame, scorer: Scorer) -> DataFrame:
                 s = scorer.scores(scorer.features(part.column("text")))
                 yield part.filter(pa.array(s < THRESHOLD))
 
-    return docs.mapInArrow(run, schema)
+    return texts_of(docs).mapInArrow(run, schema)
