@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialmart.llm.common import texts_of, worker_cache
+from trialmart.llm.common import texts_of, tidy, worker_cache
 
 #: Bytes of pieces, ids and places that a worker remembers, at most; other pieces are encoded again.
 REMEMBERED = 48_000_000
@@ -353,7 +353,7 @@ def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = True) -> D
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(pieces, F.array().cast("array<string>")).alias("pieces")
     )
     kinds = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return cut.mapInArrow(_encoded(path, with_ids), kinds)
+    return cut.mapInArrow(tidy(_encoded(path, with_ids)), kinds)
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialmart.llm.common import BROADCAST_ROWS, sorted_groups, stored, text_slices, texts_of, worker_cache, words_of
+from trialmart.llm.common import BROADCAST_ROWS, sorted_groups, stored, text_slices, texts_of, tidy, worker_cache, words_of
 from trialmart.llm.components import connected_components
 
 #: Shingles held to be frequent, at most; they only decide the order within a set.
@@ -93,7 +93,7 @@ def frequent_shingles(docs: DataFrame, width: int, bound: int) -> np.ndarray:
     that is rare everywhere is not counted; which ones are listed changes the work of the join,
     never its result.
     """
-    counted = texts_of(docs).select("text").mapInArrow(_repeated(width), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    counted = texts_of(docs).select("text").mapInArrow(tidy(_repeated(width)), "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
     top = counted.where("n > 2").orderBy(F.desc("n"), "h").limit(bound).toArrow()
     return top.column("h").to_numpy()[::-1].copy()
 
@@ -230,7 +230,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, width, FREQUENT_BOUND))
     kinds = "doc_id long, n long, set_key binary, prefix_key binary, prefix array<long>"
-    sized = stored(docs.mapInArrow(_prefixes(width, percent, frequent), kinds), "prefixes")
+    sized = stored(docs.mapInArrow(tidy(_prefixes(width, percent, frequent)), kinds), "prefixes")
     held = sized.where("n > 0 AND doc_id IS NOT NULL")
 
     # Equal sets: one member stands for all. Equal size and prefix: one group.
@@ -259,12 +259,12 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         pairs = stored(pairs.select("a", "b"), "pairs")
         ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
         bits = spark.sparkContext.broadcast(_marks(ids))
-        sets = docs.where("doc_id IS NOT NULL").mapInArrow(_wanted_sets(width, bits), "doc_id long, shingles binary")
+        sets = docs.where("doc_id IS NOT NULL").mapInArrow(tidy(_wanted_sets(width, bits)), "doc_id long, shingles binary")
         sets = stored(sets, "shingles")
         left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
         right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-        return stored(both.mapInArrow(_verify(percent), "a long, b long, linked boolean"), "checked")
+        return stored(both.mapInArrow(tidy(_verify(percent)), "a long, b long, linked boolean"), "checked")
 
     checked = labels = nearest = None
     for k in range(LEADER_ROUNDS):
@@ -401,7 +401,7 @@ def _open_pairs(active: DataFrame, nearest: DataFrame, groups: DataFrame, percen
         "prefix",
     )
     both = both.repartition("home", "home2", "i", "j").sortWithinPartitions("home", "home2", "i", "j")
-    return both.mapInArrow(_compare_clusters(percent), "g long, g2 long").distinct()
+    return both.mapInArrow(tidy(_compare_clusters(percent)), "g long, g2 long").distinct()
 
 
 def _compare_clusters(percent: int):

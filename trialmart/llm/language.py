@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialmart.llm.common import BROADCAST_ROWS, stored, text_slices, texts_of, worker_cache, words_of
+from trialmart.llm.common import BROADCAST_ROWS, stored, text_slices, texts_of, tidy, worker_cache, words_of
 from trialmart.llm.toxicity import in_fold
 
 #: Bounds of the labelled sample that the field is fitted on: SAMPLE_DOCS are shared among the languages,
@@ -22,7 +22,7 @@ LEXICON_BOUND, SLOTS = 20_000, 1 << 17
 EPOCHS, RATE, DECAY = 40, 0.5, 1e-6
 
 #: Bytes of text that a task labels at once.
-SLICE = 1 << 22
+SLICE = 1 << 21
 
 UNDETERMINED = "und"
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
@@ -169,7 +169,7 @@ def learn(docs: DataFrame, folds: int = 3, fold: int = 1) -> Field:
     shares = F.broadcast(shares) if languages <= BROADCAST_ROWS else shares
     place = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1_000_000)) / 1_000_000.0
     sample = usable.join(shares, "lang").where(place < F.col("share"))
-    rows = sample.select("lang", "text").mapInArrow(_windows, "lang string, words string").toArrow().to_pylist()
+    rows = sample.select("lang", "text").mapInArrow(tidy(_windows), "lang string, words string").toArrow().to_pylist()
     return fit(sorted((r["lang"], r["words"]) for r in rows))
 
 
@@ -279,7 +279,7 @@ def predict(docs: DataFrame, model: Field) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang_pred", "score", "n_words", "n_other"])
 
     texts = texts_of(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, lang_pred string, score double, n_words long, n_other long")
+    return texts.mapInArrow(tidy(run), "doc_id long, lang_pred string, score double, n_words long, n_other long")
 
 
 def keep_determined(docs: DataFrame, model: Field, least: float = 0.5) -> DataFrame:
@@ -296,4 +296,4 @@ def keep_determined(docs: DataFrame, model: Field, least: float = 0.5) -> DataFr
                 names, score, _, _ = _decided(model.value, part.column("text"))
                 yield part.filter(pa.array((names != UNDETERMINED) & (score >= least)))
 
-    return texts_of(docs).mapInArrow(run, schema)
+    return texts_of(docs).mapInArrow(tidy(run), schema)

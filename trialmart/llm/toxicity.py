@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialmart.llm.common import stored, text_slices, texts_of, worker_cache
+from trialmart.llm.common import stored, text_slices, texts_of, tidy, worker_cache
 from trialmart.llm.jaccard import shingle_sets
 
 #: Bounds of the labelled sample that the model is fitted on.
@@ -27,7 +27,7 @@ THRESHOLD = 0.3
 #: Hash functions of a sampled text's signature, which tells near copies among at most TOXIC_ROWS + CLEAN_ROWS texts.
 SIGNATURE = 64
 #: Bytes of text that a task scores at once.
-SLICE = 1 << 22
+SLICE = 1 << 21
 
 # Words that the grammar starts from, in the four languages of the corpus.
 SEED_INSULTS = "idiot moron stupid loser scum worthless pathetic disgusting trottel abschaum crétin ordure imbécil basura".split()
@@ -285,7 +285,7 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2) ->
     picked = picked.unionByName(rows.where("toxic = 0").orderBy(*order).limit(CLEAN_ROWS))
     texts = texts_of(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sample = texts.join(F.broadcast(picked), "doc_id").select("text", "toxic")
-    sample = stored(sample.mapInArrow(_signatures, "text string, toxic int, sign binary"), "labelled")
+    sample = stored(sample.mapInArrow(tidy(_signatures), "text string, toxic int, sign binary"), "labelled")
     signs = sample.groupBy("sign").agg(F.count("*").alias("n")).orderBy("sign").toArrow()
     if not signs.num_rows:
         return Scorer(sorted(SEED_INSULTS), PRIOR, BASE)
@@ -301,7 +301,7 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2) ->
     for _ in range(STEM_ROUNDS):  # later rounds look only at toxic texts that nothing matches yet
         seen = Scorer(sorted(stems), PRIOR, BASE)
         open_rows = sample.mapInArrow(_unmatched(seen), "text string, toxic int, share double")
-        terms = open_rows.mapInArrow(_terms, "term string, toxic double, clean double")
+        terms = open_rows.mapInArrow(tidy(_terms), "term string, toxic double, clean double")
         terms = terms.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         left = open_rows.where("toxic = 1").agg(F.sum("share")).first()[0]
         if not left:
@@ -321,7 +321,7 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2) ->
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), len(KINDS)).cast(pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([lists, part.column("toxic"), part.column("share")], ["x", "toxic", "share"])
 
-    got = sample.mapInArrow(matched, "x array<double>, toxic int, share double").toArrow()
+    got = sample.mapInArrow(tidy(matched), "x array<double>, toxic int, share double").toArrow()
     x = np.array(got.column("x").to_pylist(), float)
     y, share = got.column("toxic").to_numpy().astype(float), got.column("share").to_numpy()
     order_rows = np.lexsort((*x.T, y, share))  # the order of arrival must not show in the sums
@@ -358,7 +358,7 @@ def score(docs: DataFrame, scorer: Scorer) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(s), marks], ["doc_id", "score", "predicted"])
 
     texts = texts_of(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, score double, predicted int")
+    return texts.mapInArrow(tidy(run), "doc_id long, score double, predicted int")
 
 
 def keep_clean(docs: DataFrame, scorer: Scorer) -> DataFrame:
@@ -376,4 +376,4 @@ def keep_clean(docs: DataFrame, scorer: Scorer) -> DataFrame:
                 s = scorer.scores(scorer.features(part.column("text")))
                 yield part.filter(pa.array(s < THRESHOLD))
 
-    return texts_of(docs).mapInArrow(run, schema)
+    return texts_of(docs).mapInArrow(tidy(run), schema)
