@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trialmart.functions import categories, dates, numbers, text
-from trialmart.operators import clean, differences, quality, reports, staging, warehouse
+from trialmart.operators import bitmaps, clean, differences, quality, reports, staging, text_index, warehouse
 from trialmart.operators.warehouse import Star
 from trialmart.plans.refresh import KEYED, Tables, open_warehouse, refresh_warehouse, star_of
 from trialmart.schemas import RAW_COLUMNS, RAW_TO_CLEAN
@@ -514,7 +514,41 @@ def _kept_keys(tables: Tables) -> DataFrame:
     return found
 
 
+def search_folder(spark: SparkSession, folder: str) -> str:
+    """Where the raw trials of a folder are stored with a trigram index."""
+
+    def build() -> str:
+        path = f"{_root(spark, folder)}/search"
+        text_index.build_index(raw_table(spark, folder), path)
+        return path
+
+    return _once(spark, folder, "search", build)
+
+
+def day_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Stored bitmaps and sums by day."""
+
+    def build() -> tuple[DataFrame, DataFrame]:
+        facts = star(spark, folder)
+        return storage.materialize(bitmaps.day_bitmaps(facts), "day-bitmaps"), storage.materialize(bitmaps.day_sums(facts), "day-sums")
+
+    return _once(spark, folder, "days", build)
+
+
+# First and last day of the spans that reports are asked for.
+SPAN = (20210301, 20220831)
+
+DAY_QUERIES = {
+    "bitmap_metrics": lambda days: bitmaps.dash_metrics(*days),
+    "bitmap_categories": lambda days: bitmaps.condition_category(*days),
+    "bitmap_interventions": lambda days: bitmaps.intervention_types(*days),
+    "span_metrics": lambda days: bitmaps.dash_metrics(*days, *SPAN),
+    "span_categories": lambda days: bitmaps.condition_category(*days, *SPAN),
+    "span_interventions": lambda days: bitmaps.intervention_types(*days, *SPAN),
+}
+
 FOLDER_QUERIES: dict[str, Query] = {
+    "search_index": lambda spark, folder: text_index.search_index(spark, search_folder(spark, folder), **SEARCH),
     "load_changes": _load_changes,
     "load_change_counts": lambda spark, folder: differences.change_counts(spark, *two_loads(spark, folder)),
     "changed_rows": lambda spark, folder: differences.changed_rows(spark, *two_loads(spark, folder), "NCTId"),
@@ -542,6 +576,7 @@ def catalogue() -> dict[str, Query]:
         (broken_chains, CHAIN_QUERIES),
         (warehouse_tables, TABLE_QUERIES),
         (star, REPORTS),
+        (day_tables, DAY_QUERIES),
     ]:
         for name, build in group.items():
             found[name] = lambda spark, folder, s=source, b=build: b(s(spark, folder))

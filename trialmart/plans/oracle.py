@@ -10,7 +10,7 @@ from trialmart.functions import categories as cat
 from trialmart.functions.text import EMAIL_FORM, SPONSOR_SPELLINGS
 from trialmart.operators.clean import TEXT_COLUMNS
 from trialmart.operators.warehouse import FACT_COLUMNS
-from trialmart.plans.catalog import AS_OF, CRITERIA, DETAIL_ID, RUN_TS, SEARCH
+from trialmart.plans.catalog import AS_OF, CRITERIA, DETAIL_ID, RUN_TS, SEARCH, SPAN
 from trialmart.plans.refresh import JOB, STEP_NAMES
 from trialmart.schemas import RAW_COLUMNS, RAW_TO_CLEAN
 from trialmart.sources.order_trials import INPUTS, ORDER_TRIALS_SQL, STUDIES_PER_PAGE
@@ -569,6 +569,7 @@ def _raw_statements() -> dict[str, str]:
     found["stage_repeats"] = _with(
         ["valid_repeats"], _first("nct_id", columns.split(), _staged_trials("valid_repeats"))
     )
+    found["search_index"] = found["search_trials"]
     return found
 
 
@@ -847,6 +848,10 @@ def _report_statements() -> dict[str, str]:
         "temporal_series": f"""SELECT * EXCLUDE (month_number), make_date(year, month_number, 1) AS date
             FROM ({_monthly('trial_count avg_enrollment', '2020')})""",
     }
+    span = f"start_date_key BETWEEN {SPAN[0]} AND {SPAN[1]}"
+    for report, name in (("dash_metrics", "metrics"), ("condition_category", "categories"), ("intervention_types", "interventions")):
+        found[f"bitmap_{name}"] = found[report]
+        found[f"span_{name}"] = found[report].replace("WHERE ", f"WHERE {span} AND ", 1)
     for name, old, new in (("common_conditions", 20, 4), ("geo_distribution", 20, 7), ("readme_conditions", 20, 3)):
         found[f"top_{name}"] = found[name].replace(f"LIMIT {old}", f"LIMIT {new}")
     return {name: _with(["wide"], query) for name, query in found.items()}
