@@ -87,23 +87,26 @@ def studies_of(pages: DataFrame) -> DataFrame:
     its text in `unreadable` and one of FAULTS; a page with an empty list gives none. A value of another
     kind than expected is NULL in its study and is found again in `document`, see lost_values.
     """
-    studies = page_studies(F.col("page"))
-    fault = F.when(F.col("page").isNull(), FAULTS[0]).when(studies.isNull(), FAULTS[1])
-    nothing = F.array(F.lit(None).cast("variant"))
-    rows = pages.select(
-        fault.alias("page_fault"),
-        F.explode(F.when(fault.isNotNull(), nothing).otherwise(studies)).alias("document"),
-        F.coalesce(F.col("text"), F.to_json("page")).alias("page_text"),
-        "source_file",
-    )
-    fault = F.coalesce(F.col("page_fault"), F.when(~_is_object(F.col("document")), FAULTS[2]))
-    bad_text = F.coalesce(F.when(F.col("page_fault").isNotNull(), F.col("page_text")), F.to_json("document"), F.lit("null"))
+    def item(fault: Column, text: Column, document: Column) -> Column:
+        study = F.try_variant_get(document, "$", STUDY)
+        return F.struct(fault.alias("page_fault"), text.alias("page_text"), document.alias("document"), study.alias("study"))
+
+    no_text, no_document = F.lit(None).cast("string"), F.lit(None).cast("variant")
+    read = F.transform(page_studies(F.col("page")), lambda x: item(no_text, no_text, x))
+    fault = F.when(F.col("page").isNull(), FAULTS[0]).otherwise(FAULTS[1])
+    lost = F.array(item(fault, F.coalesce(F.col("text"), F.to_json("page")), no_document))
+    # All of a page is worked out inside the list and taken out by inline, which lets no column be pushed
+    # through it: so a page and each of its studies are read once, and no study carries its page along.
+    rows = pages.select("source_file", F.inline(F.coalesce(read, lost)))
+    study, document = F.col("study"), F.col("document")
+    fault = F.coalesce(F.col("page_fault"), F.when(study.isNull(), FAULTS[2]))  # only an object is a struct
+    bad_text = F.coalesce(F.col("page_text"), F.to_json(document), F.lit("null"))
     return rows.select(
-        F.when(fault.isNull(), F.try_variant_get("document", "$", STUDY)).alias("study"),
+        study.alias("study"),
         F.when(fault.isNotNull(), bad_text).alias("unreadable"),
         "source_file",
         fault.alias("fault"),
-        "document",
+        document.alias("document"),
     )
 
 
