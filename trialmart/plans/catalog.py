@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trialmart.functions import categories, dates, numbers, text
-from trialmart.operators import bitmaps, clean, differences, quality, reports, staging, text_index, warehouse
+from trialmart.operators import bitmaps, clean, differences, quality, reports, staging, summaries, text_index, warehouse
 from trialmart.operators.warehouse import Star
 from trialmart.plans.refresh import KEYED, Tables, open_warehouse, refresh_warehouse, star_of
 from trialmart.schemas import RAW_COLUMNS, RAW_TO_CLEAN
@@ -535,6 +535,46 @@ def day_tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return _once(spark, folder, "days", build)
 
 
+def fact_loads(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """Two stored loads of the facts. The second holds them as they are; in the first every 13th is missing, every
+    11th has another condition, size and length, and every 17th stands a second time with extremes."""
+
+    def build() -> tuple[str, str]:
+        facts = summaries.with_measures(star(spark, folder).fact)
+        n = F.col("trial_key")
+        other = {"condition_key": F.col("condition_key") + 1, "enrollment_count": F.col("enrollment_count") + 1000, summaries.LASTING: F.lit(1)}
+        first = facts.where(n % 13 != 4).withColumns({c: F.when(n % 11 == 3, v).otherwise(F.col(c)) for c, v in other.items()})
+        extreme = {"nct_id": F.concat("nct_id", F.lit("X")), "enrollment_count": F.lit(-5), summaries.LASTING: F.lit(10**6)}
+        first = first.unionByName(facts.where(n % 17 == 5).withColumns({c: F.lit(v).cast(facts.schema[c].dataType) for c, v in extreme.items()}))
+        first = first.select(*[F.col(f.name).cast(f.dataType) for f in facts.schema])
+        paths = f"{_root(spark, folder)}/facts-1", f"{_root(spark, folder)}/facts-2"
+        ranges = differences.ranges_for(facts.count())
+        for path, load in zip(paths, (first, facts), strict=True):
+            differences.write_load(load, path, "nct_id", ranges)
+        return paths
+
+    return _once(spark, folder, "fact-loads", build)
+
+
+def kept_summaries(spark: SparkSession, folder: str) -> dict[tuple[str, ...], DataFrame]:
+    """The summaries of the first load of facts after they followed the second."""
+
+    def build() -> dict[tuple[str, ...], DataFrame]:
+        old, new = fact_loads(spark, folder)
+        moved = storage.materialize(summaries.moved_rows(spark, old, new, "nct_id"), "moved")
+        found = {}
+        for keys in (summaries.BY_CONDITION, summaries.BY_PLACE):
+            before = storage.materialize(summaries.summarise(differences.read_load(spark, old), keys), "summary")
+            found[keys] = summaries.follow_load(spark, before, moved, differences.read_load(spark, new), keys)
+        return found
+
+    return _once(spark, folder, "summaries", build)
+
+
+def _of_summary(report: Callable[..., DataFrame], keys: tuple[str, ...], *args) -> Query:
+    return lambda spark, folder: report(kept_summaries(spark, folder)[keys], star(spark, folder), *args)
+
+
 # First and last day of the spans that reports are asked for.
 SPAN = (20210301, 20220831)
 
@@ -548,6 +588,12 @@ DAY_QUERIES = {
 }
 
 FOLDER_QUERIES: dict[str, Query] = {
+    "kept_categories": _of_summary(summaries.category_rollup, summaries.BY_CONDITION),
+    "kept_countries": _of_summary(summaries.country_rollup, summaries.BY_PLACE),
+    "kept_months": _of_summary(summaries.temporal_series, summaries.BY_PLACE),
+    "kept_durations": _of_summary(summaries.duration_by_condition, summaries.BY_CONDITION),
+    "kept_span_durations": _of_summary(summaries.duration_by_condition, summaries.BY_CONDITION, *SPAN),
+    "kept_day_sums": _of_summary(lambda by_place, _: by_place, summaries.BY_PLACE),
     "search_index": lambda spark, folder: text_index.search_index(spark, search_folder(spark, folder), **SEARCH),
     "load_changes": _load_changes,
     "load_change_counts": lambda spark, folder: differences.change_counts(spark, *two_loads(spark, folder)),

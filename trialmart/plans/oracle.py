@@ -852,6 +852,15 @@ def _report_statements() -> dict[str, str]:
     for report, name in (("dash_metrics", "metrics"), ("condition_category", "categories"), ("intervention_types", "interventions")):
         found[f"bitmap_{name}"] = found[report]
         found[f"span_{name}"] = found[report].replace("WHERE ", f"WHERE {span} AND ", 1)
+    for report, name in (("category_rollup", "categories"), ("country_rollup", "countries"), ("temporal_series", "months"), ("duration_by_condition", "durations")):
+        found[f"kept_{name}"] = found[report]
+    found["kept_span_durations"] = found["duration_by_condition"].replace("WHERE ", f"WHERE {span} AND ", 1)
+    lasting = "CASE WHEN duration_days > 0 THEN duration_days END"
+    measures = {"enrollment_count": "enrollment_count", "duration_days": "duration_days", "lasting_days": lasting}
+    listed = ", ".join(
+        f"count({v}) AS {m}_n, CAST(sum({v}) AS BIGINT) AS {m}_sum, min({v}) AS {m}_min, max({v}) AS {m}_max" for m, v in measures.items()
+    )
+    found["kept_day_sums"] = f"SELECT location_key, start_date_key, count(*) AS n, {listed} FROM wide GROUP BY ALL"
     for name, old, new in (("common_conditions", 20, 4), ("geo_distribution", 20, 7), ("readme_conditions", 20, 3)):
         found[f"top_{name}"] = found[name].replace(f"LIMIT {old}", f"LIMIT {new}")
     return {name: _with(["wide"], query) for name, query in found.items()}
