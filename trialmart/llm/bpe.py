@@ -14,12 +14,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialmart.llm.common import texts_of, tidy, worker_cache
+from trialmart.llm.common import give_back, texts_of, tidy, worker_cache
 
 #: Bytes of pieces, ids and places that a worker remembers, at most; other pieces are encoded again.
 REMEMBERED = 48_000_000
-#: Pieces and bytes in one recursive query; a longer piece is alone.
-PIECES, BYTES = 20_000, 250_000
+#: Pieces and bytes in one recursive query, which holds the rows of all its rounds; a longer piece is alone.
+PIECES, BYTES = 20_000, 60_000
 #: Pieces of texts that a task works on at once, about.
 SLICE = 200_000
 #: A piece of more bytes is first cut where no token can span.
@@ -302,6 +302,7 @@ def _encoded(path: str, with_ids: bool):
                 part = batch.slice(start, stop - start)
                 start = stop
                 yield _digests(words, part, with_ids)
+            give_back()
 
     return run
 

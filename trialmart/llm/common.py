@@ -44,7 +44,7 @@ def texts_of(docs: DataFrame) -> DataFrame:
     return docs
 
 
-def _give_back() -> None:
+def give_back() -> None:
     """Return free memory of this worker to the system, as far as its libraries can."""
     gc.collect()
     pa.default_memory_pool().release_unused()
@@ -61,7 +61,7 @@ def tidy(run: Callable) -> Callable:
         try:
             yield from run(batches)
         finally:
-            _give_back()
+            give_back()
 
     return tidied
 
@@ -97,7 +97,7 @@ def worker_cache(owner: str) -> dict:
     held = sys.modules.setdefault("_trialmart_worker", types.ModuleType("_trialmart_worker")).__dict__
     if held.get("owner") != owner:
         held["owner"], held["kept"] = owner, {}
-        _give_back()
+        give_back()
     return held["kept"]
 
 
