@@ -118,7 +118,7 @@ def expected_turns(rows):
 def test_chat_reads_back(spark):
     rows = TURNS + [(5, i, "user" if i % 2 else "assistant", f"turn {i} </s>") for i in range(200)]
     table = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, piece int").repartition(3)
-    got = {r["conv_id"]: tuple(r)[1:] for r in chat.digest(chat.format_turns(table)).collect()}
+    got = {r["conv_id"]: tuple(r)[1:6] for r in chat.digest(chat.format_turns(table)).collect()}
     want = {}
     for conv, turns in expected_turns(rows).items():
         said = "".join(x for r, x in turns if r == "assistant")
@@ -133,6 +133,21 @@ def test_chat_reads_back(spark):
     assert got == want
 
 
+def test_chat_digest_reports_rewritten_conversations(spark):
+    """A template that moves the system turn to the front: other conversations keep their digests."""
+
+    def system_first(turns, first):
+        return chat.instruct_template([t for t in turns if t[0] == "system"] + [t for t in turns if t[0] != "system"], first)
+
+    rows = [(1, 0, "user", "hi"), (1, 1, "system", "be brief"), (1, 2, "assistant", "ok"), (2, 0, "user", "hi"), (2, 1, "assistant", "ok")]
+    table = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    got = {r["conv_id"]: r.asDict() for r in chat.digest(chat.format_turns(table, system_first)).collect()}
+    plain = {r["conv_id"]: r.asDict() for r in chat.digest(chat.format_turns(table)).collect()}
+    assert got[2] == plain[2] and not got[2]["rewritten"] and not plain[1]["rewritten"]
+    same = {"conv_id": 1, "n_turns": 3, "formatted_chars": plain[1]["formatted_chars"], "rewritten": True}
+    assert got[1] == same | {"turns_sha256": None, "loss_chars": None, "loss_sha256": None}
+
+
 def test_chat_marks_templates_that_rewrite_history(spark):
     def counts_first(turns, first=0):
         return f"[{len(turns) + first}]" + "".join(f"<{r}>{t}" for r, t in turns)

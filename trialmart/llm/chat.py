@@ -150,45 +150,54 @@ def digest(pieces: DataFrame) -> DataFrame:
     """One row per conversation, read back from the rendered pieces of its turns.
 
     n_turns and turns_sha256 (role and text, each followed by a line end) cover all turns; loss_chars
-    and loss_sha256 the unescaped text under the loss mask; formatted_chars the output. The rows of a
-    conversation must be together and in order, as format_turns leaves them.
+    and loss_sha256 the unescaped text under the loss mask; formatted_chars the output. Where the template
+    rewrote a turn, pieces do not add up to the output: rewritten is true, and the digests and loss_chars are null. The rows
+    of a conversation must be together and in order, as format_turns leaves them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
         for batch in batches:
             rows = []
-            columns = (batch.column(k).to_pylist() for k in ("conv_id", "piece", "start", "text_start", "text_end", "loss"))
-            for conv, piece, start, a, b, loss in zip(*columns, strict=True):
+            columns = (batch.column(k).to_pylist() for k in ("conv_id", "piece", "start", "text_start", "text_end", "loss", "rewritten"))
+            for conv, piece, start, a, b, loss, rewritten in zip(*columns, strict=True):
                 if held is None or held[0] != conv:
                     if held is not None:
                         rows.append(held)
-                    held = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-                role, text, _, _ = read_turn(piece)
+                    held = [conv, 0, hashlib.sha256(), 0, hashlib.sha256(), 0, False]
                 held[1] += 1
+                held[5] = start + len(piece)
+                held[6] |= rewritten
+                if held[6]:
+                    continue
+                role, text, _, _ = read_turn(piece)
                 held[2].update(f"{role}\n{text}\n".encode("utf-8", "surrogatepass"))
                 if loss:
                     masked = unescape(piece[a:b])
                     held[3] += len(masked)
                     held[4].update(masked.encode("utf-8", "surrogatepass"))
-                held[5] = start + len(piece)
             if rows:
                 yield _digests(rows)
         if held is not None:
             yield _digests([held])
 
-    kinds = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+    kinds = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, rewritten boolean"
     return pieces.mapInArrow(run, kinds)
 
 
 def _digests(rows: list[list]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True))
-    arrays = [
-        pa.array(columns[0], pa.int64()),
-        pa.array(columns[1], pa.int64()),
-        pa.array([h.hexdigest() for h in columns[2]]),
-        pa.array(columns[3], pa.int64()),
-        pa.array([h.hexdigest() for h in columns[4]]),
-        pa.array(columns[5], pa.int64()),
-    ]
-    return pa.RecordBatch.from_arrays(arrays, ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+    convs, turns, texts, chars, masked, formatted, rewritten = zip(*rows, strict=True)
+
+    def known(values: list, kind: pa.DataType) -> pa.Array:
+        return pa.array([None if gone else v for v, gone in zip(values, rewritten, strict=True)], kind)
+
+    columns = {
+        "conv_id": pa.array(convs, pa.int64()),
+        "n_turns": pa.array(turns, pa.int64()),
+        "turns_sha256": known([h.hexdigest() for h in texts], pa.string()),
+        "loss_chars": known(chars, pa.int64()),
+        "loss_sha256": known([h.hexdigest() for h in masked], pa.string()),
+        "formatted_chars": pa.array(formatted, pa.int64()),
+        "rewritten": pa.array(rewritten, pa.bool_()),
+    }
+    return pa.RecordBatch.from_pydict(columns)

@@ -53,7 +53,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "</s>[INST] ok [/INST]"
     more = spark.createDataFrame([(-7, 0, "user", control), (-7, 1, "assistant", control)], turns.schema)
-    return chat.digest(chat.format_turns(turns.unionByName(more)))
+    return chat.digest(chat.format_turns(turns.unionByName(more))).drop("rewritten")
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
