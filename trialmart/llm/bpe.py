@@ -21,7 +21,7 @@ REMEMBERED = 48_000_000
 #: Pieces and bytes in one recursive query, which holds the rows of all its rounds; a longer piece is alone.
 PIECES, BYTES = 20_000, 60_000
 #: Pieces of texts that a task works on at once, about.
-SLICE = 200_000
+SLICE = 800_000
 #: A piece of more bytes is first cut where no token can span.
 LONG = 1_000
 
@@ -105,8 +105,8 @@ def _as_text(token: bytes) -> str:
     return "".join(chr(256 + b) for b in token)
 
 
-def _as_bytes(text: str) -> bytes:
-    return (np.frombuffer(text.encode("utf-16-le"), np.uint16) - 256).astype(np.uint8).tobytes()
+def _as_bytes(text: str) -> np.ndarray:
+    return (np.frombuffer(text.encode("utf-16-le"), np.uint16) - 256).astype(np.uint8)
 
 
 class Coder:
@@ -171,59 +171,58 @@ class Coder:
             rows = after
         return rows.sort_by("p").column("t").to_numpy().astype(np.uint32)
 
-    def merge(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Token ids of pieces that are no tokens themselves."""
-        parts, sizes = [], []
-        for piece in pieces:
-            cut = self.cut(piece) if len(piece) > LONG else [piece]
-            parts += cut
-            sizes.append(len(cut))
-        if len(parts) == len(pieces):
-            return self.merge_parts(parts)
-        merged = self.merge_parts(parts)
-        ends = np.cumsum(sizes)
-        return [np.concatenate(merged[e - n : e]) for e, n in zip(ends, sizes, strict=True)]
-
-    def merge_parts(self, pieces: list[bytes]) -> list[np.ndarray]:
-        if any(len(x) > LONG for x in pieces):
-            short = iter(self.merge_parts([x for x in pieces if len(x) <= LONG]))
-            return [self.merge_long(x) if len(x) > LONG else next(short) for x in pieces]
-        out: list[np.ndarray] = []
-        begin = 0
-        while begin < len(pieces):
-            end, size = begin, 0
-            while end < len(pieces) and end - begin < PIECES and (end == begin or size + len(pieces[end]) <= BYTES):
-                size += len(pieces[end])
-                end += 1
-            sizes = np.array([len(x) for x in pieces[begin:end]], np.int64)
-            code = np.frombuffer(b"".join(pieces[begin:end]), np.uint8)
-            ends = np.cumsum(sizes)
-            t = self.of_byte[code]
-            nx = np.append(t[1:], 0)
-            nx[ends - 1] = (1 << 31) - 1  # no token: joins with nothing
-            w = np.repeat(np.arange(len(sizes)), sizes)
-            p = np.arange(len(code)) - np.repeat(ends - sizes, sizes)
-            self.sql.register("start", pa.table({"w": w, "p": p, "t": t, "nx": nx}))
-            found = self.sql.sql(_ENCODE).to_arrow_table()
-            self.sql.unregister("start")
-            ids = found.column("t").to_numpy().astype(np.uint32)
-            out += np.split(ids, np.searchsorted(found.column("w").to_numpy(), np.arange(1, len(sizes))))
+    def merge(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of pieces that are no tokens themselves, end to end, and how many each has."""
+        cuts = [self.cut(piece) if len(piece) > LONG else [piece] for piece in pieces]
+        ids, counts = self.merge_parts([part for parts in cuts for part in parts])
+        if len(counts) > len(pieces):
+            sizes = np.array([len(parts) for parts in cuts])
+            counts = np.add.reduceat(counts, np.cumsum(sizes) - sizes)
+        return ids, counts
+
+    def merge_parts(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Parts go in order of length: a query takes as many rounds as its longest part has merges."""
+        sizes = np.array([len(x) for x in parts], np.int64)
+        order = np.argsort(sizes, kind="stable")
+        ends = np.cumsum(sizes[order])
+        short = int(np.searchsorted(sizes[order], LONG, side="right"))
+        merged, begin = [(np.zeros(0, np.uint32), np.zeros(0, np.int64))], 0
+        while begin < short:
+            before = int(ends[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends[:short], before + BYTES, side="right")))
+            end = min(end, begin + PIECES)
+            merged.append(self.merge_query([parts[i] for i in order[begin:end]], sizes[order[begin:end]]))
             begin = end
-        return out
-
-    def decode(self, ids: list[np.ndarray]) -> list[bytes]:
-        """Bytes of sequences of token ids, put together in order of position."""
-        sizes = np.array([len(x) for x in ids], np.int64)
+        for i in order[short:]:
+            ids = self.merge_long(parts[i])
+            merged.append((ids, np.array([len(ids)])))
+        ids, counts = (np.concatenate(x) for x in zip(*merged, strict=True))
+        back = np.argsort(order)
+        return _gather(ids, (np.cumsum(counts) - counts)[back], counts[back]), counts[back]
+
+    def merge_query(self, parts: list[bytes], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ends = np.cumsum(sizes)
+        t = self.of_byte[np.frombuffer(b"".join(parts), np.uint8)]
+        nx = np.append(t[1:], 0)
+        nx[ends - 1] = (1 << 31) - 1  # no token: joins with nothing
         w = np.repeat(np.arange(len(sizes)), sizes)
-        p = np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        t = np.concatenate([*ids, np.zeros(0, np.uint32)]).astype(np.int64)
-        self.sql.register("tokens", pa.table({"w": w, "p": p, "t": t}))
+        p = np.arange(len(t)) - np.repeat(ends - sizes, sizes)
+        self.sql.register("start", pa.table({"w": w, "p": p, "t": t, "nx": nx}))
+        found = self.sql.sql(_ENCODE).to_arrow_table()
+        self.sql.unregister("start")
+        counts = np.bincount(found.column("w").to_numpy(), minlength=len(sizes))
+        return found.column("t").to_numpy().astype(np.uint32), counts
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of sequences of token ids, put together in order of position, end to end, and how many each has."""
+        w = np.repeat(np.arange(len(counts)), counts)
+        p = np.arange(len(w)) - np.repeat(np.cumsum(counts) - counts, counts)
+        self.sql.register("tokens", pa.table({"w": w, "p": p, "t": ids.astype(np.int64)}))
         found = self.sql.sql(_DECODE).to_arrow_table()
         self.sql.unregister("tokens")
-        out = [b""] * len(ids)
-        for i, text in zip(found.column("w").to_pylist(), found.column("bytes").to_pylist(), strict=True):
-            out[i] = _as_bytes(text)
-        return out
+        sizes = np.zeros(len(counts), np.int64)
+        sizes[found.column("w").to_numpy()] = pc.utf8_length(found.column("bytes")).to_numpy()
+        return _as_bytes("".join(found.column("bytes").to_pylist())), sizes
 
     def pieces(self, pieces: pa.Array) -> tuple[Pieces, np.ndarray]:
         """Token ids of distinct pieces and the bytes that they decode to, and the place of each piece among them."""
@@ -235,10 +234,13 @@ class Coder:
         for begin in range(0, len(new), PIECES):
             part = new.slice(begin, PIECES)
             raw = [x.encode("utf-8", "surrogatepass") for x in part.to_pylist()]
-            whole = [self.ranks.get(x) for x in raw]
-            merged = iter(self.merge([x for x, r in zip(raw, whole, strict=True) if r is None]))
-            ids = [next(merged) if r is None else np.array([r], np.uint32) for r in whole]
-            held.append(Pieces.of(part, ids, self.decode(ids)))
+            rank = np.array([self.ranks.get(x, -1) for x in raw], np.int64)
+            merged, n_merged = self.merge([x for x, r in zip(raw, rank.tolist(), strict=True) if r < 0])
+            n_ids = np.ones(len(raw), np.int64)
+            n_ids[rank < 0] = n_merged
+            ids = np.repeat(rank, n_ids).astype(np.uint32)
+            ids[np.repeat(rank < 0, n_ids)] = merged
+            held.append(Pieces(part, ids, n_ids.astype(np.int32), *self.decode(ids, n_ids)))
         found = Pieces.joined(held)
         if found.size() <= REMEMBERED:
             self.known = found
@@ -255,14 +257,10 @@ class Pieces:
     bytes: np.ndarray
     n_bytes: np.ndarray
 
-    @staticmethod
-    def of(text: pa.Array, ids: list[np.ndarray], raw: list[bytes]) -> Pieces:
-        sizes = [np.array([len(x) for x in part], np.int32) for part in (ids, raw)]
-        return Pieces(text, np.concatenate([*ids, np.zeros(0, np.uint32)]), sizes[0], np.frombuffer(b"".join(raw), np.uint8), sizes[1])
-
     @staticmethod
     def none() -> Pieces:
-        return Pieces.of(pa.array([], pa.string()), [], [])
+        numbers = np.zeros(0, np.int32)
+        return Pieces(pa.array([], pa.string()), np.zeros(0, np.uint32), numbers, np.zeros(0, np.uint8), numbers)
 
     @staticmethod
     def joined(parts: list[Pieces]) -> Pieces:
@@ -366,6 +364,8 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
             for begin in range(0, batch.num_rows, 64):
                 part = batch.slice(begin, 64)
                 ids = [np.array(x or [], np.uint32) for x in part.column("ids").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(words.decode(ids), pa.binary())], ["doc_id", "bytes"])
+                raw, sizes = words.decode(np.concatenate(ids), np.array([len(x) for x in ids]))
+                texts = [x.tobytes() for x in np.split(raw, np.cumsum(sizes)[:-1])]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(texts, pa.binary())], ["doc_id", "bytes"])
 
     return encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids").mapInArrow(run, "doc_id long, bytes binary")
