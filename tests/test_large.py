@@ -5,6 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from trialmart.functions.text import has_text, strip_text
+from trialmart.operators import bitmaps, staging
 from trialmart.plans import catalog
 from trialmart.sources import order_trials
 
@@ -37,3 +38,22 @@ def test_has_text_is_what_strip_text_leaves(spark):
     odd = [None, "", " ", "\x1c\t  \n", " a ", " x", "{", "\x1f1\x1e"]
     rows = spark.createDataFrame([(t,) for t in odd], "t string").select(has_text(F.col("t")).alias("a"), strip_text(F.col("t")).isNotNull().alias("b"))
     assert all(bool(r["a"]) == r["b"] for r in rows.collect())
+
+
+def test_bitmaps_are_made_after_the_shuffle(spark, folder):
+    text = _plan(bitmaps.day_bitmaps(catalog.star(spark, folder)))
+    parts = text.split("RepartitionByExpression")
+    assert len(parts) == 6 and "bitmap_construct_agg" not in parts[-1]
+    for part in parts[1:]:
+        assert "Distinct" in part or "Aggregate" in part.split("bitmap_construct_agg")[0]
+
+
+def test_only_repeated_trials_are_sorted(spark, raw_rows):
+    rows = [{"NCTId": f"N{i}", "BriefTitle": t} for i, t in ((1, "b"), (2, "x"), (1, "a"), (3, None), (1, None), (3, "z"))]
+    raw = raw_rows(*rows, {"NCTId": None}, {"NCTId": "N9", "validation_status": "invalid"}, {"NCTId": ""})
+    once = raw_rows(*rows[1:3], {"NCTId": None})
+    for table in (raw, once):
+        kept = staging.stage_trials(table, staging.trial_ids(table))
+        assert kept.columns == staging.stage_trials(table).columns
+        assert sorted(map(str, kept.collect())) == sorted(map(str, staging.stage_trials(table).collect()))
+    assert "Window" not in _plan(kept) and "Join" not in _plan(kept)

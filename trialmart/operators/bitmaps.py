@@ -32,16 +32,19 @@ def _labelled(star: Star) -> DataFrame:
 
 def day_bitmaps(star: Star) -> DataFrame:
     """One row (report, label, start_date_key, column_name, bucket, bits) per 32,768 keys of a column that
-    occur on a day under a label; a day without a date is NULL. Rows of several loads may be put together: bits are joined by OR."""
+    occur on a day under a label; a day without a date is NULL. Rows of several loads may be put together: bits are joined by OR.
+
+    Distinct keys are found before there are bitmaps and dealt by group, so that what is shuffled and sorted are a few bytes
+    a key, never bitmaps of 4 KB that hold a bit or two of each task's share."""
     facts = _labelled(star)
     parts = []
     for report, columns in COUNTED.items():
         for column in columns:
             rows = facts.where(F.col(column).isNotNull() & F.col(report).isNotNull())
-            parts.append(
-                rows.groupBy(F.lit(report).alias("report"), F.col(report).alias("label"), "start_date_key", F.lit(column).alias("column_name"), F.bitmap_bucket_number(F.col(column)).alias("bucket"))
-                .agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col(column))).alias("bits"))
-            )
+            keys = rows.select(F.col(report).alias("label"), "start_date_key", F.col(column).alias("key")).distinct()
+            keys = keys.withColumn("bucket", F.bitmap_bucket_number(F.col("key"))).repartition("label", "start_date_key", "bucket")
+            bits = keys.groupBy("label", "start_date_key", "bucket").agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("key"))).alias("bits"))
+            parts.append(bits.select(F.lit(report).alias("report"), "label", "start_date_key", F.lit(column).alias("column_name"), "bucket", "bits"))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

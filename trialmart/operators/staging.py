@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from trialmart.functions.categories import condition_group, sponsor_country, sponsor_type
 from trialmart.functions.dates import date_key, duration_days, parse_date
 from trialmart.functions.text import or_unknown, trim_or_null
-from trialmart.operators.keys import first_by_key
+from trialmart.operators.keys import MOST_BROADCAST, first_by_key
 from trialmart.sources.search import valid_raw
 
 # Score given to every staged trial, and the three completeness steps.
@@ -130,14 +130,30 @@ def repeated_trials(ids: DataFrame) -> DataFrame:
     return ids.filter("row_count > 1").select("nct_id", "row_count")
 
 
-def stage_trials(raw: DataFrame) -> DataFrame:
-    """One row per trial id with dimension ids, date keys, defaults and scores."""
+def stage_trials(raw: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """One row per trial id with dimension ids, date keys, defaults and scores.
+
+    With the stored `trial_ids` of the same rows only ids on several rows are shuffled and sorted to choose one.
+    """
+    if ids is None:
+        # Straight from the scan, so that each task sends one row of an id at most.
+        return first_by_key(_staged_rows(staged_ids(raw)), "nct_id")
+    several = repeated_trials(ids).select(F.col("nct_id").alias("NCTId"))
+    found = several.count()
+    if not found:
+        return _staged_rows(staged_ids(raw))
+    several = F.broadcast(several) if found <= MOST_BROADCAST else several
+    once, often = (staged_ids(raw).join(several, "NCTId", kind) for kind in ("left_anti", "left_semi"))
+    return _staged_rows(once).unionByName(first_by_key(_staged_rows(often), "nct_id"))
+
+
+def _staged_rows(rows: DataFrame) -> DataFrame:
+    """Every valid row as a staged trial."""
     start, end = F.col("start_date"), F.col("end_date")
     named = [F.col(c).isNotNull() for c in ("BriefTitle", "LeadSponsorName", "Condition")]
     count = F.col("EnrollmentCount")
-    rows = (
-        staged_ids(raw)
-        .withColumns(
+    return (
+        rows.withColumns(
             {
                 "start_date": parse_date(F.col("StudyStartDate")),
                 "end_date": parse_date(F.col("StudyCompletionDate")),
@@ -169,5 +185,3 @@ def stage_trials(raw: DataFrame) -> DataFrame:
             F.lit(STAGED_QUALITY).alias("data_quality_score"),
         )
     )
-    # Straight from the scan, so that each task sends one row of an id at most.
-    return first_by_key(rows, "nct_id")
