@@ -29,8 +29,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents go whose text is null or has no letter; a text in several languages stays with the one that
-    most of it is in. Repeated rows and null ids are decided row by row; without documents nothing is learned."""
-    return language.keep_determined(docs, language.learn(docs), least=0.0)
+    most of it is in. That language stands in `lang` from here on, whatever stood there, and is passed on with the token
+    ids. Repeated rows and null ids are decided row by row; without documents nothing is learned."""
+    return language.keep_determined(docs, language.learn(docs), least=0.0, column="lang")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,9 +51,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document of the mix, with digests of ids and decoded text. A null or empty text has none;
-    repeated rows and null ids are passed on."""
-    return bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    """Token ids of every document of the mix, with digests of ids and decoded text, and its language. A null or empty
+    text has none; repeated rows and null ids are passed on."""
+    return bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN, carry=("lang",))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -327,3 +327,15 @@ def test_stages_leave_columns_of_any_name_alone(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         last = stored(stage(spark, empty, str(tmp_path)), "empty")
         assert last.count() == 0
+
+
+def test_language_found_is_passed_on_with_the_ids(spark, tmp_path):
+    """A wrong and a missing language are replaced by the one found, and the encoded rows carry it."""
+    words = {"aa": "wuda xora yulb", "bb": "tek nim pos"}
+    rows = [(3 * i + k, f"{words[x]} {words[x]}", x, "a") for i in range(20) for k, x in enumerate(words)]
+    rows += [(100, words["aa"], "bb", "a"), (101, words["bb"], None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = corpus_pipeline.keep_languages(spark, docs, str(tmp_path))
+    ids = corpus_pipeline.encode(spark, kept, str(tmp_path))
+    for found in (kept, ids):
+        assert {r["doc_id"]: r["lang"] for r in found.collect()} == {i: "aa" if "wuda" in t else "bb" for i, t, _, _ in rows}

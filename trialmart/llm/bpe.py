@@ -287,7 +287,7 @@ def _gather(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return pool[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
 
-def _encoded(path: str, with_ids: bool):
+def _encoded(path: str, with_ids: bool, carry: tuple[str, ...]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = coder(path)
         for batch in batches:
@@ -299,13 +299,13 @@ def _encoded(path: str, with_ids: bool):
                 stop = max(start + 1, int(np.searchsorted(ends, before + SLICE, side="right")))
                 part = batch.slice(start, stop - start)
                 start = stop
-                yield _digests(words, part, with_ids)
+                yield _digests(words, part, with_ids, carry)
             give_back()
 
     return run
 
 
-def _digests(words: Coder, part: pa.RecordBatch, with_ids: bool) -> pa.RecordBatch:
+def _digests(words: Coder, part: pa.RecordBatch, with_ids: bool, carry: tuple[str, ...]) -> pa.RecordBatch:
     lists = part.column("pieces")
     coded = lists.flatten().dictionary_encode()
     found, place = words.pieces(coded.dictionary)
@@ -327,13 +327,14 @@ def _digests(words: Coder, part: pa.RecordBatch, with_ids: bool) -> pa.RecordBat
             all_ids.append(ids.astype(np.int32))
     if with_ids:
         columns["ids"] = pa.array(all_ids, pa.list_(pa.int32()))
+    columns |= {f"_carried_{i}": part.column(f"_carried_{i}") for i in range(len(carry))}
     kinds = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
     arrays = [pa.array(v, kinds[k]) if k in kinds else v for k, v in columns.items()]
     return pa.RecordBatch.from_arrays(arrays, list(columns))
 
 
-def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = True) -> DataFrame:
-    """One row (doc_id, n_tokens, ids_sha256, decoded_sha256 and, if wanted, ids) per document.
+def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
+    """One row (doc_id, n_tokens, ids_sha256, decoded_sha256 and, if wanted, ids) per document, and the columns in `carry`.
 
     Each match of the pattern in the whole text is a piece; a piece that is a token stands for
     itself, any other is merged from its bytes, leftmost pair of smallest rank first. A null or
@@ -349,10 +350,14 @@ def encode(docs: DataFrame, path: str, pattern: str, with_ids: bool = True) -> D
     """
     pieces = F.regexp_extract_all("text", F.lit("(?U)" + pattern), F.lit(0))
     cut = texts_of(docs).select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(pieces, F.array().cast("array<string>")).alias("pieces")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(pieces, F.array().cast("array<string>")).alias("pieces"),
+        *[F.col(c).alias(f"_carried_{i}") for i, c in enumerate(carry)],
     )
     kinds = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return cut.mapInArrow(tidy(_encoded(path, with_ids)), kinds)
+    kinds += "".join(f", _carried_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(carry))
+    coded = cut.mapInArrow(tidy(_encoded(path, with_ids, carry)), kinds)
+    return coded.withColumnsRenamed({f"_carried_{i}": c for i, c in enumerate(carry)})
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:

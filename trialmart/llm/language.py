@@ -282,11 +282,12 @@ def predict(docs: DataFrame, model: Field) -> DataFrame:
     return texts.mapInArrow(tidy(run), "doc_id long, lang_pred string, score double, n_words long, n_other long")
 
 
-def keep_determined(docs: DataFrame, model: Field, least: float = 0.5) -> DataFrame:
+def keep_determined(docs: DataFrame, model: Field, least: float = 0.5, column: str | None = None) -> DataFrame:
     """The documents with a language that carries at least `least` of the label probability of
-    their words, unchanged; null texts and texts without a letter go. Equal texts share one decision,
-    whatever their doc_id."""
+    their words, unchanged but for `column`, which holds that language if it is named; null texts and texts
+    without a letter go. Equal texts share one decision, whatever their doc_id."""
     schema = docs.schema
+    at = None if column is None else docs.columns.index(column)
     model = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,6 +295,8 @@ def keep_determined(docs: DataFrame, model: Field, least: float = 0.5) -> DataFr
         for batch in batches:
             for part in text_slices(batch, "text", SLICE):
                 names, score, _, _ = _decided(model.value, part.column("text"))
+                if at is not None:
+                    part = part.set_column(at, part.schema.field(at), pa.array(names, pa.string()).cast(part.schema.field(at).type))
                 yield part.filter(pa.array((names != UNDETERMINED) & (score >= least)))
 
     return texts_of(docs).mapInArrow(tidy(run), schema)
