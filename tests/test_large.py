@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 from trialmart.functions.text import has_text, strip_text
-from trialmart.operators import bitmaps, staging
+from trialmart.operators import bitmaps, clean, staging
 from trialmart.plans import catalog
 from trialmart.sources import order_trials
 
@@ -57,3 +57,16 @@ def test_only_repeated_trials_are_sorted(spark, raw_rows):
         assert kept.columns == staging.stage_trials(table).columns
         assert sorted(map(str, kept.collect())) == sorted(map(str, staging.stage_trials(table).collect()))
     assert "Window" not in _plan(kept) and "Join" not in _plan(kept)
+
+
+def test_wide_projections_split_their_code(spark, raw_rows):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    conf = spark.conf
+    before = conf.get(key)
+    try:
+        for given, wanted in ((None, "8000"), ("9000", "9000")):
+            conf.unset(key) if given is None else conf.set(key, given)
+            clean.clean_trials(raw_rows({"NCTId": "N1"}))
+            assert conf.get(key) == wanted
+    finally:
+        conf.set(key, before)
