@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 
 from trialmart.operators import differences, keys
-from trialmart.plans import refresh
+from trialmart.plans import catalog, refresh
 from trialmart.sources import storage
 from trialmart.sources.storage import new_run_folder
 
@@ -134,3 +134,34 @@ def test_folders_of_failed_runs_go(spark, tmp_path):
     assert storage.remove_old_runs(spark, root, keep=2) == ["run-20240102"]
     assert storage.list_folders(spark, root) == ["published", "published-not", "raw", "run-20240101", "run-20240103", "run-20240104"]
     assert storage.remove_old_runs(spark, root, keep=1) == ["run-20240101"]
+
+
+def test_trees_alone_tell_what_changed(spark):
+    """No rows are stored or shuffled for them; rows of the new load are enough to read what came."""
+    paths = [new_run_folder(spark, "load") for _ in range(2)]
+    for path, rows in zip(paths, (OLD, changed(OLD))):
+        differences.write_tree(spark.createDataFrame(rows, SCHEMA), path, "id", 32)
+    assert not list(Path(paths[0].removeprefix("file:")).glob("rows*"))
+    assert dict(differences.change_counts(spark, *paths).collect()) == {"inserted": 1, "changed": 2, "deleted": 1, "same": 497}
+    differences.write_rows(spark.createDataFrame(changed(OLD), SCHEMA), paths[1], "id", 32)
+    found = differences.changed_rows(spark, *paths, "id")
+    assert {r["id"] for r in found.collect()} == {40, 41, 9000}
+    whole = stored(spark, changed(OLD), 32)
+    roots = [sorted(map(tuple, spark.read.parquet(f"{p}/roots").collect())) for p in (paths[1], whole)]
+    assert roots[0] == roots[1]
+
+
+def test_wide_rows_are_not_sorted_to_find_changes(spark):
+    old, new = stored(spark, OLD, 4), stored(spark, changed(OLD), 4)
+    changes = storage.materialize(differences.load_changes(spark, old, new), "changes")
+    plan = differences.changed_rows(spark, old, new, "id", changes)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort " not in plan
+
+
+def test_loads_are_stored_as_far_as_they_are_read(spark, folder, monkeypatch):
+    monkeypatch.setattr(catalog, "_built", {})
+    paths = [Path(p.removeprefix("file:")) for p in catalog.two_loads(spark, folder)]
+    kept = lambda: [(p / "rows").exists() for p in paths]
+    assert kept() == [False, False] and all((p / "leaves").exists() for p in paths)
+    assert catalog.two_loads(spark, folder, rows=(1,)) and kept() == [False, True]
+    assert catalog.two_loads(spark, folder, rows=(0, 1)) and kept() == [True, True]

@@ -2,7 +2,8 @@
 
 A load is stored in ranges of the hash of its id: rows, a leaf (id and row hash) per row, and a
 root (row count and hash) per range. Two loads with the same number of ranges differ only in ranges whose
-roots differ, and of those alone leaves and rows are read.
+roots differ, and of those alone leaves and rows are read. Leaves and roots alone (a tree) tell what changed; rows
+are stored for loads whose rows are asked for.
 """
 
 from __future__ import annotations
@@ -31,24 +32,40 @@ def ranges_for(rows: int) -> int:
     return min(MOST_RANGES, max(1, -(-rows // RANGE_ROWS)))
 
 
-def write_load(df: DataFrame, path: str, key: str, ranges: int) -> None:
-    """Store a load below `path`: rows, leaves and roots. `key` must be unique; rows without one are left out."""
-    place = F.pmod(F.xxhash64(key), F.lit(ranges)).cast("int")
-    keyed = df.where(F.col(key).isNotNull()).withColumn(RANGE, place)
-    leaf = df.select(F.col(key).alias("id"), F.lit(0).cast("bigint").alias("h1"), F.lit(0).cast("bigint").alias("h2"), place.alias(RANGE))
-    for name, table in (("rows", keyed), ("leaves", leaf)):  # tables in partitions without rows have no files
-        storage.write_table(table.limit(0).coalesce(1), f"{path}/columns-{name}", if_exists="fail")
+def _place(key: str, ranges: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(ranges)).cast("int")
+
+
+def write_rows(df: DataFrame, path: str, key: str, ranges: int) -> None:
+    """Store the rows of a load below `path`; rows without a key are left out."""
+    keyed = df.where(F.col(key).isNotNull()).withColumn(RANGE, _place(key, ranges))
+    _write_columns(keyed, path, "rows")
     # adaptive execution merges small ranges into one task and splits large ones
     storage.write_table(keyed.hint("rebalance", RANGE), f"{path}/rows", if_exists="fail", partition_by=(RANGE,))
-    rows = storage.read_table(df.sparkSession, f"{path}/rows", keyed.schema)
-    h1, h2 = row_hashes(df.columns)
-    leaves = rows.select(F.col(key).alias("id"), h1.alias("h1"), h2.alias("h2"), RANGE)
-    storage.write_table(leaves, f"{path}/leaves", if_exists="fail", partition_by=(RANGE,))
+
+
+def _write_columns(table: DataFrame, path: str, name: str) -> None:
+    storage.write_table(table.limit(0).coalesce(1), f"{path}/columns-{name}", if_exists="fail")  # tables in partitions without rows have no files
+
+
+def write_tree(df: DataFrame, path: str, key: str, ranges: int, dealt: bool = False) -> None:
+    """Store leaves and roots of a load below `path`, which is all that comparing loads reads: of a row, its key and
+    two hashes are shuffled. `dealt`: rows lie by range already and stay where they are."""
+    h1, h2 = row_hashes([c for c in df.columns if c != RANGE])
+    leaves = df.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), h1.alias("h1"), h2.alias("h2"), _place(key, ranges).alias(RANGE))
+    _write_columns(leaves, path, "leaves")
+    storage.write_table(leaves if dealt else leaves.hint("rebalance", RANGE), f"{path}/leaves", if_exists="fail", partition_by=(RANGE,))
     leaves = storage.read_table(df.sparkSession, f"{path}/leaves", leaves.schema)
     roots = leaves.groupBy(RANGE).agg(F.count(F.lit(1)).alias("n"), F.bit_xor("h1").alias("h1"), F.bit_xor("h2").alias("h2"))
     storage.write_table(roots.withColumn("ranges", F.lit(ranges)).coalesce(1), f"{path}/roots", if_exists="fail")
 
 
+def write_load(df: DataFrame, path: str, key: str, ranges: int) -> None:
+    """Store a load below `path`: rows, leaves and roots. `key` must be unique; rows without one are left out."""
+    write_rows(df, path, key, ranges)
+    write_tree(read_load(df.sparkSession, path), path, key, ranges, dealt=True)
+
+
 def _part(spark: SparkSession, path: str, name: str) -> DataFrame:
     return storage.read_table(spark, f"{path}/{name}", storage.read_table(spark, f"{path}/columns-{name}").schema)
 
@@ -113,7 +130,8 @@ def changed_rows(spark: SparkSession, old: str, new: str, key: str, changes: Dat
     changes = load_changes(spark, old, new) if changes is None else changes
     rows = read_load(spark, new).where(F.col(RANGE).isin(changed_ranges(spark, old, new)))
     wanted = changes.where(F.col("change") != DELETED).select(F.col("id").alias(key))
-    return rows.join(wanted, key, "left_semi").drop(RANGE)
+    # ids are hashed and the wide rows stream past them, unsorted
+    return rows.join(wanted.hint("shuffle_hash"), key, "left_semi").drop(RANGE)
 
 
 def follow_load(spark: SparkSession, target: str, old: str, new: str) -> list[int]:
