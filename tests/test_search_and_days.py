@@ -91,3 +91,24 @@ def test_bitmaps_of_parts_merge(spark, folder):
     assert "Expand" in reports.dash_metrics(whole)._jdf.queryExecution().executedPlan().toString()
     assert bitmaps.dash_metrics(bits, sums, 18000101, 18001231).first()[:4] == (0, 0, 0, 0)
     assert bitmaps.condition_category(bits, sums, 18000101, 18001231).count() == 0
+
+
+def test_equal_texts_are_indexed_once(spark, raw_rows, tmp_path):
+    """Trigrams list one row of each text of a block; rows of a text that comes again are one more list."""
+    rows = raw_rows(*[{"NCTId": f"N{i:03}", "Phase": "PHASE2" if i % 2 else "phase2", "BriefTitle": f"title {i % 4}"} for i in range(200)], {"NCTId": "N900", "BriefTitle": "A\U0001d4b3 one"})
+    text_index.build_index(rows.coalesce(1), str(tmp_path), block=1 << 20)
+    lists = spark.read.parquet(f"{tmp_path}/postings")
+    blocks = text_index._rows(spark, str(tmp_path)).select(text_index.BLOCK_COLUMN).distinct().count()
+    assert lists.where("gram IS NOT NULL AND field = 'Phase'").selectExpr("sum(size(rows))").first()[0] == 4 * blocks
+    assert lists.where("gram IS NULL AND field = 'Phase'").selectExpr("sum(size(rows))").first()[0] == 200
+    assert text_index.search_index(spark, str(tmp_path), phases=["ase2"], search_terms=["TLE 3", "one"]).count() == 50
+    assert [r["NCTId"] for r in text_index.search_index(spark, str(tmp_path), search_terms=["ONE"]).collect()] == ["N900"]
+
+
+def test_rows_move_once_to_be_indexed(spark, trials, tmp_path):
+    """The number of a row names its block, so blocks are written where the order put them."""
+    text_index.build_index(trials, str(tmp_path), block=16)
+    assert not (tmp_path / "placed").exists()
+    rows = text_index._rows(spark, str(tmp_path))
+    assert rows.groupBy(text_index.BLOCK_COLUMN, text_index.ROW).count().where("count > 1").count() == 0
+    assert rows.count() == trials.count() and rows.where(f"{text_index.ROW} NOT BETWEEN 0 AND 15").count() == 0

@@ -2,20 +2,27 @@
 
 from __future__ import annotations
 
+import sys
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trialmart.operators.keys import number_rows, place_in_order
 from trialmart.sources import storage
 from trialmart.sources.search import TERM_COLUMNS, search_trials
 
+# executors need no copy of this module
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 #: Rows of a block. A posting list holds the rows of one block, so it has no more entries than that
 #: however common its trigram is; rows are stored by block.
 BLOCK = 8192
 BLOCK_COLUMN, ROW = "row_block", "row_number"
 INDEXED = [*TERM_COLUMNS, "LeadSponsorName", "Phase", "Status"]
+POSTINGS = f"field string, gram string, {BLOCK_COLUMN} bigint, rows array<int>"
 #: Search criterion -> columns it is looked up in.
 CRITERIA = {
     "search_terms": TERM_COLUMNS,
@@ -27,26 +34,52 @@ CRITERIA = {
 
 
 def build_index(trials: DataFrame, path: str, block: int | None = None) -> None:
-    """Store trials below `path`: rows by block, and per column, trigram and block the sorted numbers of
-    the rows whose lower-case text holds the trigram. Rows are numbered in the order of their id."""
+    """Store trials below `path`: rows in order of their id by block, and the posting lists of each block (`_lists_of`).
+
+    Rows move once, into that order; the number a row gets there names its block and, from 0, its place in the
+    block. What is indexed is read again without the other columns.
+    """
     spark, block = trials.sparkSession, block or BLOCK
-    storage.write_table(place_in_order(trials, "NCTId"), f"{path}/placed")
-    numbered = number_rows(storage.read_table(spark, f"{path}/placed"), ROW)
-    numbered = numbered.withColumn(BLOCK_COLUMN, F.floor(F.col(ROW) / block).cast("int"))
-    storage.write_table(numbered.hint("rebalance", BLOCK_COLUMN), f"{path}/rows", partition_by=(BLOCK_COLUMN,))
+    ordered = trials.repartitionByRange("NCTId").sortWithinPartitions("NCTId").withColumn(ROW, F.monotonically_increasing_id())
+    # numbers of a partition start at a multiple of 2**33, so its blocks are its own
+    per_part = -(-(1 << 33) // block)
+    part, place = F.shiftright(ROW, 33), F.col(ROW).bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = ordered.withColumns({BLOCK_COLUMN: part * F.lit(per_part) + F.floor(place / block), ROW: (place % block).cast("int")})
+    storage.write_table(numbered, f"{path}/rows", partition_by=(BLOCK_COLUMN,))
     storage.write_table(numbered.limit(0).coalesce(1), f"{path}/columns")
-    rows = _rows(spark, path)
-    texts = [F.struct(F.lit(c).alias("field"), F.lower(F.col(c)).alias("text")) for c in INDEXED]
-    texts = rows.select(ROW, BLOCK_COLUMN, F.inline(F.array(*texts))).where(F.char_length("text") >= 3)
-    letters = texts.select(ROW, BLOCK_COLUMN, "field", F.split("text", "").alias("letters"))
-    places = F.sequence(F.lit(0), F.size("letters") - 3)
-    gram = F.transform(places, lambda i: F.concat(*[F.coalesce(F.get("letters", i + k), F.lit("")) for k in range(3)]))
-    entries = letters.where(F.size("letters") >= 3).select(ROW, BLOCK_COLUMN, "field", F.explode(F.array_distinct(gram)).alias("gram"))
-    lists = entries.groupBy("field", "gram", BLOCK_COLUMN).agg(F.sort_array(F.collect_list(ROW)).alias("rows"))
-    lists = lists.repartitionByRange("field", "gram").sortWithinPartitions("field", "gram")
+    texts = _rows(spark, path).select(BLOCK_COLUMN, ROW, *[F.lower(F.col(c)).alias(c) for c in INDEXED])
+    lists = texts.groupBy(BLOCK_COLUMN).applyInArrow(_lists_of, POSTINGS)
+    lists = lists.hint("rebalance", "field", "gram").sortWithinPartitions("field", "gram", BLOCK_COLUMN)
     storage.write_table(lists, f"{path}/postings", partition_by=("field",))
 
 
+def _lists_of(rows: pa.Table) -> pa.Table:
+    """The posting lists of one block, all sorted. Per column and trigram: the first rows of the texts that hold
+    it. Per column and text of several rows, without a trigram: those rows, of which the first stands for the text.
+    Work and lists grow with the different texts of a block."""
+    block, found = rows.column(BLOCK_COLUMN)[0].as_py(), []
+    rows = rows.sort_by(ROW)
+    numbers = rows.column(ROW).to_numpy()
+    for field in INDEXED:
+        column = rows.column(field).combine_chunks().dictionary_encode()
+        column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+        held = np.flatnonzero(column.is_valid().to_numpy(zero_copy_only=False))
+        codes, texts = column.indices.drop_null().to_numpy(), column.dictionary.to_pylist()
+        order = np.argsort(codes, kind="stable")
+        of_text = np.split(numbers[held[order]], np.cumsum(np.bincount(codes, minlength=len(texts)))[:-1]) if texts else []
+        firsts: dict[str, list[int]] = {}
+        for text, here in sorted(zip(texts, of_text, strict=True), key=lambda x: x[1][0]):
+            grams = {text[i : i + 3] for i in range(len(text) - 2)}
+            for gram in grams:
+                firsts.setdefault(gram, []).append(here[0])
+            if grams and len(here) > 1:
+                found.append((field, None, here))
+        found += [(field, gram, first) for gram, first in firsts.items()]
+    kind = pa.schema([("field", pa.string()), ("gram", pa.string()), (BLOCK_COLUMN, pa.int64()), ("rows", pa.list_(pa.int32()))])
+    fields, grams, lists = zip(*found, strict=True) if found else ((), (), ())
+    return pa.table([pa.array(fields, pa.string()), pa.array(grams, pa.string()), pa.array([block] * len(found), pa.int64()), pa.array(lists, pa.list_(pa.int32()))], schema=kind)
+
+
 def _rows(spark: SparkSession, path: str) -> DataFrame:
     return storage.read_table(spark, f"{path}/rows", storage.read_table(spark, f"{path}/columns").schema)
 
@@ -57,17 +90,16 @@ def grams_of(word: str) -> set[str]:
 
 
 def _candidates(spark: SparkSession, path: str, columns: list[str], words: list[str]) -> DataFrame | None:
-    """Per block the rows that hold all trigrams of some word in some column; None if a word has none."""
+    """Per block the list of rows that hold all trigrams of some word in some column; None if a word has none."""
     wanted = {word: grams_of(word) for word in {w.lower() for w in words}}
     if not all(wanted.values()):
         return None
-    kinds = f"field string, gram string, {BLOCK_COLUMN} int, rows array<bigint>"
-    postings = spark.read.schema(kinds).parquet(f"{path}/postings")
+    postings = spark.read.schema(POSTINGS).parquet(f"{path}/postings").where(F.col("field").isin(columns))
     asked = sorted((word, gram) for word, grams in wanted.items() for gram in grams)
     words_of = F.create_map(
         *[F.lit(x) for gram in sorted({g for _, g in asked}) for x in (gram, [w for w, g in asked if g == gram])]
     )
-    found = postings.where(F.col("field").isin(columns) & F.col("gram").isin(sorted({g for _, g in asked})))
+    found = postings.where(F.col("gram").isin(sorted({g for _, g in asked})))
     found = found.select("field", BLOCK_COLUMN, "rows", F.explode(words_of[F.col("gram")]).alias("word"))
     lists = F.sort_array(F.collect_list(F.struct(F.size("rows").alias("n"), "rows"))).alias("lists")
     met = found.groupBy("word", "field", BLOCK_COLUMN).agg(lists)
@@ -75,8 +107,16 @@ def _candidates(spark: SparkSession, path: str, columns: list[str], words: list[
     met = met.where(F.size("lists") == sizes[F.col("word")])  # rarest first
     rest = F.slice("lists", F.lit(2), F.size("lists"))
     both = F.aggregate(rest, F.col("lists")[0]["rows"], lambda kept, x: F.array_intersect(kept, x["rows"]))
-    any_of = met.select(BLOCK_COLUMN, F.explode(both).alias(ROW)).distinct()
-    return any_of
+    firsts = met.select("field", BLOCK_COLUMN, F.explode(both).alias("first")).distinct()
+    repeated = postings.where("gram IS NULL").select("field", BLOCK_COLUMN, F.col("rows")[0].alias("first"), "rows")
+    texts = firsts.join(repeated, ["field", BLOCK_COLUMN, "first"], "left")
+    held = texts.select(BLOCK_COLUMN, F.coalesce("rows", F.array("first")).alias("rows"))
+    return held.groupBy(BLOCK_COLUMN).agg(F.array_distinct(F.flatten(F.collect_list("rows"))).alias("rows"))
+
+
+def _both(a: DataFrame, b: DataFrame) -> DataFrame:
+    met = a.join(b.withColumnRenamed("rows", "others"), BLOCK_COLUMN)
+    return met.select(BLOCK_COLUMN, F.array_intersect("rows", "others").alias("rows"))
 
 
 def search_index(spark: SparkSession, path: str, **criteria) -> DataFrame:
@@ -90,7 +130,7 @@ def search_index(spark: SparkSession, path: str, **criteria) -> DataFrame:
     found = [f for f in found if f is not None]
     rows = _rows(spark, path)
     if found:
-        rowed = storage.materialize(reduce(lambda a, b: a.join(b, [BLOCK_COLUMN, ROW], "left_semi"), found), "search-candidates")
+        rowed = storage.materialize(reduce(_both, found).select(BLOCK_COLUMN, F.explode("rows").alias(ROW)), "search-candidates")
         blocks = [r[0] for r in rowed.select(BLOCK_COLUMN).distinct().collect()]
         rows = rows.where(F.col(BLOCK_COLUMN).isin(blocks)).join(rowed, [BLOCK_COLUMN, ROW], "left_semi")
     return search_trials(rows.drop(BLOCK_COLUMN, ROW), **criteria)
