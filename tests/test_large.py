@@ -70,3 +70,14 @@ def test_wide_projections_split_their_code(spark, raw_rows):
             assert conf.get(key) == wanted
     finally:
         conf.set(key, before)
+
+
+def test_deriving_trials_splits_its_code(spark, folder):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        order_trials.raw_trials(spark, folder)
+        assert spark.conf.get(key) == "8000"
+    finally:
+        spark.conf.set(key, before)
