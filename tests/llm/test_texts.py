@@ -13,7 +13,7 @@ import sentencepiece
 import tiktoken
 from tokenizers import Tokenizer, models
 
-from trialmart.llm import bpe, components, jaccard, language, mixing, toxicity, unigram
+from trialmart.llm import bpe, common, components, jaccard, language, mixing, toxicity, unigram
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h string, c int, key int, size int"
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -372,6 +372,33 @@ def test_toxicity_learns_stems_and_keeps_to_clauses(spark):
     assert got == {i: int(i % 3 == 0) for i in range(300)}
 
 
+def test_a_task_of_the_pipeline_has_one_worker(spark, docs, monkeypatch):
+    """No Arrow function reads the rows of another one in its stage: each would take a worker per task."""
+    plain, chained = type(docs).mapInArrow, []
+
+    def watched(rows, *args, **kwargs):
+        chained.append("MapInArrow" in rows._jdf.queryExecution().optimizedPlan().toString())
+        return plain(rows, *args, **kwargs)
+
+    monkeypatch.setattr(type(docs), "mapInArrow", watched)
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(1, 14)], "doc_id long, quality int, toxic int")
+    toxicity.keep_clean(docs, toxicity.learn(docs, labels)).count()
+    language.keep_determined(docs, language.learn(docs)).count()
+    jaccard.representatives(docs, 5, 80).count()
+    bpe.encode(docs, RANKS, public_tokenizers.PATTERN).count()
+    assert len(chained) > 8 and not any(chained)
+
+
+def test_shared_shingles_leave_a_worker_in_small_batches(monkeypatch):
+    texts = [" ".join(f"w{k}" for k in range(n)) for n in (300, 500, 500)]
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    whole = pa.Table.from_batches(jaccard._repeated(4)(iter([batch])))
+    monkeypatch.setattr(common, "RETURNED", 100)
+    found = list(jaccard._repeated(4)(iter([batch])))
+    assert [x.num_rows for x in found] == [100] * 4 + [97]
+    assert pa.Table.from_batches(found).equals(whole) and sum(whole.column("n").to_pylist()) == 297 * 3 + 200 * 2
+
+
 @pytest.mark.parametrize(
     ("clause", "kinds"),
     [

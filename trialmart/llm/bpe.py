@@ -17,11 +17,11 @@ from pyspark.sql import functions as F
 from trialmart.llm.common import give_back, texts_of, tidy, worker_cache
 
 #: Bytes of pieces, ids and places that a worker remembers, at most; other pieces are encoded again.
-REMEMBERED = 48_000_000
+REMEMBERED = 8_000_000
 #: Pieces and bytes in one recursive query, which holds the rows of all its rounds; a longer piece is alone.
 PIECES, BYTES = 20_000, 60_000
 #: Pieces of texts that a task works on at once, about.
-SLICE = 800_000
+SLICE = 200_000
 #: A piece of more bytes is first cut where no token can span.
 LONG = 1_000
 
@@ -300,7 +300,7 @@ def _encoded(path: str, with_ids: bool, carry: tuple[str, ...]):
                 part = batch.slice(start, stop - start)
                 start = stop
                 yield _digests(words, part, with_ids, carry)
-            give_back()
+                give_back()
 
     return run
 

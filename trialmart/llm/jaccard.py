@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialmart.llm.common import BROADCAST_ROWS, sorted_groups, stored, text_slices, texts_of, tidy, worker_cache, words_of
+from trialmart.llm.common import BROADCAST_ROWS, row_slices, sorted_groups, stored, text_slices, texts_of, tidy, worker_cache, words_of
 from trialmart.llm.components import connected_components
 
 #: Shingles held to be frequent, at most; they only decide the order within a set.
@@ -79,9 +79,9 @@ def _repeated(width: int):
             for part in text_slices(batch, "text", SLICE):
                 parts.append(shingle_sets(part.column("text"), width)[0])
                 if sum(map(len, parts)) >= TOGETHER:
-                    yield shared(parts)
+                    yield from row_slices(shared(parts))
         if parts:
-            yield shared(parts)
+            yield from row_slices(shared(parts))
 
     return run
 

@@ -253,6 +253,16 @@ def _unmatched(scorer: Scorer):
     return run
 
 
+def _open_terms(scorer: Scorer):
+    """The terms of the texts that are left. Both steps share a worker: of two Arrow functions in a row each takes a
+    worker of its own per task, and all of them stay and serve later stages in turn."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _terms(_unmatched(scorer)(batches))
+
+    return run
+
+
 def choose_stems(rows: list[tuple[str, float, float]]) -> list[str]:
     """Of well supported terms, those that no longer term replaces at the same support and
     that extend no chosen term."""
@@ -301,7 +311,7 @@ def learn(docs: DataFrame, labels: DataFrame, folds: int = 4, fold: int = 2) ->
     for _ in range(STEM_ROUNDS):  # later rounds look only at toxic texts that nothing matches yet
         seen = Scorer(sorted(stems), PRIOR, BASE)
         open_rows = sample.mapInArrow(_unmatched(seen), "text string, toxic int, share double")
-        terms = open_rows.mapInArrow(tidy(_terms), "term string, toxic double, clean double")
+        terms = sample.mapInArrow(tidy(_open_terms(seen)), "term string, toxic double, clean double")
         terms = terms.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
         left = open_rows.where("toxic = 1").agg(F.sum("share")).first()[0]
         if not left:
