@@ -3,6 +3,8 @@
 import base64
 import hashlib
 import re
+import time
+import types
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -14,6 +16,7 @@ import tiktoken
 from tokenizers import Tokenizer, models
 
 from trialmart.llm import bpe, common, components, jaccard, language, mixing, toxicity, unigram
+from trialmart.sources import storage
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, h string, c int, key int, size int"
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -100,6 +103,64 @@ def test_near_duplicates_of_many_edited_copies(spark):
     assert len({c for _, _, c in want}) > 8
 
 
+def test_tables_and_shuffles_of_the_join_go_early(spark, monkeypatch):
+    """Wide tables go before the next wide ones are written, shuffle files with their query; what the result reads stays."""
+    rows = [(i, " ".join(f"w{i // 4 if k % 12 else i}x{k}" for k in range(60))) for i in range(40)] + [(7, "one two"), (None, "one two")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spark._jvm.System.gc()
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {x.split("_")[1] for x in disk.getAllBlocks().mkString(" ").split() if x.startswith("shuffle_")}
+
+    def there():
+        return {x.rsplit("-", 1)[0] for x in storage.list_folders(spark, storage.shared_folder(spark)) if x not in others}
+
+    storage.shared_folder(spark)
+    others, before, held, plain = set(storage.list_folders(spark, storage.shared_folder(spark))), shuffles(), {}, storage.write_table
+
+    def watched(df, path, *more, **named):
+        held.setdefault(path.split("/")[-1].rsplit("-", 1)[0], there())
+        return plain(df, path, *more, **named)
+
+    monkeypatch.setattr(storage, "write_table", watched)
+    found = jaccard.near_duplicates(docs, 4, 85)
+    assert "groups" in held["posts"] and "prefixes" not in held["shared"] and not {"groups", "shared"} & held["hits"]
+    assert not {"posts", "placed", "shingles"} & held["homes"] and not {"active", "homes"} & held["near-groups"]
+    assert there() == {"sizes", "small-star"}
+    for _ in range(50):  # files are removed beside the driver's thread
+        if len(shuffles() - before) <= 1:
+            break
+        time.sleep(0.2)
+    assert len(shuffles() - before) <= 1  # of the frequent shingles, whose limit shuffles by itself
+    assert spark.conf.get(common.SHUFFLES_GO, None) is None
+    monkeypatch.undo()
+    for _ in range(2):
+        assert sorted((tuple(r) for r in found.collect()), key=str) == brute_components(rows, 4, 85)
+
+
+def test_a_session_keeps_its_own_switch_for_shuffles(spark):
+    spark.conf.set(common.SHUFFLES_GO, "false")
+    try:
+        with common.Scratch(spark) as tables:
+            one = tables.stored(spark.range(3).toDF("id"), "one")
+            assert one.count() == 3 and spark.conf.get(common.SHUFFLES_GO) == "false"
+        assert spark.conf.get(common.SHUFFLES_GO) == "false"
+    finally:
+        spark.conf.unset(common.SHUFFLES_GO)
+
+
+def test_marks_of_many_ids_are_sparse(spark, monkeypatch):
+    """The table of marks grows with the ids: few others are let through, and none that is marked is lost."""
+    monkeypatch.setattr(jaccard, "_MARK_BITS", 1 << 9)
+    marks = jaccard._marks(spark.range(0, 8000, 2).toDF("id"), 4000)
+    assert len(marks) * 8 == 1 << 16
+    batch = pa.RecordBatch.from_arrays([pa.array(range(8000), pa.int64())], ["doc_id"])
+    (kept,) = jaccard._marked(types.SimpleNamespace(value=marks))(iter([batch]))
+    ids = set(kept.column("doc_id").to_pylist())
+    assert set(range(0, 8000, 2)) <= ids and len(ids) < 4200
+
+
 def test_links_of_members_that_their_leader_does_not_link_with(spark, monkeypatch):
     """Two texts with one size and prefix that link with a third text, but not with one another."""
     import pyarrow as pa

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trialmart.llm.common import BROADCAST_ROWS, row_slices, sorted_groups, stored, text_slices, texts_of, tidy, worker_cache, words_of
+from trialmart.llm.common import BROADCAST_ROWS, Scratch, row_slices, sorted_groups, stored, text_slices, texts_of, tidy, worker_cache, words_of
 from trialmart.llm.components import connected_components
 
 #: Shingles held to be frequent, at most; they only decide the order within a set.
@@ -161,35 +161,43 @@ def _marked(bits):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks = np.frombuffer(bits.value, np.uint8)
         for batch in batches:
-            place = _place(batch.column("doc_id").to_numpy(zero_copy_only=False), len(marks) * 8)
-            yield batch.filter(pa.array((marks[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1))
+            marked = np.ones(batch.num_rows, bool)
+            for place in _places(batch.column("doc_id").to_numpy(zero_copy_only=False), len(marks) * 8):
+                marked &= (marks[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
+            yield batch.filter(pa.array(marked))
 
     return run
 
 
-#: Size of the table of marks of wanted ids, in bits; when it is full, more sets than needed move.
-_MARK_BITS = 1 << 23
+#: Bits of the table of marks of wanted ids: at least, for each id, and at most. The fuller it is, the more sets
+#: than needed move.
+_MARK_BITS, _ID_BITS, _MOST_BITS = 1 << 23, 16, 1 << 27
 
 
-def _place(ids: np.ndarray, bits: int) -> np.ndarray:
+def _places(ids: np.ndarray, bits: int) -> list[np.ndarray]:
+    """Two places for each id."""
     with np.errstate(over="ignore"):
-        return (_mixed(ids.astype(np.int64).view(np.uint64)) % np.uint64(bits)).astype(np.int64)
+        mixed = _mixed(ids.astype(np.int64).view(np.uint64))
+        return [(x % np.uint64(bits)).astype(np.int64) for x in (mixed, _mixed(mixed + _MIX[3]))]
 
 
-def _marks(ids: DataFrame) -> bytes:
-    """A bit table of fixed size in which the places of all ids are set."""
+def _marks(ids: DataFrame, count: int) -> bytes:
+    """A bit table in which the places of all ids are set; its size goes by their number, up to a bound."""
+    bits = _MARK_BITS
+    while bits < min(count * _ID_BITS, _MOST_BITS):
+        bits *= 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(_MARK_BITS >> 3, np.uint8)
+        table = np.zeros(bits >> 3, np.uint8)
         for batch in batches:
-            place = _place(batch.column(0).to_numpy(zero_copy_only=False), _MARK_BITS)
-            np.bitwise_or.at(table, place >> 3, (1 << (place & 7)).astype(np.uint8))
+            for place in _places(batch.column(0).to_numpy(zero_copy_only=False), bits):
+                np.bitwise_or.at(table, place >> 3, (1 << (place & 7)).astype(np.uint8))
         words = table.view(np.int64)
         at = np.flatnonzero(words)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(words[at])], ["at", "word"])
+        yield from row_slices(pa.RecordBatch.from_arrays([pa.array(at), pa.array(words[at])], ["at", "word"]))
 
     rows = ids.mapInArrow(run, "at long, word long").groupBy("at").agg(F.bit_or("word").alias("word")).toArrow()
-    words = np.zeros(_MARK_BITS >> 6, np.int64)
+    words = np.zeros(bits >> 6, np.int64)
     words[rows.column("at").to_numpy()] = rows.column("word").to_numpy()
     return words.tobytes()
 
@@ -226,50 +234,66 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     expanded to their members (one for each distinct set), which are compared in full. Pairs already
     in one component need no comparison, so copies are never expanded into all pairs.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    with Scratch(docs.sparkSession) as tables:
+        sized, labels = _linked(docs, width, percent, tables)
+    found = sized.select("doc_id", F.col("n").alias("n_shingles")).join(
+        labels.withColumnRenamed("id", "doc_id"), "doc_id", "left"
+    )
+    return found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def _linked(docs: DataFrame, width: int, percent: int, tables: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Tables that stay: (doc_id, n) of every document, and the components of those with links.
+
+    What else is stored goes as soon as the next table stands, the widest first: prefixes are dealt out once,
+    after that only their shared shingles are held.
+    """
+    spark = docs.sparkSession
     frequent = spark.sparkContext.broadcast(frequent_shingles(docs, width, FREQUENT_BOUND))
     kinds = "doc_id long, n long, set_key binary, prefix_key binary, prefix array<long>"
-    sized = stored(docs.mapInArrow(tidy(_prefixes(width, percent, frequent)), kinds), "prefixes")
-    held = sized.where("n > 0 AND doc_id IS NOT NULL")
+    rows = tables.stored(docs.mapInArrow(tidy(_prefixes(width, percent, frequent)), kinds), "prefixes")
+    held = rows.where("n > 0 AND doc_id IS NOT NULL")
+    sized = stored(rows.select("doc_id", "n"), "sizes")
 
     # Equal sets: one member stands for all. Equal size and prefix: one group.
-    same = stored(held.groupBy("n", "prefix_key", "set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")), "sets")
+    same = tables.stored(held.groupBy("n", "prefix_key", "set_key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("rows")), "sets")
     copies = same.where("rows > 1").select("set_key", "rep")
-    links = [held.join(copies, "set_key").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))]
-    groups = stored(
-        held.groupBy("n", "prefix_key").agg(
-            F.min("doc_id").alias("g"), F.first("prefix").alias("prefix"), F.count_distinct("set_key").alias("sets")
-        ),
-        "groups",
-    )
+    links = [tables.stored(held.join(copies, "set_key").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")), "copies")]
+    groups = tables.stored(held.groupBy("n", "prefix_key").agg(F.min("doc_id").alias("g"), F.first("prefix").alias("prefix")), "groups")
+    tables.drop(rows)
     shared = groups.select("g", "n", F.explode("prefix").alias("h"))
-    known = stored(shared.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"), "shared")
-    posts = stored(shared.join(known, "h"), "posts")
-    many = stored(posts.groupBy("g").agg(F.count("*").alias("hits")), "hits")
-    members = stored(same.join(groups.select("n", "prefix_key", "g"), ["n", "prefix_key"]).select("g", "rep"), "group-members")
-    wide = groups.where("sets > 1").select("n", "prefix_key", "g")
-    inside = stored(
+    known = tables.stored(shared.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"), "shared")
+    posts = tables.stored(shared.join(known, "h"), "posts")
+    tables.drop(groups, known)
+    many = tables.stored(posts.groupBy("g").agg(F.count("*").alias("hits")), "hits")
+    heads = tables.stored(same.groupBy("n", "prefix_key").agg(F.min("rep").alias("g"), F.count("*").alias("sets")), "heads")
+    members = tables.stored(same.join(heads.select("n", "prefix_key", "g"), ["n", "prefix_key"]).select("g", "rep"), "group-members")
+    wide = heads.where("sets > 1").select("n", "prefix_key", "g")
+    inside = tables.stored(
         same.join(wide, ["n", "prefix_key"]).where("rep <> g").select(F.col("rep").alias("a"), F.col("g").alias("b")),
         "members",
     )
+    tables.drop(same)
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs with whether they link; only the sets of their documents are built and move."""
-        pairs = stored(pairs.select("a", "b"), "pairs")
+        pairs = tables.stored(pairs.select("a", "b"), "pairs")
         ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-        bits = spark.sparkContext.broadcast(_marks(ids))
+        bits = spark.sparkContext.broadcast(_marks(ids, 2 * pairs.count()))
         sets = docs.where("doc_id IS NOT NULL").mapInArrow(tidy(_wanted_sets(width, bits)), "doc_id long, shingles binary")
-        sets = stored(sets, "shingles")
+        sets = tables.stored(sets, "shingles")
         left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
         right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-        return stored(both.mapInArrow(tidy(_verify(percent)), "a long, b long, linked boolean"), "checked")
+        found = tables.stored(both.mapInArrow(tidy(_verify(percent)), "a long, b long, linked boolean"), "checked")
+        tables.drop(pairs, sets)
+        return found
 
     checked = labels = nearest = None
     for k in range(LEADER_ROUNDS):
-        active = posts if labels is None else _active(posts, members, labels)
-        best = stored(_best_leaders(active, many, k, percent), "leaders")
+        active = posts if labels is None else _active(posts, members, labels, tables)
+        best = _best_leaders(active, many, k, percent, tables)
         nearest = best if nearest is None else nearest
         pairs = best.select(F.least("g", "leader").alias("a"), F.greatest("g", "leader").alias("b")).distinct()
         fresh = verified(pairs.unionByName(inside) if checked is None else pairs)
@@ -279,20 +303,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         if not fresh.where("linked").head(1):
             break
     links = [labels.select(F.col("id").alias("a"), F.col("component_id").alias("b"))]
-    alone = groups.where("sets > 1").select("g", F.col("g").alias("g2"))
-    opened = _open_pairs(_active(posts, members, labels), nearest, groups, percent)
-    pairs = stored(opened.unionByName(alone), "open")
+    alone = heads.where("sets > 1").select("g", F.col("g").alias("g2"))
+    active = _active(posts, members, labels, tables)
+    tables.drop(posts, many)
+    pairs = tables.stored(_open_pairs(active, nearest, percent, tables).unionByName(alone), "open")
     if pairs.head(1):
-        pairs = _expanded(pairs, members, labels)
+        pairs = _expanded(pairs, members, labels, tables)
         pairs = pairs.join(checked.select("a", "b"), ["a", "b"], "left_anti")
         fresh = verified(pairs)
         if fresh.where("linked").head(1):
             links.append(fresh.where("linked").select("a", "b"))
             labels = connected_components(_union(links))
-    found = sized.select("doc_id", F.col("n").alias("n_shingles")).join(
-        labels.withColumnRenamed("id", "doc_id"), "doc_id", "left"
-    )
-    return found.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return sized, labels
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -308,14 +330,17 @@ def _component(rows: DataFrame, labels: DataFrame, key: str, name: str) -> DataF
     return rows.join(known, key, "left").withColumn(name, F.coalesce("_found", key)).drop("_found")
 
 
-def _active(posts: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
+def _active(posts: DataFrame, members: DataFrame, labels: DataFrame, tables: Scratch) -> DataFrame:
     """Entries of shingles whose groups lie in several components, with the least and the largest
     component of the group's members: a member need not be linked with the group's leader."""
     spans = _component(members, labels, "rep", "c").groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
-    placed = stored(posts.join(stored(spans, "spans"), "g"), "placed")
+    spans = tables.stored(spans, "spans")
+    placed = tables.stored(posts.join(spans, "g"), "placed")
     ends = placed.groupBy("h").agg(F.min("lo").alias("least"), F.max("hi").alias("most"))
-    mixed = stored(ends.where("least <> most").select("h"), "mixed")
-    return stored(placed.join(mixed, "h"), "active")
+    mixed = tables.stored(ends.where("least <> most").select("h"), "mixed")
+    active = tables.stored(placed.join(mixed, "h"), "active")
+    tables.drop(spans, placed, mixed)
+    return active
 
 
 def _least_shared(n, n2, percent: int):
@@ -328,7 +353,7 @@ def _least_shared(n, n2, percent: int):
     return F.lit(percent / (100 + percent)) * (n + n2) - F.lit(percent / 100) * F.greatest(n, n2) - 1e-6
 
 
-def _best_leaders(posts: DataFrame, many: DataFrame, salt: int, percent: int) -> DataFrame:
+def _best_leaders(posts: DataFrame, many: DataFrame, salt: int, percent: int, tables: Scratch) -> DataFrame:
     """For each group, the leader that it shares most shingles with, unless one component holds all members of both.
 
     The leader of a shingle is one of its groups, another one for each salt. Pairs are left out of which
@@ -337,7 +362,7 @@ def _best_leaders(posts: DataFrame, many: DataFrame, salt: int, percent: int) ->
     own = ("lo", "hi") if "lo" in posts.columns else ("g", "g")
     posts = posts.select("h", "g", "n", F.col(own[0]).alias("lo"), F.col(own[1]).alias("hi"))
     pick = F.min_by(F.struct("g", "n", "lo", "hi"), F.col("g") if salt == 0 else F.xxhash64("g", F.lit(salt)))
-    leaders = stored(posts.groupBy("h").agg(pick.alias("l")).select("h", "l.*").toDF("h", "lg", "ln", "llo", "lhi"), "leader")
+    leaders = tables.stored(posts.groupBy("h").agg(pick.alias("l")).select("h", "l.*").toDF("h", "lg", "ln", "llo", "lhi"), "leader")
     met = posts.join(leaders, "h").where(
         (F.col("g") != F.col("lg"))
         & (F.least("lo", "llo") != F.greatest("hi", "lhi"))
@@ -347,34 +372,40 @@ def _best_leaders(posts: DataFrame, many: DataFrame, salt: int, percent: int) ->
     least = _least_shared(F.col("n"), F.col("ln"), percent)
     counted = counted.join(many, "g").where(F.col("hits") >= least).drop("hits")
     counted = counted.join(many.withColumnRenamed("g", "lg"), "lg").where(F.col("hits") >= least)
-    return counted.groupBy("g").agg(F.max_by("lg", F.struct("k", -F.col("lg"))).alias("leader"))
+    best = tables.stored(counted.groupBy("g").agg(F.max_by("lg", F.struct("k", -F.col("lg"))).alias("leader")), "leaders")
+    tables.drop(leaders)
+    return best
 
 
-def _open_pairs(active: DataFrame, nearest: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
+def _open_pairs(active: DataFrame, nearest: DataFrame, percent: int, tables: Scratch) -> DataFrame:
     """Pairs of groups, not all in one component, that share enough of their prefixes to link.
 
     Groups with one best leader form a cluster. Clusters that meet in enough shingles are paired, and the
     prefixes of a cluster pair's groups are compared in one place, in blocks of bounded size; only
-    the pairs of groups that may still link leave it.
+    the pairs of groups that may still link leave it. Of a prefix, its active shingles are dealt out: what
+    two groups share is active, unless one component holds all members of both. The active entries go.
     """
     homes = nearest.select("g", "leader")
     placed = active.select("g", "h", "n", "lo", "hi").join(homes, "g", "left").withColumn("home", F.coalesce("leader", "g")).drop("leader")
-    placed = stored(placed, "homes")
-    met = stored(placed.select("h", "home").distinct(), "met")
-    other = met.select("h", F.col("home").alias("home2"))
-    pairs = met.join(other, "h").where("home < home2").groupBy("home", "home2").agg(F.count("*").alias("k"))
-    members = placed.select("home", "g", "lo", "hi").distinct().join(groups.select("g", "n", "prefix"), "g")
-    members = stored(members, "cluster-members")
+    placed = tables.stored(placed, "homes")
+    tables.drop(active)
+    met = placed.groupBy("h", "home").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    met = tables.stored(met, "met")
+    members = tables.stored(placed.groupBy("home", "g", "lo", "hi", "n").agg(F.collect_list("h").alias("prefix")), "cluster-members")
+    tables.drop(placed)
+    near = (percent * F.col("low") <= 100 * F.col("high2")) & (percent * F.col("low2") <= 100 * F.col("high"))
+    other = met.select("h", *[F.col(c).alias(f"{c}2") for c in ("home", "low", "high")])
+    pairs = met.join(other, "h").where((F.col("home") < F.col("home2")) & near).groupBy("home", "home2").agg(F.count("*").alias("k"))
     sizes = members.groupBy("home").agg(F.count("*").alias("m"), F.min("n").alias("low"), F.max("n").alias("high"))
-    blocks = stored(sizes.select("home", "low", "high", F.ceil(F.col("m") / CLUSTER_BLOCK).cast("int").alias("blocks"), "m"), "cluster-sizes")
+    blocks = tables.stored(sizes.select("home", "low", "high", F.ceil(F.col("m") / CLUSTER_BLOCK).cast("int").alias("blocks"), "m"), "cluster-sizes")
     own = blocks.where("m > 1").select("home", F.col("home").alias("home2"), F.lit(None).cast("bigint").alias("k"))
     pairs = pairs.unionByName(own)
     right = blocks.select(*[F.col(c).alias(f"{c}2") for c in ("home", "low", "high", "blocks")])
     pairs = pairs.join(blocks, "home").join(right, "home2")
-    near = (percent * F.col("low") <= 100 * F.col("high2")) & (percent * F.col("low2") <= 100 * F.col("high"))
     corners = [_least_shared(F.col(x), F.col(y), percent) for x in ("low", "high") for y in ("low2", "high2")]
     pairs = pairs.where(near & (F.col("k").isNull() | (F.col("k") >= F.least(*corners))))
-    pairs = stored(pairs.select("home", "home2", "blocks", "blocks2"), "cluster-pairs")
+    pairs = tables.stored(pairs.select("home", "home2", "blocks", "blocks2"), "cluster-pairs")
+    tables.drop(met, blocks)
     spread = F.xxhash64("g", F.lit(1))
     sides = []
     for side, key, mine, theirs in ((0, "home", "blocks", "blocks2"), (1, "home2", "blocks2", "blocks")):
@@ -401,7 +432,9 @@ def _open_pairs(active: DataFrame, nearest: DataFrame, groups: DataFrame, percen
         "prefix",
     )
     both = both.repartition("home", "home2", "i", "j").sortWithinPartitions("home", "home2", "i", "j")
-    return both.mapInArrow(tidy(_compare_clusters(percent)), "g long, g2 long").distinct()
+    found = tables.stored(both.mapInArrow(tidy(_compare_clusters(percent)), "g long, g2 long").distinct(), "near-groups")
+    tables.drop(members, pairs)
+    return found
 
 
 def _compare_clusters(percent: int):
@@ -451,9 +484,9 @@ def _compare_clusters(percent: int):
     return run
 
 
-def _expanded(pairs: DataFrame, members: DataFrame, labels: DataFrame) -> DataFrame:
+def _expanded(pairs: DataFrame, members: DataFrame, labels: DataFrame, tables: Scratch) -> DataFrame:
     """Pairs of members (one per distinct set) of paired groups, unless already connected."""
-    placed = stored(_component(members, labels, "rep", "c"), "placed")
+    placed = tables.stored(_component(members, labels, "rep", "c"), "placed")
     left = placed.select("g", F.col("rep").alias("p"), F.col("c").alias("cp"))
     right = placed.select(F.col("g").alias("g2"), F.col("rep").alias("q"), F.col("c").alias("cq"))
     met = pairs.join(left, "g").join(right, "g2").where("cp <> cq")
